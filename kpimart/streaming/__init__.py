@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The marts are batch full refreshes with one ``as_of`` per run; nothing in
+the source work is incremental or event-time driven (no watermarks,
+windows, state or late data), so no streaming operator is provided.
+"""
