@@ -113,52 +113,24 @@ def run_measure(spec: MeasureSpec, df: DataFrame, load_date: Column, value_type:
                             weight, value_type)
 
 
-def _nonnull_flag(value: str) -> str:
-    return f"__nn_{value}"
-
-
-def histogram(base: Base, specs: Sequence[MeasureSpec]) -> DataFrame:
-    """Reduce a base to the distinct combinations its measures read, with a weight.
-
-    A counted column (``COUNT(col)``) enters only as its IS NOT NULL flag,
-    so a unique id never widens the histogram.
-    """
-    keys: dict[str, Column] = {}
-    for s in specs:
-        for c in list(s.by) + list(s.carry) + sorted(s.filter_columns()):
-            keys.setdefault(c, F.col(c))
-        if s.collapse:
-            pass  # collapsed dims become '' labels; only filters may read them
-        if s.value is not None:
-            if s.kind == "count":
-                keys.setdefault(_nonnull_flag(s.value), F.col(s.value).isNotNull())
-            else:
-                keys.setdefault(s.value, F.col(s.value))
-    w = F.sum(base.weight) if base.weight else F.count(F.lit(1))
-    return base.df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(w.cast("long").alias(WEIGHT))
-
-
 def build_measures(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, value_type: str,
                    plan: str = "onepass", only: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Each measure of a mart as its own DataFrame, keyed by spec key."""
     load_date = ts_lit(as_of)
     specs = [s for s in mart.measures if only is None or s.key in only]
-    out: dict[str, DataFrame] = {}
     if plan == "plain":
+        out: dict[str, DataFrame] = {}
         for s in specs:
             b = bases[s.base]
             out[s.key] = run_measure(s, b.df, load_date, value_type, weight=b.weight)
         return out
     if plan != "onepass":
         raise ValueError(f"unknown plan {plan!r}")
-    by_base: dict[str, list[MeasureSpec]] = {}
-    for s in mart.measures:  # the histogram covers every measure of the base
-        by_base.setdefault(s.base, []).append(s)
-    hists = {name: histogram(bases[name], ss) for name, ss in by_base.items()}
-    for s in specs:
-        flag = _nonnull_flag(s.value) if (s.kind == "count" and s.value) else None
-        out[s.key] = run_measure(s, hists[s.base], load_date, value_type, weight=WEIGHT, counted_flag=flag)
-    return out
+    from kpimart.plans.onepass import KEY, mart_rows
+
+    denom = "Denominator" in mart.schema().fieldNames()
+    long = stack(mart_rows(bases, specs, load_date, value_type, denom), distinct=False)
+    return {s.key: long.filter(F.col(KEY) == s.key).drop(KEY) for s in specs}
 
 
 def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, value_type: str,
@@ -166,7 +138,14 @@ def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, va
     """Stack all measures of a mart and conform them to its schema."""
     from kpimart.plans.schemas import decimal_type
 
-    measures = build_measures(mart, bases, as_of, value_type, plan)
     schema = mart.schema(decimal_type(value_type))
+    if plan == "onepass":
+        from kpimart.plans.onepass import KEY, mart_rows
+
+        denom = "Denominator" in schema.fieldNames()
+        parts = [conform(p.drop(KEY), schema) for p in
+                 mart_rows(bases, mart.measures, ts_lit(as_of), value_type, denom)]
+        return conform(stack(parts, distinct=mart.distinct), schema, mart.required)
+    measures = build_measures(mart, bases, as_of, value_type, plan)
     conformed = [conform(m, schema) for m in measures.values()]
     return conform(stack(conformed, distinct=mart.distinct), schema, mart.required)
