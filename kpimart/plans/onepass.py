@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpimart.operators.measures import DENOM, VALUE, percentile_carry
+from kpimart.operators.measures import DENOM, VALUE
 from kpimart.operators.scope import all_of
 
 WEIGHT = "__n"
@@ -100,29 +100,29 @@ def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_
                       value_type: str, denom: bool) -> DataFrame:
     """All discrete percentiles of one level and one value column in one window pass.
 
-    For each spec: per (group, value) matching weight; a running sum over
-    values in ascending order; the answer is the smallest value whose
+    Over the histogram rows of a group, ordered by value with a RANGE
+    frame (ties together), the running matching weight is the count of
+    rows with a value <= this one. The answer is the smallest value whose
     running count reaches ceil(p * n), n the non-null matching count
-    (PERCENTILE_DISC). The window holds a group's distinct values only.
+    (PERCENTILE_DISC). The window is partitioned like the final aggregate,
+    so the level costs one shuffle of the (small) histogram.
     """
     q = F.col(specs[0].value)
     n = F.col(WEIGHT)
-    per_value = hist.groupBy(*by, q.alias("__q")).agg(
-        *[F.sum(F.when(spec_filter(s), n)).alias(f"__c{i}") for i, s in enumerate(specs)])
+    nonnull = q.isNotNull()
     part = Window.partitionBy(*by)
-    run = part.orderBy(F.col("__q").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nonnull = F.col("__q").isNotNull()
-    cols = [F.col(b) for b in by] + [F.col("__q")]
-    for i, _ in enumerate(specs):
-        c = F.col(f"__c{i}")
-        cols += [F.sum(F.when(nonnull, c)).over(run).alias(f"__run{i}"),
-                 F.sum(F.when(nonnull, c)).over(part).alias(f"__nn{i}"),
-                 F.sum(c).over(part).alias(f"__any{i}")]
-    ranked = per_value.select(*cols)
+    upto = part.orderBy(q.asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = [F.col(b) for b in by] + [q.alias("__q")]
+    for i, s in enumerate(specs):
+        f = spec_filter(s)
+        cols += [F.sum(F.when(f & nonnull, n)).over(upto).alias(f"__run{i}"),
+                 F.sum(F.when(f & nonnull, n)).over(part).alias(f"__nn{i}"),
+                 F.sum(F.when(f, n)).over(part).alias(f"__any{i}")]
+    ranked = hist.select(*cols)
     aggs, rows = [], []
     for i, s in enumerate(specs):
         need = F.greatest(F.ceil(F.lit(float(s.p)) * F.col(f"__nn{i}")), F.lit(1))
-        hit = nonnull & (F.col(f"__run{i}") >= need)
+        hit = F.col("__q").isNotNull() & (F.col(f"__run{i}") >= need)
         aggs += [F.min(F.when(hit, F.col("__q"))).alias(f"__v{i}"),
                  F.max(F.coalesce(F.col(f"__nn{i}"), F.lit(0))).alias(f"__d{i}"),
                  F.max(F.col(f"__any{i}")).alias(f"__a{i}")]
@@ -135,12 +135,32 @@ def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_
     return _long(agg, by, rows, denom)
 
 
-def _carry(hist: DataFrame, spec, load_date: Column, value_type: str) -> DataFrame:
+def _carry(hist: DataFrame, spec, load_date: Column, value_type: str, denom: bool) -> DataFrame:
+    """Percentile over a partition, repeated on each distinct (partition, carry) row.
+
+    Both come from the histogram in one window pass partitioned by the
+    partition columns: the percentile is spread over the partition's rows
+    by a window MIN, then the rows are grouped by partition + carry (the
+    grouping reuses the window's partitioning, no further shuffle).
+    """
     h = hist.filter(spec_filter(spec))
-    labels = {"Load_Date": load_date, **spec.labels}
-    out = percentile_carry(h, spec.by, spec.carry, labels, spec.value, spec.p, spec.denominator,
-                           weight=WEIGHT, value_type=value_type)
-    return out.withColumn(KEY, F.lit(spec.key))
+    q = F.col(spec.value)
+    n = F.col(WEIGHT)
+    nonnull = q.isNotNull()
+    part = Window.partitionBy(*spec.by)
+    upto = part.orderBy(q.asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = h.select(*spec.by, *spec.carry, q.alias("__q"),
+                      F.sum(F.when(nonnull, n)).over(upto).alias("__run"),
+                      F.sum(F.when(nonnull, n)).over(part).alias("__nn"))
+    need = F.greatest(F.ceil(F.lit(float(spec.p)) * F.col("__nn")), F.lit(1))
+    hit = F.col("__q").isNotNull() & (F.col("__run") >= need)
+    spread = ranked.withColumn("__pct", F.min(F.when(hit, F.col("__q"))).over(part))
+    agg = spread.groupBy(*spec.by, *spec.carry).agg(F.max("__pct").alias("__v"))
+    d = F.lit(spec.denominator if spec.denominator is not None else 0)
+    row = F.struct(F.lit(spec.key).alias(KEY), *_labels(spec, load_date),
+                   F.col("__v").cast(value_type).alias(VALUE), d.cast(value_type).alias(DENOM),
+                   F.lit(True).alias("__present"))
+    return _long(agg, list(spec.by) + list(spec.carry), [row], denom)
 
 
 def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_date: Column, value_type: str,
@@ -154,7 +174,7 @@ def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_date: Colu
     out = []
     for (is_pct, is_carry, _value, by), ss in levels.items():
         if is_carry:
-            out += [_carry(hist, s, load_date, value_type) for s in ss]
+            out += [_carry(hist, s, load_date, value_type, denom) for s in ss]
         elif is_pct:
             out.append(_percentile_level(hist, by, ss, load_date, value_type, denom))
         else:
