@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -57,30 +56,25 @@ def conform(df: DataFrame, schema: StructType, required: Sequence[str] = ()) ->
 
 def write_mart(df: DataFrame, schema: StructType, target: str, required: Sequence[str] = (),
                partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
-    """Full-refresh a mart (O02): conform, write, then replace the old rows.
-
-    The new rows are first written next to the target; only when that job
-    succeeded (no NULL key, no overflow) is the target overwritten from the
-    staged copy, so a failed refresh leaves the previous mart in place.
-    ``target`` is a path (a shared folder on a cluster) or a table name.
-    Returns the mart read back.
+    """Full-refresh a mart (O02): conform, validate, then replace the old rows.
+
+    The conformed rows are computed once into a MEMORY_AND_DISK copy and
+    validated (a NULL key or a DECIMAL(9,2) overflow raises here); only then
+    is the target overwritten from that copy, so a failed refresh leaves the
+    previous mart in place. A lost executor only recomputes its cached
+    blocks from lineage. ``target`` is a path (a shared folder on a
+    cluster) or a table name. Returns the mart read back.
     """
     spark = df.sparkSession
-    out = conform(df, schema, required)
-    staging = _staging_location(spark, target)
-    _write(out, staging, partition_by, fmt)
-    staged = _read(spark, staging, fmt)
-    _write(staged, target, partition_by, fmt)
+    out = conform(df, schema, required).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out.count()
+        _write(out, target, partition_by, fmt)
+    finally:
+        out.unpersist()
     return _read(spark, target, fmt)
 
 
-def _staging_location(spark: SparkSession, target: str) -> str:
-    tag = uuid.uuid4().hex[:12]
-    if _is_path(target):
-        return f"{target.rstrip('/')}.__staging_{tag}"
-    return f"{target}__staging_{tag}"
-
-
 def _write(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str) -> None:
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
