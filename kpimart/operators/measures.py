@@ -99,24 +99,30 @@ def sum_measure(df: DataFrame, by: By, labels: Mapping[str, object], quantity: C
     return _finish(agg, by, labels, "__d", value_type)
 
 
-def _weighted_percentile(df: DataFrame, keys: list[str], q: Column, weight: Column, p: float) -> DataFrame:
-    """Discrete percentile from (value, count) pairs, like PERCENTILE_DISC.
-
-    The answer is the smallest value whose running count reaches
-    ceil(p * n), n the non-null count. Pairs are first reduced to one row
-    per (group, value) with a partial aggregate, so the ordered window runs
-    over distinct values of a group, not over its rows.
+def _ranked_values(df: DataFrame, keys: list[str], extra: list[str], q: Column, weight: Column | None
+                   ) -> DataFrame:
+    """Per-group distinct values with running and total non-null counts.
+
+    Rows are first reduced to one per (group, extra, value) with a partial
+    aggregate (a NULL value is its own bucket, so groups whose values are
+    all NULL survive). A RANGE-frame window over a group's distinct values
+    then gives, per value, how many rows are <= it (``__run``) and the
+    group's non-null count (``__nn``). The window never sees raw rows.
     """
-    hist = (df.filter(q.isNotNull())
-              .groupBy(*[F.col(k) for k in keys], q.alias("__q"))
-              .agg(F.sum(weight).alias("__c")))
+    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    hist = df.groupBy(*[F.col(k) for k in keys + extra], q.alias("__q")).agg(w.alias("__c"))
+    nonnull = F.col("__q").isNotNull()
     part = Window.partitionBy(*keys)
-    run = part.orderBy("__q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (hist.withColumn("__run", F.sum("__c").over(run))
-                  .withColumn("__n", F.sum("__c").over(part)))
-    need = F.greatest(F.ceil(F.lit(p) * F.col("__n")), F.lit(1))
-    return (ranked.filter(F.col("__run") >= need)
-                  .groupBy(*keys).agg(F.min("__q").alias("__v"), F.first("__n").alias("__d")))
+    upto = part.orderBy(F.col("__q").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return hist.select(*keys, *extra, "__q",
+                       F.sum(F.when(nonnull, F.col("__c"))).over(upto).alias("__run"),
+                       F.sum(F.when(nonnull, F.col("__c"))).over(part).alias("__nn"))
+
+
+def _hit(p: float) -> Column:
+    # PERCENTILE_DISC: the smallest value whose running count reaches ceil(p * n).
+    need = F.greatest(F.ceil(F.lit(float(p)) * F.col("__nn")), F.lit(1))
+    return F.col("__q").isNotNull() & (F.col("__run") >= need)
 
 
 def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quantity: Column | str,
@@ -137,47 +143,33 @@ def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quan
                  .groupBy(*_by_names(by))
                  .agg(pdisc.alias("__v"), F.count("__q").alias("__d")))
         return _finish(agg, by, labels, "__d", value_type)
-    base = df.select(*_by(by), q.alias("__q"), F.col(weight).alias("__w"))
     keys = _by_names(by)
-    pct = _weighted_percentile(base, keys, F.col("__q"), F.col("__w"), p)
-    groups = base.select(*keys).distinct()
-    agg = (groups.join(pct, _null_safe_on(groups, pct, keys), "left")
-                 .select(*[groups[k] for k in keys], pct["__v"],
-                         F.coalesce(pct["__d"], F.lit(0)).alias("__d")))
+    ranked = _ranked_values(df.select(*_by(by), q.alias("__x"), F.col(weight).alias("__w")), keys, [],
+                            F.col("__x"), F.col("__w"))
+    agg = ranked.groupBy(*keys).agg(F.min(F.when(_hit(p), F.col("__q"))).alias("__v"),
+                                    F.max(F.coalesce(F.col("__nn"), F.lit(0))).alias("__d"))
     return _finish(agg, by, labels, "__d", value_type)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond if cond is not None else F.lit(True)
-
-
 def percentile_carry(df: DataFrame, partition: By, carry: Sequence[str], labels: Mapping[str, object],
                      quantity: Column | str, p: float = 0.9, denominator: int | None = 0,
                      weight: str | None = None, value_type: str = VALUE_TYPE) -> DataFrame:
     """Percentile over a coarse partition, repeated on each finer distinct row.
 
     Same rows as ``PERCENTILE_DISC(..) OVER (PARTITION BY partition)``
-    followed by ``DISTINCT`` over partition + carry columns, but planned
-    as two aggregates: the percentile per partition (tiny) and the
-    distinct partition + carry rows, joined null-safe on the partition.
-    No task ever holds a whole partition's rows.
+    followed by ``DISTINCT`` over partition + carry columns. Rows are
+    reduced to (partition, carry, value) counts first; one window over the
+    partition's distinct values finds the percentile and spreads it with a
+    window MIN; the (partition, carry) grouping then reuses the window's
+    partitioning. No task holds a partition's raw rows, and NULL partition
+    keys group together as in a window PARTITION BY.
     """
-    q = _c(quantity)
     keys = _by_names(partition)
-    base = df.select(*_by(partition), *[F.col(c) for c in carry], q.alias("__q"),
+    base = df.select(*_by(partition), *[F.col(c) for c in carry], _c(quantity).alias("__x"),
                      *([F.col(weight).alias("__w")] if weight else []))
-    if weight is None:
-        pdisc = F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY __q)")
-        pct = base.groupBy(*keys).agg(pdisc.alias("__v"))
-    else:
-        pct = _weighted_percentile(base, keys, F.col("__q"), F.col("__w"), p).drop("__d")
-    rows = base.select(*keys, *carry).distinct()
-    out = rows.join(pct, _null_safe_on(rows, pct, keys), "left").select(
-        *[rows[k] for k in keys], *[rows[c] for c in carry], pct["__v"])
+    ranked = _ranked_values(base, keys, list(carry), F.col("__x"), F.col("__w") if weight else None)
+    spread = ranked.withColumn("__pct", F.min(F.when(_hit(p), F.col("__q"))).over(Window.partitionBy(*keys)))
+    out = spread.groupBy(*keys, *carry).agg(F.max("__pct").alias("__v"))
     return _finish(out, list(keys) + list(carry), labels, denominator, value_type)
 
 
