@@ -133,6 +133,23 @@ def build_measures(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime
     return {s.key: long.filter(F.col(KEY) == s.key).drop(KEY) for s in specs}
 
 
+def labels_disjoint(specs: Sequence[MeasureSpec]) -> bool:
+    """True when UNION's de-duplication cannot remove a row.
+
+    Each measure's rows are unique by its group keys (a GROUP BY output),
+    and measures whose label triples differ cannot produce equal rows. Then
+    UNION and UNION ALL give the same rows and the distinct shuffle is
+    skipped.
+    """
+    seen = set()
+    for s in specs:
+        t = tuple(sorted(s.labels.items()))
+        if t in seen:
+            return False
+        seen.add(t)
+    return True
+
+
 def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, value_type: str,
                plan: str = "onepass") -> DataFrame:
     """Stack all measures of a mart and conform them to its schema."""
@@ -145,7 +162,8 @@ def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, va
         denom = "Denominator" in schema.fieldNames()
         parts = [conform(p.drop(KEY), schema) for p in
                  mart_rows(bases, mart.measures, ts_lit(as_of), value_type, denom)]
-        return conform(stack(parts, distinct=mart.distinct), schema, mart.required)
+        return conform(stack(parts, distinct=mart.distinct and not labels_disjoint(mart.measures)), schema,
+                       mart.required)
     measures = build_measures(mart, bases, as_of, value_type, plan)
     conformed = [conform(m, schema) for m in measures.values()]
     return conform(stack(conformed, distinct=mart.distinct), schema, mart.required)
