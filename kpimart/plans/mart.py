@@ -55,6 +55,7 @@ class MeasureSpec:
     carry: tuple[str, ...] = ()
     denominator: int | None = 0
     p: float = 0.9
+    rename: tuple[tuple[str, str], ...] = ()   # base column -> output column
 
     def __post_init__(self):
         if self.kind not in KINDS:
@@ -87,9 +88,19 @@ class Base:
     weight: str | None = None
 
 
+def renamed(df: DataFrame, rename: Sequence[tuple[str, str]]) -> DataFrame:
+    """Apply a spec's output names (a base may hold two variants of a dimension)."""
+    return df.withColumnsRenamed(dict(rename)) if rename else df
+
+
 def run_measure(spec: MeasureSpec, df: DataFrame, load_date: Column, value_type: str,
                 weight: str | None = None, counted_flag: str | None = None) -> DataFrame:
     """Evaluate one spec on a base (or a histogram when ``weight`` is set)."""
+    return renamed(_run_measure(spec, df, load_date, value_type, weight, counted_flag), spec.rename)
+
+
+def _run_measure(spec: MeasureSpec, df: DataFrame, load_date: Column, value_type: str,
+                 weight: str | None, counted_flag: str | None) -> DataFrame:
     if spec.where:
         df = scope(df, *spec.where)
     if spec.segment is not None:

@@ -169,16 +169,18 @@ def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_date: Colu
     hist = histogram(df, weight, specs)
     levels: dict[tuple, list] = {}
     for s in specs:
-        levels.setdefault((s.kind in ("percentile", "carry"), s.kind == "carry", s.value if s.kind in
-                           ("percentile", "carry") else None, tuple(s.by)), []).append(s)
+        is_pct = s.kind in ("percentile", "carry")
+        levels.setdefault((is_pct, s.kind == "carry", s.value if is_pct else None, tuple(s.by), s.rename),
+                          []).append(s)
     out = []
-    for (is_pct, is_carry, _value, by), ss in levels.items():
+    for (is_pct, is_carry, _value, by, rename), ss in levels.items():
         if is_carry:
-            out += [_carry(hist, s, load_date, value_type, denom) for s in ss]
+            parts = [_carry(hist, s, load_date, value_type, denom) for s in ss]
         elif is_pct:
-            out.append(_percentile_level(hist, by, ss, load_date, value_type, denom))
+            parts = [_percentile_level(hist, by, ss, load_date, value_type, denom)]
         else:
-            out.append(_simple_level(hist, by, ss, load_date, value_type, denom))
+            parts = [_simple_level(hist, by, ss, load_date, value_type, denom)]
+        out += [p.withColumnsRenamed(dict(rename)) if rename else p for p in parts]
     return out
 
 
