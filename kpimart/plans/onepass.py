@@ -141,25 +141,29 @@ def _carry(hist: DataFrame, spec, load_date: Column, value_type: str, denom: boo
     Both come from the histogram in one window pass partitioned by the
     partition columns: the percentile is spread over the partition's rows
     by a window MIN, then the rows are grouped by partition + carry (the
-    grouping reuses the window's partitioning, no further shuffle).
+    grouping reuses the window's partitioning, no further shuffle). The
+    measure's filter is a conditional weight, not a Filter, so the
+    histogram subtree stays identical to the other levels' and its shuffle
+    is reused instead of rescanning the base.
     """
-    h = hist.filter(spec_filter(spec))
+    f = spec_filter(spec)
     q = F.col(spec.value)
     n = F.col(WEIGHT)
     nonnull = q.isNotNull()
     part = Window.partitionBy(*spec.by)
     upto = part.orderBy(q.asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = h.select(*spec.by, *spec.carry, q.alias("__q"),
-                      F.sum(F.when(nonnull, n)).over(upto).alias("__run"),
-                      F.sum(F.when(nonnull, n)).over(part).alias("__nn"))
+    ranked = hist.select(*spec.by, *spec.carry, q.alias("__q"), f.alias("__f"),
+                         F.sum(F.when(f & nonnull, n)).over(upto).alias("__run"),
+                         F.sum(F.when(f & nonnull, n)).over(part).alias("__nn"))
     need = F.greatest(F.ceil(F.lit(float(spec.p)) * F.col("__nn")), F.lit(1))
-    hit = F.col("__q").isNotNull() & (F.col("__run") >= need)
+    hit = F.col("__f") & F.col("__q").isNotNull() & (F.col("__run") >= need)
     spread = ranked.withColumn("__pct", F.min(F.when(hit, F.col("__q"))).over(part))
-    agg = spread.groupBy(*spec.by, *spec.carry).agg(F.max("__pct").alias("__v"))
+    agg = spread.groupBy(*spec.by, *spec.carry).agg(F.max("__pct").alias("__v"),
+                                                     F.max(F.when(F.col("__f"), F.lit(1))).alias("__a"))
     d = F.lit(spec.denominator if spec.denominator is not None else 0)
     row = F.struct(F.lit(spec.key).alias(KEY), *_labels(spec, load_date),
                    F.col("__v").cast(value_type).alias(VALUE), d.cast(value_type).alias(DENOM),
-                   F.lit(True).alias("__present"))
+                   F.col("__a").isNotNull().alias("__present"))
     return _long(agg, list(spec.by) + list(spec.carry), [row], denom)
 
 
