@@ -4,7 +4,7 @@ Prints ONE JSON line:
 {"metric": "marts_total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_PLAN (onepass | plain, default onepass), BENCH_REPEAT (default 3).
+BENCH_PLAN (onepass | plain, default onepass), BENCH_REPEAT (default 5).
 One untimed warm-up pass over all marts runs first (JIT, class loading);
 then each mart reports the best of BENCH_REPEAT runs.
 """
@@ -24,7 +24,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     plan = os.environ.get("BENCH_PLAN", "onepass")
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "5")))
 
     from kpimart.plans import TEST_PARAMS, build, test_inputs
     from kpimart.plans.registry import TIE

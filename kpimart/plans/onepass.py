@@ -56,8 +56,8 @@ def histogram(df: DataFrame, weight: str | None, specs: Sequence) -> DataFrame:
 
 def _labels(spec, load_date: Column) -> list[Column]:
     out = [load_date.alias("Load_Date")]
-    out += [F.lit(v).cast("string").alias(k) for k, v in spec.labels.items()]
-    out += [F.lit("").cast("string").alias(d) for d in spec.collapse]
+    out += [F.lit(v).alias(k) for k, v in spec.labels.items()]
+    out += [F.lit("").alias(d) for d in spec.collapse]
     return out
 
 

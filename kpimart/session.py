@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Static: skips capturing a Python call site per Column call, which costs
+    # several JVM round trips each while plans are built on the driver.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
