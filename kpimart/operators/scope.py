@@ -107,3 +107,58 @@ def transition_scope(df: DataFrame, from_col: str, to_col: str, from_values: Ite
                      to_values: Iterable[str], extra: Iterable[Sequence | Column] = ()) -> DataFrame:
     """Rows whose class moved from one list into another."""
     return scope(df, ("in", from_col, tuple(from_values)), ("in", to_col, tuple(to_values)), *extra)
+
+
+# ---- the same conditions as SQL text ----------------------------------------
+# One ``F.expr`` per condition is parsed on the JVM in a single call; a long
+# IN list built from Column objects costs a round trip per value.
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def _in_sql(col: str, values) -> str:
+    return f"{sql_ident(col)} IN ({', '.join(sql_literal(v) for v in values)})"
+
+
+_SQL_OPS = {
+    "in": lambda c, v: _in_sql(c, v),
+    "not_in": lambda c, v: f"NOT ({_in_sql(c, v)})",
+    "not_in_or_null": lambda c, v: f"(NOT ({_in_sql(c, v)}) OR {sql_ident(c)} IS NULL)",
+    "eq": lambda c, v: f"{sql_ident(c)} = {sql_literal(v)}",
+    "not_null": lambda c, _=None: f"{sql_ident(c)} IS NOT NULL",
+    "gt": lambda c, v: f"{sql_ident(c)} > {sql_literal(v)}",
+    "ge": lambda c, v: f"{sql_ident(c)} >= {sql_literal(v)}",
+}
+
+
+def predicate_sql(spec: Sequence) -> str:
+    """SQL text of one ``(op, column[, value])`` condition (same semantics as :func:`predicate`)."""
+    op, col, *arg = spec
+    if op not in _SQL_OPS:
+        raise ValueError(f"unknown scope op {op!r}; use one of {sorted(_SQL_OPS)}")
+    return f"({_SQL_OPS[op](col, *arg)})"
+
+
+def all_of_sql(conds: Iterable[Sequence]) -> str | None:
+    parts = [predicate_sql(c) for c in conds]
+    return " AND ".join(parts) if parts else None
+
+
+def segment_sql(seg: Segment) -> str | None:
+    return all_of_sql(("in", col, vals) for col, vals in seg.members.items())

@@ -31,7 +31,7 @@ from kpimart.operators.measures import (
     ratio_measure,
     sum_measure,
 )
-from kpimart.operators.scope import Segment, scope, segment
+from kpimart.operators.scope import Segment, scope, segment, sql_literal
 from kpimart.operators.stack import stack
 from kpimart.sources.io import conform
 
@@ -140,7 +140,7 @@ def build_measures(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime
     from kpimart.plans.onepass import KEY, mart_rows
 
     denom = "Denominator" in mart.schema().fieldNames()
-    long = stack(mart_rows(bases, specs, load_date, value_type, denom), distinct=False)
+    long = stack(mart_rows(bases, specs, sql_literal(as_of), value_type, denom), distinct=False)
     return {s.key: long.filter(F.col(KEY) == s.key).drop(KEY) for s in specs}
 
 
@@ -172,7 +172,7 @@ def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, va
 
         denom = "Denominator" in schema.fieldNames()
         # Parts already carry the mart's columns and types; the union is by name.
-        parts = [p.drop(KEY) for p in mart_rows(bases, mart.measures, ts_lit(as_of), value_type, denom)]
+        parts = [p.drop(KEY) for p in mart_rows(bases, mart.measures, sql_literal(as_of), value_type, denom)]
         return conform(stack(parts, distinct=mart.distinct and not labels_disjoint(mart.measures)), schema,
                        mart.required)
     measures = build_measures(mart, bases, as_of, value_type, plan)

@@ -4,35 +4,40 @@ Per base: one histogram (a partial-aggregated shuffle of the base down to
 the columns its measures read, with a row-count weight ``__n``). Per
 grouping level of that base: one aggregate with a conditional sum per
 measure (``SUM(CASE WHEN filter THEN ..)``) for all count / ratio / sum
-measures, and one ordered window over the distinct values for all
+measures, and one RANGE-frame window over the histogram for all
 percentile measures. The results are unpivoted to long rows with
 ``inline``. A measure whose filter matches no row of a group emits no row
 for it, as a GROUP BY would.
+
+The per-measure expressions are written as SQL text (``selectExpr`` /
+``F.expr``): each is parsed on the JVM in one call, which keeps building a
+13-measure plan on the driver cheap.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from kpimart.operators.measures import DENOM, VALUE
-from kpimart.operators.scope import all_of
+from kpimart.operators.scope import all_of_sql, segment_sql, sql_ident, sql_literal
 
 WEIGHT = "__n"
 KEY = "__measure"
+N = sql_ident(WEIGHT)
 
 
-def spec_filter(spec) -> Column:
-    conds = [all_of(spec.where)] if spec.where else []
+def spec_filter_sql(spec) -> str:
+    """The measure's filter (scope conditions and segment) as SQL text."""
+    parts = []
+    if spec.where:
+        parts.append(all_of_sql(spec.where))
     if spec.segment is not None:
-        conds.append(spec.segment.predicate())
-    conds = [c for c in conds if c is not None]
-    out = F.lit(True)
-    for c in conds:
-        out = out & c
-    return out
+        seg = segment_sql(spec.segment)
+        if seg:
+            parts.append(seg)
+    return " AND ".join(f"({p})" for p in parts) if parts else "true"
 
 
 def _nonnull_flag(value: str) -> str:
@@ -40,63 +45,85 @@ def _nonnull_flag(value: str) -> str:
 
 
 def histogram(df: DataFrame, weight: str | None, specs: Sequence) -> DataFrame:
-    """Distinct combinations of every column the specs read, with a weight."""
-    keys: dict[str, Column] = {}
+    """Distinct combinations of every column the specs read, with a weight.
+
+    A counted column (``COUNT(col)``) enters only as its IS NOT NULL flag,
+    so a unique id never widens the histogram.
+    """
+    keys: dict[str, str] = {}
     for s in specs:
         for c in list(s.by) + list(s.carry) + sorted(s.filter_columns()):
-            keys.setdefault(c, F.col(c))
+            keys.setdefault(c, sql_ident(c))
         if s.value is not None:
             if s.kind == "count":
-                keys.setdefault(_nonnull_flag(s.value), F.col(s.value).isNotNull())
+                keys.setdefault(_nonnull_flag(s.value), f"{sql_ident(s.value)} IS NOT NULL")
             else:
-                keys.setdefault(s.value, F.col(s.value))
-    w = F.sum(weight) if weight else F.count(F.lit(1))
-    return df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(w.cast("long").alias(WEIGHT))
+                keys.setdefault(s.value, sql_ident(s.value))
+    w = f"sum({sql_ident(weight)})" if weight else "count(1)"
+    return df.groupBy(*[_expr(e, n) for n, e in keys.items()]).agg(_expr(f"CAST({w} AS BIGINT)", WEIGHT))
+
+
+def _expr(sql: str, alias: str):
+    from pyspark.sql import functions as F
+
+    return F.expr(f"{sql} AS {sql_ident(alias)}")
 
 
-def _labels(spec, load_date: Column) -> list[Column]:
-    out = [load_date.alias("Load_Date")]
-    out += [F.lit(v).alias(k) for k, v in spec.labels.items()]
-    out += [F.lit("").alias(d) for d in spec.collapse]
+def _labels_sql(spec, load_sql: str) -> list[str]:
+    out = [f"'{KEY}', {sql_literal(spec.key)}", f"'Load_Date', {load_sql}"]
+    out += [f"{sql_literal(k)}, {sql_literal(v)}" for k, v in spec.labels.items()]
+    out += [f"{sql_literal(d)}, ''" for d in spec.collapse]
     return out
 
 
-def _long(agg: DataFrame, by: Sequence[str], rows: list[Column], denom: bool) -> DataFrame:
+def _row_sql(spec, load_sql: str, value: str, denominator: str, present: str, value_type: str) -> str:
+    fields = _labels_sql(spec, load_sql) + [
+        f"'{VALUE}', CAST({value} AS {value_type})",
+        f"'{DENOM}', CAST({denominator} AS {value_type})",
+        f"'__present', {present}",
+    ]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _long(agg: DataFrame, by: Sequence[str], rows: list[str], denom: bool) -> DataFrame:
     """Unpivot one struct per measure into rows, dropping absent measures."""
-    out = agg.select(*by, F.inline(F.array(*rows)))
-    out = out.filter(F.col("__present")).drop("__present")
+    out = agg.selectExpr(*[sql_ident(b) for b in by], f"inline(array({', '.join(rows)}))")
+    out = out.where("__present").drop("__present")
     return out if denom else out.drop(DENOM)
 
 
-def _simple_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_date: Column,
-                  value_type: str, denom: bool) -> DataFrame:
-    n = F.col(WEIGHT)
+def _simple_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_sql: str, value_type: str,
+                  denom: bool) -> DataFrame:
     aggs, rows = [], []
     for i, s in enumerate(specs):
-        f = spec_filter(s)
-        rows_i = F.sum(F.when(f, n))  # NULL when no row matches: no output row
+        f = spec_filter_sql(s)
+        matched = f"sum(CASE WHEN {f} THEN {N} END)"  # NULL when no row matches: no output row
         if s.kind == "count":
-            v = rows_i if s.value is None else F.sum(F.when(f & F.col(_nonnull_flag(s.value)), n).otherwise(
-                F.when(f, F.lit(0))))
-            d = F.lit(s.denominator) if s.denominator is not None else F.lit(0)
-        elif s.kind == "ratio":
-            v = F.sum(F.when(f, F.col(s.value) * n))
-            d = F.col(f"__d{i}")
-        else:  # sum
-            v = F.sum(F.when(f, F.col(s.value) * n))
-            d = F.col(f"__d{i}")
-        aggs += [v.alias(f"__v{i}"), rows_i.alias(f"__d{i}")]
-        d = F.col(f"__d{i}") if s.kind in ("ratio", "sum") else d
-        rows.append(F.struct(
-            F.lit(s.key).alias(KEY), *_labels(s, load_date),
-            F.col(f"__v{i}").cast(value_type).alias(VALUE),
-            d.cast(value_type).alias(DENOM),
-            F.col(f"__d{i}").isNotNull().alias("__present")))
+            v = matched if s.value is None else \
+                f"sum(CASE WHEN {f} THEN (CASE WHEN {sql_ident(_nonnull_flag(s.value))} THEN {N} ELSE 0 END) END)"
+            d = sql_literal(s.denominator if s.denominator is not None else 0)
+        else:  # ratio (flag) or sum (quantity): SUM(x) over COUNT(*)
+            v = f"sum(CASE WHEN {f} THEN {sql_ident(s.value)} * {N} END)"
+            d = f"__d{i}"
+        aggs += [_expr(v, f"__v{i}"), _expr(matched, f"__d{i}")]
+        rows.append(_row_sql(s, load_sql, f"__v{i}", d, f"__d{i} IS NOT NULL", value_type))
     agg = hist.groupBy(*by).agg(*aggs)
     return _long(agg, by, rows, denom)
 
 
-def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_date: Column,
+def _window(by: Sequence[str], order: str | None = None) -> str:
+    part = ", ".join(sql_ident(b) for b in by)
+    if order is None:
+        return f"(PARTITION BY {part})"
+    return f"(PARTITION BY {part} ORDER BY {order} ASC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _hit(i: int | str, p: float) -> str:
+    # PERCENTILE_DISC: the smallest value whose running count reaches ceil(p * n).
+    return (f"__q IS NOT NULL AND __run{i} >= greatest(ceil(CAST({float(p)!r} AS DOUBLE) * __nn{i}), 1)")
+
+
+def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_sql: str,
                       value_type: str, denom: bool) -> DataFrame:
     """All discrete percentiles of one level and one value column in one window pass.
 
@@ -107,35 +134,25 @@ def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_
     (PERCENTILE_DISC). The window is partitioned like the final aggregate,
     so the level costs one shuffle of the (small) histogram.
     """
-    q = F.col(specs[0].value)
-    n = F.col(WEIGHT)
-    nonnull = q.isNotNull()
-    part = Window.partitionBy(*by)
-    upto = part.orderBy(q.asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.col(b) for b in by] + [q.alias("__q")]
+    q = sql_ident(specs[0].value)
+    cols = [sql_ident(b) for b in by] + [f"{q} AS __q"]
     for i, s in enumerate(specs):
-        f = spec_filter(s)
-        cols += [F.sum(F.when(f & nonnull, n)).over(upto).alias(f"__run{i}"),
-                 F.sum(F.when(f & nonnull, n)).over(part).alias(f"__nn{i}"),
-                 F.sum(F.when(f, n)).over(part).alias(f"__any{i}")]
-    ranked = hist.select(*cols)
+        f = spec_filter_sql(s)
+        cols += [f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by, q)} AS __run{i}",
+                 f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by)} AS __nn{i}",
+                 f"sum(CASE WHEN {f} THEN {N} END) OVER {_window(by)} AS __any{i}"]
+    ranked = hist.selectExpr(*cols)
     aggs, rows = [], []
     for i, s in enumerate(specs):
-        need = F.greatest(F.ceil(F.lit(float(s.p)) * F.col(f"__nn{i}")), F.lit(1))
-        hit = F.col("__q").isNotNull() & (F.col(f"__run{i}") >= need)
-        aggs += [F.min(F.when(hit, F.col("__q"))).alias(f"__v{i}"),
-                 F.max(F.coalesce(F.col(f"__nn{i}"), F.lit(0))).alias(f"__d{i}"),
-                 F.max(F.col(f"__any{i}")).alias(f"__a{i}")]
-        rows.append(F.struct(
-            F.lit(s.key).alias(KEY), *_labels(s, load_date),
-            F.col(f"__v{i}").cast(value_type).alias(VALUE),
-            F.col(f"__d{i}").cast(value_type).alias(DENOM),
-            F.col(f"__a{i}").isNotNull().alias("__present")))
+        aggs += [_expr(f"min(CASE WHEN {_hit(i, s.p)} THEN __q END)", f"__v{i}"),
+                 _expr(f"max(coalesce(__nn{i}, 0))", f"__d{i}"),
+                 _expr(f"max(__any{i})", f"__a{i}")]
+        rows.append(_row_sql(s, load_sql, f"__v{i}", f"__d{i}", f"__a{i} IS NOT NULL", value_type))
     agg = ranked.groupBy(*by).agg(*aggs)
     return _long(agg, by, rows, denom)
 
 
-def _carry(hist: DataFrame, spec, load_date: Column, value_type: str, denom: bool) -> DataFrame:
+def _carry(hist: DataFrame, spec, load_sql: str, value_type: str, denom: bool) -> DataFrame:
     """Percentile over a partition, repeated on each distinct (partition, carry) row.
 
     Both come from the histogram in one window pass partitioned by the
@@ -146,28 +163,23 @@ def _carry(hist: DataFrame, spec, load_date: Column, value_type: str, denom: boo
     histogram subtree stays identical to the other levels' and its shuffle
     is reused instead of rescanning the base.
     """
-    f = spec_filter(spec)
-    q = F.col(spec.value)
-    n = F.col(WEIGHT)
-    nonnull = q.isNotNull()
-    part = Window.partitionBy(*spec.by)
-    upto = part.orderBy(q.asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = hist.select(*spec.by, *spec.carry, q.alias("__q"), f.alias("__f"),
-                         F.sum(F.when(f & nonnull, n)).over(upto).alias("__run"),
-                         F.sum(F.when(f & nonnull, n)).over(part).alias("__nn"))
-    need = F.greatest(F.ceil(F.lit(float(spec.p)) * F.col("__nn")), F.lit(1))
-    hit = F.col("__f") & F.col("__q").isNotNull() & (F.col("__run") >= need)
-    spread = ranked.withColumn("__pct", F.min(F.when(hit, F.col("__q"))).over(part))
-    agg = spread.groupBy(*spec.by, *spec.carry).agg(F.max("__pct").alias("__v"),
-                                                     F.max(F.when(F.col("__f"), F.lit(1))).alias("__a"))
-    d = F.lit(spec.denominator if spec.denominator is not None else 0)
-    row = F.struct(F.lit(spec.key).alias(KEY), *_labels(spec, load_date),
-                   F.col("__v").cast(value_type).alias(VALUE), d.cast(value_type).alias(DENOM),
-                   F.col("__a").isNotNull().alias("__present"))
-    return _long(agg, list(spec.by) + list(spec.carry), [row], denom)
-
-
-def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_date: Column, value_type: str,
+    f = spec_filter_sql(spec)
+    q = sql_ident(spec.value)
+    by = list(spec.by)
+    ranked = hist.selectExpr(
+        *[sql_ident(c) for c in by + list(spec.carry)], f"{q} AS __q", f"({f}) AS __f",
+        f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by, q)} AS __run",
+        f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by)} AS __nn")
+    spread = ranked.selectExpr(
+        "*", f"min(CASE WHEN __f AND {_hit('', spec.p)} THEN __q END) OVER {_window(by)} AS __pct")
+    agg = spread.groupBy(*by, *spec.carry).agg(_expr("max(__pct)", "__v"),
+                                               _expr("max(CASE WHEN __f THEN 1 END)", "__a"))
+    d = sql_literal(spec.denominator if spec.denominator is not None else 0)
+    return _long(agg, by + list(spec.carry), [_row_sql(spec, load_sql, "__v", d, "__a IS NOT NULL", value_type)],
+                 denom)
+
+
+def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_sql: str, value_type: str,
              denom: bool) -> list[DataFrame]:
     """Long-format rows of all ``specs`` over one base, tagged with ``__measure``."""
     hist = histogram(df, weight, specs)
@@ -179,16 +191,16 @@ def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_date: Colu
     out = []
     for (is_pct, is_carry, _value, by, rename), ss in levels.items():
         if is_carry:
-            parts = [_carry(hist, s, load_date, value_type, denom) for s in ss]
+            parts = [_carry(hist, s, load_sql, value_type, denom) for s in ss]
         elif is_pct:
-            parts = [_percentile_level(hist, by, ss, load_date, value_type, denom)]
+            parts = [_percentile_level(hist, by, ss, load_sql, value_type, denom)]
         else:
-            parts = [_simple_level(hist, by, ss, load_date, value_type, denom)]
+            parts = [_simple_level(hist, by, ss, load_sql, value_type, denom)]
         out += [p.withColumnsRenamed(dict(rename)) if rename else p for p in parts]
     return out
 
 
-def mart_rows(bases: Mapping, specs: Sequence, load_date: Column, value_type: str, denom: bool
+def mart_rows(bases: Mapping, specs: Sequence, load_sql: str, value_type: str, denom: bool
               ) -> list[DataFrame]:
     by_base: dict[str, list] = {}
     for s in specs:
@@ -196,5 +208,5 @@ def mart_rows(bases: Mapping, specs: Sequence, load_date: Column, value_type: st
     out = []
     for name, ss in by_base.items():
         b = bases[name]
-        out += evaluate(b.df, b.weight, ss, load_date, value_type, denom)
+        out += evaluate(b.df, b.weight, ss, load_sql, value_type, denom)
     return out
