@@ -2,6 +2,8 @@
 
 from kpimart.functions.dates import (
     add_business_days_expr,
+    add_deadline,
+    month_keys,
     business_days_between,
     date_lit,
     deadline_expr,
@@ -13,6 +15,8 @@ from kpimart.functions.flags import prefix_flag, prefix_match, relabel, sla_flag
 
 __all__ = [
     "add_business_days_expr",
+    "add_deadline",
+    "month_keys",
     "business_days_between",
     "date_lit",
     "deadline_expr",

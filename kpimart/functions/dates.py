@@ -98,3 +98,14 @@ def add_business_days_expr(start: ColumnOrName, n: int | Column) -> Column:
     base = F.date_sub(d, F.greatest(F.lit(0), w - 4))
     span = n_col + 2 * F.floor((F.least(w, F.lit(4)) + n_col) / 5).cast("int")
     return F.date_add(base, span.cast("int"))
+
+
+def month_keys(df, col: str, end_name: str = "Month_EndDate_Key", start_name: str = "Month_StartDate_Key"):
+    """Add month end and month start keys of a date or time column."""
+    return df.withColumns({end_name: month_end(col), start_name: month_start(col)})
+
+
+def add_deadline(df, start: str, category: str, days_by_value: dict[str, int], default_days: int,
+                 out_col: str = "TARGET_RESOLUTION_DATE"):
+    """Add ``start + N days``, N chosen by ``category``."""
+    return df.withColumn(out_col, deadline_expr(start, category, days_by_value, default_days))

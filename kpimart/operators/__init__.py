@@ -15,6 +15,7 @@ from kpimart.operators.joins import (
     first_per_key,
     latest_flag,
     latest_per_key,
+    latest_rank,
     maybe_broadcast,
     require_related,
 )
@@ -39,7 +40,7 @@ from kpimart.operators.stack import stack
 __all__ = [
     "Segment", "add_business_days", "all_of", "business_day_calendar", "calendar_rows",
     "collapse_dims", "count_measure", "enrich", "enrich_multiplicity", "first_per_key",
-    "fiscal_calendar", "fiscal_period", "fiscal_span", "latest_flag", "latest_per_key",
+    "fiscal_calendar", "fiscal_period", "fiscal_span", "latest_flag", "latest_per_key", "latest_rank",
     "maybe_broadcast", "month_end_calendar", "percentile_carry", "percentile_measure",
     "predicate", "ratio_measure", "require_related", "scope", "segment", "stack",
     "sum_measure", "transition_scope",

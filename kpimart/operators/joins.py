@@ -156,3 +156,16 @@ def latest_flag(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], t
     out = df.join(latest, cond, "left")
     return (out.withColumn(flag_col, F.coalesce(F.col("__flag"), F.lit(0)))
                .drop(*[f"__lf{i}" for i in range(len(cols))], "__flag"))
+
+
+def latest_rank(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], tie: Sequence[str],
+                keep_latest: bool = False, flag_col: str = "is_latest") -> DataFrame:
+    """Latest record per key (O21): the flag on every row, or only the latest rows.
+
+    ``keep_latest=False`` (the source's default, its filter is commented
+    out) keeps all rows and adds ``flag_col``; ``True`` keeps the latest row
+    per key.
+    """
+    if keep_latest:
+        return latest_per_key(df, key, order, tie)
+    return latest_flag(df, key, order, tie, flag_col)

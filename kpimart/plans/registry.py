@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from kpimart.functions import (
     add_business_days_expr,
+    add_deadline,
+    month_keys,
     business_days_between,
-    deadline_expr,
     month_end,
-    month_start,
     prefix_flag,
     relabel,
     sla_flag,
@@ -32,8 +32,7 @@ from kpimart.operators import (
     fiscal_calendar,
     fiscal_period,
     fiscal_span,
-    latest_flag,
-    latest_per_key,
+    latest_rank,
     month_end_calendar,
     percentile_carry,
     percentile_measure,
@@ -77,8 +76,7 @@ def q(name: str):
 
 
 def _deadline(df: DataFrame) -> DataFrame:
-    return df.withColumn("TARGET_RESOLUTION_DATE",
-                         deadline_expr("service_date", "response_level", P.DEADLINE_DAYS, P.DEFAULT_DEADLINE_DAYS))
+    return add_deadline(df, "service_date", "response_level", P.DEADLINE_DAYS, P.DEFAULT_DEADLINE_DAYS)
 
 
 # ---- sources, sinks, staging (O01-O03) -------------------------------------
@@ -121,9 +119,8 @@ def _(spark, sf):
 
 @q("op_month_keys")
 def _(spark, sf):
-    o = spark.read.parquet(os.path.join(sf, "orders.parquet"))
-    return o.select("o_orderkey", "o_orderdate", month_end("o_orderdate").alias("Month_EndDate_Key"),
-                    month_start("o_orderdate").alias("Month_StartDate_Key"))
+    o = spark.read.parquet(os.path.join(sf, "orders.parquet")).select("o_orderkey", "o_orderdate")
+    return month_keys(o, "o_orderdate")
 
 
 @q("op_add_deadline")
@@ -235,14 +232,14 @@ def _(spark, sf):
 @q("op_latest_rank")
 def _(spark, sf):
     n = A.class_notice(spark, sf).select("ssl_info", *NOTICE_TIE, "record_date")
-    out = latest_flag(n, "ssl_info", ["record_date"], NOTICE_TIE, "LATEST_RECORD_ADDR")
+    out = latest_rank(n, "ssl_info", ["record_date"], NOTICE_TIE, keep_latest=False, flag_col="LATEST_RECORD_ADDR")
     return out.select("ssl_info", "l_orderkey", "l_linenumber", "l_suppkey", "record_date", "LATEST_RECORD_ADDR")
 
 
 @q("op_latest_per_key")
 def _(spark, sf):
     n = A.class_notice(spark, sf).select("ssl_info", *NOTICE_TIE, "record_date")
-    return latest_per_key(n, "ssl_info", ["record_date"], NOTICE_TIE).select(
+    return latest_rank(n, "ssl_info", ["record_date"], NOTICE_TIE, keep_latest=True).select(
         "ssl_info", "l_orderkey", "l_linenumber", "l_suppkey", "record_date")
 
 

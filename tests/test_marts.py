@@ -77,3 +77,18 @@ def test_permits_onepass_scans_each_source_once_per_mart(spark, inputs_small):
     plan = build("permits", inputs_small, TEST_PARAMS, "onepass", TIE)._jdf.queryExecution().executedPlan().toString()
     plain = build("permits", inputs_small, TEST_PARAMS, "plain", TIE)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") < plain.count("FileScan")
+
+
+def test_refresh_all_writes_four_marts(spark, inputs_small):
+    import tempfile
+
+    from kpimart.plans import refresh_all
+
+    target = tempfile.mkdtemp(prefix="kpimart-refresh-")
+    out = refresh_all(inputs_small, TEST_PARAMS, target, "onepass", TIE, partition_by={"permits": ["Section"]})
+    assert set(out) == {"calendar", "violations", "permits", "inspections"}
+    counts = {name: df.count() for name, df in out.items()}
+    for name, n in counts.items():
+        assert n == build(name, inputs_small, TEST_PARAMS, "onepass", TIE).count() > 0
+    again = refresh_all(inputs_small, TEST_PARAMS, target, "onepass", TIE)
+    assert {name: df.count() for name, df in again.items()} == counts   # replaced, not appended
