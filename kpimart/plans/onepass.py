@@ -69,15 +69,31 @@ def _expr(sql: str, alias: str):
     return F.expr(f"{sql} AS {sql_ident(alias)}")
 
 
-def _labels_sql(spec, load_sql: str) -> list[str]:
-    out = [f"'{KEY}', {sql_literal(spec.key)}", f"'Load_Date', {load_sql}"]
-    out += [f"{sql_literal(k)}, {sql_literal(v)}" for k, v in spec.labels.items()]
-    out += [f"{sql_literal(d)}, ''" for d in spec.collapse]
-    return out
-
+def _dims(specs: Sequence) -> list[str]:
+    """Output dimensions shared by specs unpivoted together, in a fixed order.
 
-def _row_sql(spec, load_sql: str, value: str, denominator: str, present: str, value_type: str) -> str:
-    fields = _labels_sql(spec, load_sql) + [
+    Every spec must supply each one, from its group columns (``by`` and
+    ``carry``) or as the ``''`` all-members sentinel (``collapse``).
+    """
+    dims: list[str] = []
+    for s in specs:
+        for d in list(s.by) + list(s.carry) + list(s.collapse):
+            if d not in dims:
+                dims.append(d)
+    for s in specs:
+        missing = set(dims) - set(s.by) - set(s.carry) - set(s.collapse)
+        if missing:
+            raise ValueError(f"{s.key}: no value for dimensions {sorted(missing)}")
+    return dims
+
+
+def _row_sql(spec, load_sql: str, dims: Sequence[str], value: str, denominator: str, present: str,
+             value_type: str) -> str:
+    fields = [f"'{KEY}', {sql_literal(spec.key)}", f"'Load_Date', {load_sql}"]
+    fields += [f"{sql_literal(k)}, {sql_literal(v)}" for k, v in sorted(spec.labels.items())]
+    grouped = set(spec.by) | set(spec.carry)
+    fields += [f"{sql_literal(d)}, {sql_ident(d) if d in grouped else chr(39) * 2}" for d in dims]
+    fields += [
         f"'{VALUE}', CAST({value} AS {value_type})",
         f"'{DENOM}', CAST({denominator} AS {value_type})",
         f"'__present', {present}",
@@ -85,15 +101,33 @@ def _row_sql(spec, load_sql: str, value: str, denominator: str, present: str, va
     return f"named_struct({', '.join(fields)})"
 
 
-def _long(agg: DataFrame, by: Sequence[str], rows: list[str], denom: bool) -> DataFrame:
+def _long(agg: DataFrame, rows: list[str], denom: bool) -> DataFrame:
     """Unpivot one struct per measure into rows, dropping absent measures."""
-    out = agg.selectExpr(*[sql_ident(b) for b in by], f"inline(array({', '.join(rows)}))")
+    out = agg.selectExpr(f"inline(array({', '.join(rows)}))")
     out = out.where("__present").drop("__present")
     return out if denom else out.drop(DENOM)
 
 
-def _simple_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_sql: str, value_type: str,
-                  denom: bool) -> DataFrame:
+def _grouping_id(by: Sequence[str], cols: Sequence[str]) -> int:
+    # grouping_id(): one bit per grouping column, first column highest, 1 = rolled up.
+    n = len(cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in by)
+
+
+def _simple_level(hist: DataFrame, sets: Sequence[tuple[str, ...]], specs: Sequence, load_sql: str,
+                  value_type: str, denom: bool) -> DataFrame:
+    """All count / ratio / sum measures of a base in one aggregate.
+
+    Measures grouped at different levels (detail and month) share one
+    ``GROUPING SETS`` aggregate, so the histogram is shuffled once; each
+    measure keeps only the rows of its own set (``grouping_id()``).
+    """
+    cols: list[str] = []
+    for b in sets:
+        cols += [c for c in b if c not in cols]
+    multi = len(sets) > 1
+    grouped = hist.groupingSets([list(b) for b in sets], *cols) if multi else hist.groupBy(*cols)
+    dims = _dims(specs)
     aggs, rows = [], []
     for i, s in enumerate(specs):
         f = spec_filter_sql(s)
@@ -106,9 +140,13 @@ def _simple_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_sql:
             v = f"sum(CASE WHEN {f} THEN {sql_ident(s.value)} * {N} END)"
             d = f"__d{i}"
         aggs += [_expr(v, f"__v{i}"), _expr(matched, f"__d{i}")]
-        rows.append(_row_sql(s, load_sql, f"__v{i}", d, f"__d{i} IS NOT NULL", value_type))
-    agg = hist.groupBy(*by).agg(*aggs)
-    return _long(agg, by, rows, denom)
+        present = f"__d{i} IS NOT NULL"
+        if multi:
+            present += f" AND __gid = {_grouping_id(s.by, cols)}"
+        rows.append(_row_sql(s, load_sql, dims, f"__v{i}", d, present, value_type))
+    if multi:
+        aggs.append(_expr("grouping_id()", "__gid"))
+    return _long(grouped.agg(*aggs), rows, denom)
 
 
 def _window(by: Sequence[str], order: str | None = None) -> str:
@@ -135,6 +173,7 @@ def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_
     so the level costs one shuffle of the (small) histogram.
     """
     q = sql_ident(specs[0].value)
+    dims = _dims(specs)
     cols = [sql_ident(b) for b in by] + [f"{q} AS __q"]
     for i, s in enumerate(specs):
         f = spec_filter_sql(s)
@@ -147,9 +186,9 @@ def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_
         aggs += [_expr(f"min(CASE WHEN {_hit(i, s.p)} THEN __q END)", f"__v{i}"),
                  _expr(f"max(coalesce(__nn{i}, 0))", f"__d{i}"),
                  _expr(f"max(__any{i})", f"__a{i}")]
-        rows.append(_row_sql(s, load_sql, f"__v{i}", f"__d{i}", f"__a{i} IS NOT NULL", value_type))
+        rows.append(_row_sql(s, load_sql, dims, f"__v{i}", f"__d{i}", f"__a{i} IS NOT NULL", value_type))
     agg = ranked.groupBy(*by).agg(*aggs)
-    return _long(agg, by, rows, denom)
+    return _long(agg, rows, denom)
 
 
 def _carry(hist: DataFrame, spec, load_sql: str, value_type: str, denom: bool) -> DataFrame:
@@ -175,31 +214,36 @@ def _carry(hist: DataFrame, spec, load_sql: str, value_type: str, denom: bool) -
     agg = spread.groupBy(*by, *spec.carry).agg(_expr("max(__pct)", "__v"),
                                                _expr("max(CASE WHEN __f THEN 1 END)", "__a"))
     d = sql_literal(spec.denominator if spec.denominator is not None else 0)
-    return _long(agg, by + list(spec.carry), [_row_sql(spec, load_sql, "__v", d, "__a IS NOT NULL", value_type)],
-                 denom)
+    return _long(agg, [_row_sql(spec, load_sql, _dims([spec]), "__v", d, "__a IS NOT NULL", value_type)], denom)
 
 
 def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_sql: str, value_type: str,
              denom: bool) -> list[DataFrame]:
     """Long-format rows of all ``specs`` over one base, tagged with ``__measure``."""
     hist = histogram(df, weight, specs)
-    levels: dict[tuple, list] = {}
-    for s in specs:
-        is_pct = s.kind in ("percentile", "carry")
-        levels.setdefault((is_pct, s.kind == "carry", s.value if is_pct else None, tuple(s.by), s.rename),
-                          []).append(s)
+    simple: dict[tuple, list] = {}
+    pct: dict[tuple, list] = {}
     out = []
-    for (is_pct, is_carry, _value, by, rename), ss in levels.items():
-        if is_carry:
-            parts = [_carry(hist, s, load_sql, value_type, denom) for s in ss]
-        elif is_pct:
-            parts = [_percentile_level(hist, by, ss, load_sql, value_type, denom)]
+    for s in specs:
+        if s.kind == "carry":
+            out.append(_renamed(_carry(hist, s, load_sql, value_type, denom), s.rename))
+        elif s.kind == "percentile":
+            pct.setdefault((s.value, tuple(s.by), s.rename), []).append(s)
         else:
-            parts = [_simple_level(hist, by, ss, load_sql, value_type, denom)]
-        out += [p.withColumnsRenamed(dict(rename)) if rename else p for p in parts]
+            dims = frozenset(s.by) | frozenset(s.collapse)
+            simple.setdefault((dims, s.rename), []).append(s)
+    for (_dims_key, rename), ss in simple.items():
+        sets = list(dict.fromkeys(tuple(s.by) for s in ss))
+        out.append(_renamed(_simple_level(hist, sets, ss, load_sql, value_type, denom), rename))
+    for (_value, by, rename), ss in pct.items():
+        out.append(_renamed(_percentile_level(hist, by, ss, load_sql, value_type, denom), rename))
     return out
 
 
+def _renamed(df: DataFrame, rename) -> DataFrame:
+    return df.withColumnsRenamed(dict(rename)) if rename else df
+
+
 def mart_rows(bases: Mapping, specs: Sequence, load_sql: str, value_type: str, denom: bool
               ) -> list[DataFrame]:
     by_base: dict[str, list] = {}

@@ -45,13 +45,16 @@ def conform(df: DataFrame, schema: StructType, required: Sequence[str] = ()) ->
     if missing:
         raise ValueError(f"missing mart columns {missing}")
     req = {r.lower() for r in required}
-    current = {f.name: f.dataType for f in df.schema.fields}
+    current = {f.name: f for f in df.schema.fields}
     cols = []
     for f in schema.fields:
         src = have[f.name.lower()]
         c = F.col(src)
-        if current[src] != f.dataType:
+        if current[src].dataType != f.dataType:
             c = c.cast(f.dataType.simpleString())
+        if f.nullable and not current[src].nullable and f.name.lower() not in req:
+            # Declared NULL-able: expose it as such whatever plan produced it.
+            c = F.when(c.isNotNull(), c)
         if f.name.lower() in req:
             c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL in required column {f.name}"))).otherwise(c)
         cols.append(c.alias(f.name))
