@@ -88,3 +88,21 @@ def test_scope_pushes_filters_to_scan(spark):
     schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert sorted(c.split(":")[0] for c in schema.split(",")) == ["o_orderdate", "o_orderkey", "o_orderstatus"]
     assert F is not None
+
+
+def test_sql_text_conditions_match_column_conditions(spark):
+    from kpimart.operators.scope import Segment, predicate, predicate_sql, segment_sql
+
+    df = spark.createDataFrame(
+        [("a", 1, dt.datetime(2022, 10, 1)), ("it's", 2, dt.datetime(2022, 10, 1, 0, 0, 1)),
+         ("back\\slash", None, None), (None, 3, dt.datetime(2023, 1, 1))],
+        "s string, n int, t timestamp_ntz")
+    conds = [("in", "s", ["a", "it's", "back\\slash"]), ("not_in", "s", ["a"]), ("not_in_or_null", "s", ["a"]),
+             ("eq", "s", "it's"), ("eq", "n", 2), ("not_null", "n"), ("gt", "t", dt.datetime(2022, 10, 1)),
+             ("ge", "t", dt.datetime(2022, 10, 1)), ("gt", "t", dt.date(2022, 10, 1))]
+    for c in conds:
+        by_col = sorted(map(str, df.filter(predicate(c)).collect()))
+        by_sql = sorted(map(str, df.filter(F.expr(predicate_sql(c))).collect()))
+        assert by_col == by_sql, c
+    seg = Segment("x", {"s": ("a", "it's"), "n": (1, 2)})
+    assert df.filter(seg.predicate()).count() == df.filter(F.expr(segment_sql(seg))).count() == 2
