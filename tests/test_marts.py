@@ -92,3 +92,18 @@ def test_refresh_all_writes_four_marts(spark, inputs_small):
         assert n == build(name, inputs_small, TEST_PARAMS, "onepass", TIE).count() > 0
     again = refresh_all(inputs_small, TEST_PARAMS, target, "onepass", TIE)
     assert {name: df.count() for name, df in again.items()} == counts   # replaced, not appended
+
+
+def test_permits_union_distinct_equals_union_all(spark, inputs_small):
+    from dataclasses import replace
+
+    from kpimart.plans import build_mart, permits
+    from kpimart.plans.mart import labels_disjoint
+    from kpimart.plans.refresh import mart_bases
+
+    assert labels_disjoint(permits.MART.measures)
+    bases = mart_bases("permits", inputs_small, TEST_PARAMS, "plain", TIE)
+    distinct = build_mart(permits.MART, bases, TEST_PARAMS.as_of, TEST_PARAMS.value_type, "plain")
+    union_all = build_mart(replace(permits.MART, distinct=False), bases, TEST_PARAMS.as_of,
+                           TEST_PARAMS.value_type, "plain")
+    assert rows(distinct) == rows(union_all)

@@ -81,3 +81,20 @@ def test_collapse_dims(spark):
     df = spark.createDataFrame([("m", "A-C"), ("m", "R-3")], "m string, jc string")
     out = count_measure(collapse_dims(df, ["jc"]), ["m", "jc"], L)
     assert [(r.m, r.jc, r.Measure_Values) for r in out.collect()] == [("m", "", Decimal("2.00"))]
+
+
+def test_percentile_aggregate_equals_window_distinct_form(spark):
+    from tests.conftest import SF0001
+
+    df = spark.read.parquet(f"{SF0001}/orders.parquet").select(
+        F.last_day(F.to_date("o_orderdate")).alias("m"), "o_orderpriority",
+        F.when(F.col("o_orderkey") % 11 == 0, None).otherwise(F.col("o_orderkey") % 97).alias("x"))
+    ours = percentile_measure(df, ["m", "o_orderpriority"], L, "x", 0.9)
+    df.createOrReplaceTempView("pct_src")
+    window_form = spark.sql("""
+        SELECT DISTINCT m, o_orderpriority, 'm' AS Measure_Type,
+          CAST(percentile_disc(0.9) WITHIN GROUP (ORDER BY x) OVER (PARTITION BY m, o_orderpriority)
+               AS DECIMAL(9,2)) AS Measure_Values,
+          CAST(count(x) OVER (PARTITION BY m, o_orderpriority) AS DECIMAL(9,2)) AS Denominator
+        FROM pct_src""")
+    assert rows(ours) == rows(window_form)
