@@ -52,19 +52,35 @@ def measure(key: str, inputs: Inputs, params: MartParams, plan: str = "onepass",
 
 
 def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str = "onepass",
-                tie: dict | None = None, partition_by: dict | None = None) -> dict[str, DataFrame]:
+                tie: dict | None = None, partition_by: dict | None = None, parallel: bool = True
+                ) -> dict[str, DataFrame]:
     """Rebuild and replace the calendar and the three subject marts.
 
-    Each mart is written to ``target_dir/<name>`` (a shared folder) with a
-    staged write, so a failed mart leaves its previous version in place.
+    Each mart is written to ``target_dir/<name>`` (a shared folder) and
+    replaced only after its rows were computed and validated, so a failed
+    mart leaves its previous version in place. With ``parallel`` the marts
+    are submitted from a thread pool: Spark runs their jobs concurrently,
+    so one mart's small final stages overlap another's scans. The first
+    failure is raised after every mart has finished.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     partition_by = partition_by or {}
-    out = {}
-    out["calendar"] = write_mart(build("calendar", inputs, params), calendar_schema(),
-                                 os.path.join(target_dir, "calendar"), REQUIRED, partition_by.get("calendar", ()))
     vt = decimal_type(params.value_type)
-    for name, mod in MARTS.items():
-        df = build(name, inputs, params, plan, tie)
-        out[name] = write_mart(df, mod.MART.schema(vt), os.path.join(target_dir, name), mod.MART.required,
-                               partition_by.get(name, ()))
-    return out
+    schemas = {"calendar": (calendar_schema(), REQUIRED)}
+    schemas.update({name: (mod.MART.schema(vt), mod.MART.required) for name, mod in MARTS.items()})
+
+    def one(name: str) -> DataFrame:
+        schema, required = schemas[name]
+        return write_mart(build(name, inputs, params, plan, tie), schema, os.path.join(target_dir, name),
+                          required, partition_by.get(name, ()))
+
+    names = list(schemas)
+    if not parallel:
+        return {name: one(name) for name in names}
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        futures = {name: pool.submit(one, name) for name in names}
+    errors = [f.exception() for f in futures.values() if f.exception() is not None]
+    if errors:
+        raise errors[0]
+    return {name: f.result() for name, f in futures.items()}
