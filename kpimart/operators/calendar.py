@@ -123,13 +123,16 @@ def business_day_calendar(cal: DataFrame, holidays: DataFrame | None = None,
     """Day calendar with a running business-day ordinal.
 
     ``bd_ord`` counts weekdays that are not holidays up to and including the
-    day. The calendar is bounded by its date span, so the ordered window
-    over it is small by construction.
+    day. The ordered window runs over the calendar's days in one task: the
+    calendar is bounded by its date span (366 rows per year), never by the
+    fact data.
     """
     days = cal.select(F.col("pkdate"))
     if holidays is not None:
+        # The holiday table's size is the caller's: no hint, AQE broadcasts it
+        # only when it measures small.
         h = holidays.select(F.to_date(holiday_col).alias("__h")).distinct()
-        days = days.join(F.broadcast(h), F.col("pkdate") == F.col("__h"), "left")
+        days = days.join(h, F.col("pkdate") == F.col("__h"), "left")
         is_hol = F.col("__h").isNotNull()
     else:
         is_hol = F.lit(False)
