@@ -66,3 +66,11 @@ def test_stage_modes(spark):
     c = stage(df, None, mode="checkpoint")
     assert c.count() == 100
     assert "LogicalRDD" in c._jdf.queryExecution().logical().toString()
+
+
+def test_read_source_from_table_name(spark):
+    spark.range(5).withColumn("Ward", F.lit("W1")).createOrReplaceTempView("kpimart_src_view")
+    df = read_source(spark, "kpimart_src_view", {"ID": "case_id", "ward": "ward"})
+    assert df.columns == ["case_id", "ward"] and df.count() == 5
+    with pytest.raises(ValueError, match="missing columns"):
+        read_source(spark, "kpimart_src_view", ["nope"])
