@@ -171,8 +171,10 @@ def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, va
         from kpimart.plans.onepass import KEY, mart_rows
 
         denom = "Denominator" in schema.fieldNames()
-        # Parts already carry the mart's columns and types; the union is by name.
-        parts = [p.drop(KEY) for p in mart_rows(bases, mart.measures, sql_literal(as_of), value_type, denom)]
+        # Parts carry the mart's columns and types (plus any grouping-only
+        # column, e.g. a raw code behind a label); keep the mart's columns.
+        cols = schema.fieldNames()
+        parts = [p.select(*cols) for p in mart_rows(bases, mart.measures, sql_literal(as_of), value_type, denom)]
         return conform(stack(parts, distinct=mart.distinct and not labels_disjoint(mart.measures)), schema,
                        mart.required)
     measures = build_measures(mart, bases, as_of, value_type, plan)

@@ -68,12 +68,12 @@ def bases(inputs: Inputs, params: P.MartParams, plan: str = "onepass", tie: tupl
     s2 = stage_vacant_reuse(inputs, params, tie)
     abatement = s1.select(F.col("ABATED_MONTH").alias(MONTH), F.col("response_level").alias("Violation_Type"),
                           F.col("grp").alias("Filter_1"), F.col("WARD").alias("Ward"), "SLA_MET_INDICATOR")
-    # Grouping by the label equals grouping by the raw class here: the scope
-    # keeps exactly the two mapped classes.
+    # Grouped by the raw class (the label is a function of it, no ELSE), as
+    # the source does; the mart's conform drops the raw class column.
     vacant = s2.select(F.col("VACANTPROP_PRODUCTIVEUSE_MONTH").alias(MONTH),
                        F.lit("").alias("Violation_Type"),
                        relabel("class_id_from", P.VACANT_CLASS_LABELS).alias("Filter_1"),
-                       F.col("WARD").alias("Ward"))
+                       F.col("WARD").alias("Ward"), "class_id_from")
     return {"abatement": Base(abatement), "vacant": Base(vacant)}
 
 
@@ -93,6 +93,9 @@ MART = MartSpec(
               where=(("eq", "Violation_Type", P.EMERGENCY), ("eq", "SLA_MET_INDICATOR", 1))),
         _spec("viol_routine_90d", "abatement", P.SEC_ABATEMENT_SPEED, P.M_NOIR_90,
               where=(("eq", "Violation_Type", P.ROUTINE), ("eq", "SLA_MET_INDICATOR", 1))),
-        _spec("viol_vacant_reuse", "vacant", P.SEC_HOUSING_VIOLATIONS, P.M_VACANT_REUSE),
+        MeasureSpec(key="viol_vacant_reuse", base="vacant", kind="count",
+                    labels={"Section": P.SEC_HOUSING_VIOLATIONS, "Sub_Section": P.SUMMARY,
+                            "Measure_Type": P.M_VACANT_REUSE},
+                    by=DIMS + ("class_id_from",), denominator=None),
     ),
 )
