@@ -14,8 +14,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_READS: dict[tuple[str, str], DataFrame] | None = None
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one table; inside :func:`load_all` each table is read once.
+
+    Every ``spark.read`` runs a small schema-inference job, and the adapters
+    share tables (orders feeds five of them).
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if _READS is None:
+        return spark.read.parquet(path)
+    if (sf_dir, name) not in _READS:
+        _READS[(sf_dir, name)] = spark.read.parquet(path)
+    return _READS[(sf_dir, name)]
 
 
 def _ward(c: Column) -> Column:
@@ -169,5 +182,10 @@ ADAPTERS = {
 
 
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All adapter tables for one scale-factor folder."""
-    return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}
+    """All adapter tables for one scale-factor folder (each source table read once)."""
+    global _READS
+    _READS = {}
+    try:
+        return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}
+    finally:
+        _READS = None
