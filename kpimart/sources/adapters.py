@@ -9,12 +9,13 @@ is the one fixed in FIXTURES.md section 3.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_READS: dict[tuple[str, str], DataFrame] | None = None
+_LOCAL = threading.local()   # per-thread table readers while load_all runs
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +25,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     share tables (orders feeds five of them).
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    if _READS is None:
+    reads = getattr(_LOCAL, "reads", None)
+    if reads is None:
         return spark.read.parquet(path)
-    if (sf_dir, name) not in _READS:
-        _READS[(sf_dir, name)] = spark.read.parquet(path)
-    return _READS[(sf_dir, name)]
+    if (sf_dir, name) not in reads:
+        reads[(sf_dir, name)] = spark.read.parquet(path)
+    return reads[(sf_dir, name)]
 
 
 def _ward(c: Column) -> Column:
@@ -183,9 +185,8 @@ ADAPTERS = {
 
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All adapter tables for one scale-factor folder (each source table read once)."""
-    global _READS
-    _READS = {}
+    _LOCAL.reads = {}
     try:
         return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}
     finally:
-        _READS = None
+        _LOCAL.reads = None
