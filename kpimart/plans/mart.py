@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,7 @@ WEIGHT = "__n"
 
 @dataclass(frozen=True)
 class MeasureSpec:
-    """One long-format measure: a block of the reference's UNION."""
+    """One long-format measure: one branch of the source's UNION."""
 
     key: str
     base: str
@@ -77,7 +77,6 @@ class MartSpec:
     measures: tuple[MeasureSpec, ...]
     distinct: bool
     required: tuple[str, ...] = ("Load_Date", "Month_EndDate_Key")
-    extra: Mapping[str, object] = field(default_factory=dict)
 
 
 @dataclass
