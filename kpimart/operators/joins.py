@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 # Row bound under which a side of known size is broadcast outright.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -120,9 +121,17 @@ def first_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str],
 
     ``row_number() == 1`` directly above the window: Catalyst inserts a
     partial WindowGroupLimit before the shuffle, so every task forwards at
-    most one row per key and a hot key never reaches one task whole.
+    most one row per key and a hot key never reaches one task whole. An
+    empty ``tie`` orders by all remaining columns, which keeps the choice
+    deterministic when a task is recomputed.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if not tie:
+        # No tie-breaker given (the source has none): order by every other
+        # column, so a recomputed task (lost executor) picks the same row;
+        # rows tied on all of them are identical anyway.
+        skip = set(keys) | set(order)
+        tie = [f.name for f in df.schema.fields if f.name not in skip and not isinstance(f.dataType, MapType)]
     w = Window.partitionBy(*keys).orderBy(*_order(order, descending), *[F.col(t).asc() for t in tie])
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 

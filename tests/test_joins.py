@@ -64,3 +64,11 @@ def test_latest_flag_matches_row_number(spark, inputs_small):
     assert rows(ours) == rows(ref)
     latest = latest_per_key(n.select("ssl_info", "record_date", *tie), "ssl_info", ["record_date"], tie)
     assert latest.count() == ours.filter("f = 1").count() == n.select("ssl_info").distinct().count()
+
+
+def test_first_per_key_without_tie_is_deterministic(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, t, "b"), (1, t, "a"), (2, t, "z")], "k long, d timestamp_ntz, v string")
+    first = first_per_key(df.repartition(3), "k", ["d"], [])
+    assert rows(first) == [(1, t, "a"), (2, t, "z")]
+    assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
