@@ -161,7 +161,7 @@ def labels_disjoint(specs: Sequence[MeasureSpec]) -> bool:
 
 
 def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, value_type: str,
-               plan: str = "onepass") -> DataFrame:
+               plan: str = "onepass", checkpoint: bool = False) -> DataFrame:
     """Stack all measures of a mart and conform them to its schema."""
     from kpimart.plans.schemas import decimal_type
 
@@ -173,7 +173,8 @@ def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, va
         # Parts carry the mart's columns and types (plus any grouping-only
         # column, e.g. a raw code behind a label); keep the mart's columns.
         cols = schema.fieldNames()
-        parts = [p.select(*cols) for p in mart_rows(bases, mart.measures, sql_literal(as_of), value_type, denom)]
+        parts = [p.select(*cols) for p in
+                 mart_rows(bases, mart.measures, sql_literal(as_of), value_type, denom, checkpoint)]
         return conform(stack(parts, distinct=mart.distinct and not labels_disjoint(mart.measures)), schema,
                        mart.required)
     measures = build_measures(mart, bases, as_of, value_type, plan)

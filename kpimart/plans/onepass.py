@@ -218,9 +218,14 @@ def _carry(hist: DataFrame, spec, load_sql: str, value_type: str, denom: bool) -
 
 
 def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_sql: str, value_type: str,
-             denom: bool) -> list[DataFrame]:
+             denom: bool, checkpoint: bool = False) -> list[DataFrame]:
     """Long-format rows of all ``specs`` over one base, tagged with ``__measure``."""
     hist = histogram(df, weight, specs)
+    if checkpoint:
+        from kpimart.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(hist.sparkSession)
+        hist = hist.checkpoint(eager=True)
     simple: dict[tuple, list] = {}
     pct: dict[tuple, list] = {}
     out = []
@@ -244,13 +249,13 @@ def _renamed(df: DataFrame, rename) -> DataFrame:
     return df.withColumnsRenamed(dict(rename)) if rename else df
 
 
-def mart_rows(bases: Mapping, specs: Sequence, load_sql: str, value_type: str, denom: bool
-              ) -> list[DataFrame]:
+def mart_rows(bases: Mapping, specs: Sequence, load_sql: str, value_type: str, denom: bool,
+              checkpoint: bool = False) -> list[DataFrame]:
     by_base: dict[str, list] = {}
     for s in specs:
         by_base.setdefault(s.base, []).append(s)
     out = []
     for name, ss in by_base.items():
         b = bases[name]
-        out += evaluate(b.df, b.weight, ss, load_sql, value_type, denom)
+        out += evaluate(b.df, b.weight, ss, load_sql, value_type, denom, checkpoint)
     return out

@@ -109,6 +109,10 @@ class MartParams:
     fy_start_month: int = 10
     keep_latest_notice: bool = False   # the reference leaves this filter off
     value_type: str = "decimal(9,2)"
+    # One-pass plan: reliably checkpoint each (small) histogram into
+    # spark.checkpoint.dir, so a lost executor in a later stage never
+    # rescans the base tables.
+    checkpoint_histograms: bool = False
 
     def with_(self, **kw) -> MartParams:
         return replace(self, **kw)

@@ -35,7 +35,7 @@ def build(name: str, inputs: Inputs, params: MartParams, plan: str = "onepass",
         return mart_calendar(inputs, params)
     mod = MARTS[name]
     return build_mart(mod.MART, mart_bases(name, inputs, params, plan, tie), params.as_of, params.value_type,
-                      plan)
+                      plan, params.checkpoint_histograms)
 
 
 def measure(key: str, inputs: Inputs, params: MartParams, plan: str = "onepass", tie: dict | None = None
