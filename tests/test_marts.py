@@ -112,3 +112,15 @@ def test_checkpointed_histograms_give_same_mart(spark, inputs_small):
     a = build("permits", inputs_small, params, "onepass", TIE)
     assert "LogicalRDD" in a._jdf.queryExecution().logical().toString()     # lineage cut at the histogram
     assert rows(a) == rows(build("permits", inputs_small, TEST_PARAMS, "onepass", TIE))
+
+
+def test_refresh_all_parallel_equals_sequential(spark, inputs_small):
+    import tempfile
+
+    from kpimart.plans import refresh_all
+
+    par = refresh_all(inputs_small, TEST_PARAMS, tempfile.mkdtemp(prefix="kpimart-par-"), "onepass", TIE)
+    seq = refresh_all(inputs_small, TEST_PARAMS, tempfile.mkdtemp(prefix="kpimart-seq-"), "onepass", TIE,
+                      parallel=False)
+    for name in par:
+        assert rows(par[name]) == rows(seq[name]), name
