@@ -53,11 +53,19 @@ def stage_vacant_reuse(inputs: Inputs, params: P.MartParams, tie: tuple[str, ...
                          P.VACANT_FROM_CLASSES, P.VACANT_TO_CLASSES,
                          extra=[("in", "workflow_status", P.OCCUPIED_WORKFLOW_STATUSES),
                                 ("eq", "update_status", P.UPDATE_SUCCESS)])
-    n = enrich(n, inputs["address"], {"otr_address": "address_id"}, ["ward"], distinct=True)
+    owners_ok = F.col("delcode") != F.lit(P.OWNER_EXCLUDED_CODE)
     if params.keep_latest_notice:
+        # The source's order: the latest-record rank sees the rows before the
+        # owner check.
+        n = enrich(n, inputs["address"], {"otr_address": "address_id"}, ["ward"], distinct=True)
         n = latest_per_key(n, "ssl_info", ["record_date"], list(tie))
-    n = require_related(n, inputs["owner_points"], {"ssl_info": "ssl_key"},
-                        F.col("delcode") != F.lit(P.OWNER_EXCLUDED_CODE), columns=["delcode"])
+        n = require_related(n, inputs["owner_points"], {"ssl_info": "ssl_key"}, owners_ok, columns=["delcode"])
+    else:
+        # Same rows in either order (the owner predicate reads owner columns
+        # only; both joins' fan-outs multiply), but checking owners first
+        # drops rows before the second join's shuffle.
+        n = require_related(n, inputs["owner_points"], {"ssl_info": "ssl_key"}, owners_ok, columns=["delcode"])
+        n = enrich(n, inputs["address"], {"otr_address": "address_id"}, ["ward"], distinct=True)
     return n.select(month_end("update_date_time").alias("VACANTPROP_PRODUCTIVEUSE_MONTH"),
                     *NOTICE_COLUMNS, F.col("ward").alias("WARD"))
 

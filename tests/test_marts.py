@@ -124,3 +124,13 @@ def test_refresh_all_parallel_equals_sequential(spark, inputs_small):
                       parallel=False)
     for name in par:
         assert rows(par[name]) == rows(seq[name]), name
+
+
+def test_latest_notice_filter_on(spark, inputs_small):
+    params = TEST_PARAMS.with_(keep_latest_notice=True)
+    on = build("violations", inputs_small, params, "onepass", TIE)
+    off = build("violations", inputs_small, TEST_PARAMS, "onepass", TIE)
+    assert rows(on) == rows(build("violations", inputs_small, params, "plain", TIE))
+    vac = "Measure_Type = 'Vacant Properties Returned to Productive Use'"
+    assert 0 < on.filter(vac).agg({"Measure_Values": "sum"}).first()[0] <= \
+        off.filter(vac).agg({"Measure_Values": "sum"}).first()[0]
