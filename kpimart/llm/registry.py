@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from kpimart.llm.chat import OP7_SQL, op7_chat
+from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
 from kpimart.llm.token_files import op10_token_files
 
 QUERIES = {
     "op4_pack": op4_pack,
+    "op7_chat": op7_chat,
+    "op8_mix": op8_mix,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_chat": OP7_SQL}
