@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +23,8 @@ MARKS = ".,;:!?|"
 
 PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 PLAIN = re.compile(f"([{LETTERS}]+)([{MARKS}]*)")
-UNSAFE = re.compile(f"[{WHITE}](?=[{WHITE}])|^ | $|[\x1c-\x1f]")
+SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python only
+RARE = re.compile(f"[{WHITE[:1] + WHITE[2:5] + WHITE[6:]}]")  # all but blank and line end
 CACHE_WORDS = 300_000  # in each of two generations
 
 
@@ -74,8 +76,11 @@ class Encoder:
 
     def core(self, word: str) -> bytes:
         """Ids of one pre-token: Latin letters or marks, maybe after a space."""
-        shown = word.encode().decode("latin-1").translate(self.shown)
-        return np.asarray([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        if word.isascii():
+            shown = word.replace(" ", self.shown[32]).replace("\n", self.shown[10])
+        else:
+            shown = word.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def piece(self, word: str) -> bytes:
         """Ids of a word with the white space before it."""
@@ -95,11 +100,12 @@ class Encoder:
     def text(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if UNSAFE.search(text) if self.spaced else re.search("[\x1c-\x1f]", text):
-            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
-        words = text.split(" ") if self.spaced else text.split()
-        if self.spaced:
-            words = [words[0], *map(" ".__add__, words[1:])]
+        if not self.spaced:
+            words = PIECES.findall(text) if SEPARATORS.search(text) else text.split()
+        elif (text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or RARE.search(text)):
+            words = PIECES.findall(text)
+        else:  # single blanks between words
+            words = text.replace(" ", "\x1c ").split("\x1c") if "\x1c" not in text else PIECES.findall(text)
         return b"".join(map(self.pieces.__getitem__, words))
 
 
