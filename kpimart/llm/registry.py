@@ -5,12 +5,16 @@ from __future__ import annotations
 from kpimart.llm.chat import OP7_SQL, op7_chat
 from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
+from kpimart.llm.quality import op5_quality
 from kpimart.llm.token_files import op10_token_files
+from kpimart.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op4_pack": op4_pack,
+    "op5_quality": op5_quality,
     "op7_chat": op7_chat,
     "op8_mix": op8_mix,
+    "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
 }
 
