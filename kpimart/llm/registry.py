@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from kpimart.llm.chat import OP7_SQL, op7_chat
+from kpimart.llm.fingerprints import op1_fingerprints
 from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
 from kpimart.llm.quality import op5_quality
@@ -10,6 +11,7 @@ from kpimart.llm.token_files import op10_token_files
 from kpimart.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
     "op7_chat": op7_chat,
