@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from kpimart.llm.chat import OP7_SQL, op7_chat
+from kpimart.llm.dedup import op2_minhash
 from kpimart.llm.fingerprints import op1_fingerprints
 from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
+from kpimart.llm.pii import op6_pii
 from kpimart.llm.quality import op5_quality
 from kpimart.llm.token_files import op10_token_files
 from kpimart.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_minhash": op2_minhash,
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
+    "op6_pii": op6_pii,
     "op7_chat": op7_chat,
     "op8_mix": op8_mix,
     "op9_toxicity": op9_toxicity,
