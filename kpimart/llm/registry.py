@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kpimart.llm.ann import op3_neighbours
 from kpimart.llm.chat import OP7_SQL, op7_chat
 from kpimart.llm.dedup import op2_minhash
 from kpimart.llm.fingerprints import op1_fingerprints
@@ -15,6 +16,7 @@ from kpimart.llm.toxicity import op9_toxicity
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_minhash": op2_minhash,
+    "op3_neighbours": op3_neighbours,
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
     "op6_pii": op6_pii,
