@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpimart.llm.common import cut, global_rank, table
+from kpimart.llm.common import cut, fresh, global_rank, table
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 TINY = 1e-9
@@ -172,6 +172,23 @@ def mix_sources(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5,
         "copies", (copies + F.coalesce("extra", F.lit(0))).cast("int")).drop("rate", "d", "m", "k", "extra")
 
 
+def copies_of(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              source_col: str = "source") -> DataFrame:
+    """``docs`` with each row as often as ``mix`` (from ``mix_sources`` over the same rows) takes it.
+
+    Empty documents have no words to mix and are left out.
+    """
+    mark, n = fresh(docs, "mark"), fresh(docs, "n")
+    same = Window.partitionBy(id_col, mark).orderBy(F.lit(0))
+    rows = docs.withColumn(mark, F.xxhash64(text_col, source_col)).withColumn(n, F.row_number().over(same))
+    taken = mix.filter((F.col("copies") > 0) & (F.col("size") > 0)).select(
+        F.col("doc_id").alias("taken_id"), F.col("mark").alias("taken_mark"), F.col("n").alias("taken_n"), "copies")
+    taken = taken.toDF(*[fresh(docs, c) for c in taken.columns])
+    i, m, k, copies = (F.col(c) for c in taken.columns)
+    found = rows.join(taken, F.col(id_col).eqNullSafe(i) & (F.col(mark) == m) & (F.col(n) == k))
+    return found.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), copies)).alias(fresh(docs, "copy"))).select(*docs.columns)
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
