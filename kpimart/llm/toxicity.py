@@ -106,7 +106,7 @@ def sparse(rows: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndar
     return row[hit], col[hit]
 
 
-def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], fair: float = 1.0, ridge: float = 0.5, least: int = 4,
+def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], fair: float = 1.0, ridge: float = 2.0, least: int = 4,
         steps: int = 300, rate: float = 0.05) -> Model:
     """``samples``: features of a text, features of its counterfactual, label (1 toxic)."""
     y = np.array([s[2] for s in samples], float)
@@ -119,7 +119,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], fair: float = 1.0, ri
     rate1, rate0 = (n1 + 0.5) / (y.sum() + 1), (n - n1 + 0.5) / (len(y) - y.sum() + 1)
     spread = np.sqrt(rate1 * (1 - rate1) / y.sum() + rate0 * (1 - rate0) / (len(y) - y.sum()))
     swapped = np.unique(np.concatenate([features({t}) for t in TERMS]))
-    keep = ((n >= least) & (np.abs(rate1 - rate0) > 2 * spread)) | np.isin(ids, swapped)
+    keep = ((n >= least) & (np.abs(rate1 - rate0) > 2.5 * spread)) | np.isin(ids, swapped)
     ids = ids[keep]
     row, col = sparse([s[0] for s in samples], ids)
     # A pair's difference has only the swapped terms' features.
