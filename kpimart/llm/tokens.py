@@ -25,7 +25,7 @@ PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 PLAIN = re.compile(f"([{LETTERS}]+)([{MARKS}]*)")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python only
 RARE = re.compile(f"[{WHITE[:1] + WHITE[2:5] + WHITE[6:]}]")  # all but blank and line end
-CACHE_WORDS = 300_000  # in each of two generations
+CACHE_WORDS = 450_000  # in each of two generations
 
 
 def _byte_letters() -> dict[int, str]:
@@ -69,13 +69,13 @@ class Encoder:
         self.model, self.shown = self.tokenizer.model, _byte_letters()
         # Both kinds are told apart by what they do with white space.
         self.spaced = bool(self.whole(" "))
-        self.cores, self.pieces = Words(self.core), Words(self.piece)
+        self.pieces = Words(self.piece)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def core(self, word: str) -> bytes:
-        """Ids of one pre-token: Latin letters or marks, maybe after a space."""
+        """Ids of one pre-token: Latin letters, maybe after a space."""
         if word.isascii():
             shown = word.replace(" ", self.shown[32]).replace("\n", self.shown[10])
         else:
@@ -89,13 +89,12 @@ class Encoder:
         if not m:
             parts = PIECES.findall(word)
             return b"".join(map(self.pieces.__getitem__, parts)) if len(parts) > 1 else self.whole(word)
-        if not self.spaced:
-            core = self.cores[m[1].lower()]
-        elif word[0] == "\n":
-            core = self.cores["\n"] + self.cores[m[1]]
+        core, marks = word[:m.end(1)] if self.spaced else m[1].lower(), m[2]
+        if core[0] == "\n":
+            ids = self.pieces["\n"] + self.pieces[m[1]]
         else:
-            core = self.cores[word[:m.end(1)]]
-        return core + self.cores[m[2]] if m[2] else core
+            ids = self.core(core) if core == word else self.pieces[core]
+        return ids + self.pieces[marks] if marks else ids
 
     def text(self, text: str | None) -> bytes:
         if not text:
