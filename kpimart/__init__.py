@@ -5,7 +5,6 @@ Layers:
   operators/  DataFrame operators (calendar, scope, joins, measures, stack)
   sources/    scans with declared columns, mart sink, staging, test adapters
   plans/      the four marts as measure specs, plain and one-pass plans
-  streaming/  empty: the source work has no streaming part
 """
 
 from kpimart.session import ensure_checkpoint_dir, get_session

@@ -21,7 +21,7 @@ def _c(c: ColumnOrName) -> Column:
 def ts_lit(value: dt.datetime | dt.date | str) -> Column:
     """A TIMESTAMP_NTZ literal, independent of the session time zone."""
     if isinstance(value, dt.datetime):
-        text = value.strftime("%Y-%m-%d %H:%M:%S")
+        text = value.isoformat(" ")  # with the fraction of a second, if any
     elif isinstance(value, dt.date):
         text = value.isoformat() + " 00:00:00"
     else:

@@ -67,8 +67,8 @@ def prefix_flag(c: ColumnOrName, prefix: str, ignore_case: bool = True) -> Colum
 
 
 def relabel(c: ColumnOrName, mapping: Mapping[str, str], default: ColumnOrName | None = None,
-            keep_other: bool = False) -> Column:
-    """Map codes to labels.
+            keep_other: bool = False, ignore_case: bool = False) -> Column:
+    """Map codes to labels (O16); ``ignore_case`` compares without case and trailing blanks.
 
     ``keep_other=True`` keeps unmapped values (merging spellings);
     otherwise unmapped values give ``default`` (NULL when None, a CASE
@@ -77,10 +77,11 @@ def relabel(c: ColumnOrName, mapping: Mapping[str, str], default: ColumnOrName |
     col = _c(c)
     by_label: dict[str, list[str]] = {}
     for code, label in mapping.items():
-        by_label.setdefault(label, []).append(code)
+        by_label.setdefault(label, []).append(code.rstrip(" ").lower() if ignore_case else code)
     out = None
+    key = F.lower(F.rtrim(col)) if ignore_case else col
     for label, codes in by_label.items():
-        cond = col == codes[0] if len(codes) == 1 else col.isin(codes)
+        cond = key == codes[0] if len(codes) == 1 else key.isin(codes)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     if keep_other:
         fallback = col

@@ -4,20 +4,23 @@ from kpimart.operators.calendar import (
     add_business_days,
     business_day_calendar,
     calendar_rows,
+    calendar_of,
     fiscal_calendar,
     fiscal_period,
-    fiscal_span,
     month_end_calendar,
 )
 from kpimart.operators.joins import (
     enrich,
     enrich_multiplicity,
+    enrich_weighted,
     first_per_key,
     latest_flag,
     latest_per_key,
     latest_rank,
     maybe_broadcast,
     require_related,
+    require_related_weighted,
+    row_rank,
 )
 from kpimart.operators.measures import (
     collapse_dims,
@@ -39,9 +42,9 @@ from kpimart.operators.stack import stack
 
 __all__ = [
     "Segment", "add_business_days", "all_of", "business_day_calendar", "calendar_rows",
-    "collapse_dims", "count_measure", "enrich", "enrich_multiplicity", "first_per_key",
-    "fiscal_calendar", "fiscal_period", "fiscal_span", "latest_flag", "latest_per_key", "latest_rank",
+    "collapse_dims", "count_measure", "enrich", "enrich_multiplicity", "enrich_weighted", "first_per_key",
+    "calendar_of", "fiscal_calendar", "fiscal_period", "latest_flag", "latest_per_key", "latest_rank",
     "maybe_broadcast", "month_end_calendar", "percentile_carry", "percentile_measure",
-    "predicate", "ratio_measure", "require_related", "scope", "segment", "stack",
+    "predicate", "ratio_measure", "require_related", "require_related_weighted", "row_rank", "scope", "segment", "stack",
     "sum_measure", "transition_scope",
 ]

@@ -27,45 +27,45 @@ def fiscal_calendar(spark: SparkSession, start: dt.date, end: dt.date,
     ``fy_start_month=10`` it runs 1 October to 30 September.
     """
     n = calendar_rows(start, end)
-    parts = max(1, n // 200_000 + 1)
-    shift = (13 - fy_start_month) % 12
-    day = F.date_add(date_lit(start), F.col("id").cast("int"))
-    fy_shifted = F.add_months(F.col("pkdate"), shift)
-    return (
-        spark.range(0, n, 1, parts)
-        .select(day.alias("pkdate"))
-        .select(
-            "pkdate",
-            F.year(fy_shifted).alias("fiscal_year"),
-            F.concat(F.lit("Q"), F.quarter(fy_shifted).cast("string")).alias("fiscal_quarter"),
-            F.concat(F.lit("FY"), F.year(fy_shifted).cast("string"), F.lit(" Q"),
-                     F.quarter(fy_shifted).cast("string")).alias("fiscal_quarter_char_desc"),
-            F.date_format("pkdate", "MMM").alias("calendar_month_name_short"),
-            F.year("pkdate").alias("calendar_year"),
-        )
+    days = spark.range(0, n, 1, max(1, n // 200_000 + 1)).select(
+        F.date_add(date_lit(start), F.col("id").cast("int")).alias("pkdate"))
+    return fiscal_days(days, fy_start_month)
+
+
+def fiscal_days(days: DataFrame, fy_start_month: int = 10) -> DataFrame:
+    """The fiscal columns of days (``pkdate``)."""
+    shifted = F.add_months(F.col("pkdate"), (13 - fy_start_month) % 12)
+    year, quarter = F.year(shifted), F.concat(F.lit("Q"), F.quarter(shifted).cast("string"))
+    return days.select(
+        "pkdate",
+        year.alias("fiscal_year"),
+        quarter.alias("fiscal_quarter"),
+        F.concat(F.lit("FY"), year.cast("string"), F.lit(" "), quarter).alias("fiscal_quarter_char_desc"),
+        F.date_format("pkdate", "MMM").alias("calendar_month_name_short"),
+        F.year("pkdate").alias("calendar_year"),
     )
 
 
-def fiscal_span(df: DataFrame, date_col: str, fy_start_month: int = 10,
-                pad_years: int = 1) -> tuple[dt.date, dt.date]:
-    """Whole fiscal years covering a date column, padded by ``pad_years``.
+def calendar_of(facts: DataFrame, date_col: str, start: dt.date, end: dt.date, fy_start_month: int = 10,
+                pad_years: int = 1) -> DataFrame:
+    """Day calendar over whole fiscal years around ``[start, end]`` and the dates of ``facts``.
 
-    Runs one min/max aggregate (partial per task, one row to the driver).
-    Raises on an empty input.
+    The span is a one-row aggregate of the fact table, padded by
+    ``pad_years`` fiscal years on both sides and exploded to days, all inside
+    the plan: nothing runs while it is built, and a late date in the facts
+    cannot fall off the calendar.
     """
-    row = df.agg(F.min(F.to_date(date_col)).alias("lo"), F.max(F.to_date(date_col)).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        raise ValueError(f"no dates in {date_col}; cannot size the calendar")
-
-    def fy(d: dt.date) -> int:
-        return d.year + (1 if fy_start_month > 1 and d.month >= fy_start_month else 0)
+    day = F.to_date(date_col)
+    span = facts.agg(F.least(F.min(day), date_lit(start)).alias("lo"), F.greatest(F.max(day), date_lit(end)).alias("hi"))
+    back = (fy_start_month - 1) % 12
 
-    def fy_first(year: int) -> dt.date:
-        return dt.date(year - 1, fy_start_month, 1) if fy_start_month > 1 else dt.date(year, 1, 1)
+    def opens(d: Column) -> Column:
+        """First day of the fiscal year of ``d``."""
+        return F.add_months(F.trunc(F.add_months(d, -back), "year"), back)
 
-    start = fy_first(fy(row["lo"]) - pad_years)
-    end = fy_first(fy(row["hi"]) + pad_years + 1) - dt.timedelta(days=1)
-    return start, end
+    first = F.add_months(opens(F.col("lo")), -12 * pad_years)
+    last = F.date_sub(F.add_months(opens(F.col("hi")), 12 * (pad_years + 1)), 1)
+    return fiscal_days(span.select(F.explode(F.sequence(first, last)).alias("pkdate")), fy_start_month)
 
 
 def month_end_calendar(cal: DataFrame, as_of: dt.datetime, start: dt.date) -> DataFrame:
@@ -73,7 +73,8 @@ def month_end_calendar(cal: DataFrame, as_of: dt.datetime, start: dt.date) -> Da
 
     Keeps month-end days in [start, EOMONTH(as_of)] and derives previous
     month end, same month last year, the ``M-YY`` display label and the
-    latest / previous / same-month-last-year indicators from ``as_of``.
+    latest / previous / same-month-last-year indicators from ``as_of``. A
+    calendar in which one of these months is missing raises when the job runs.
     """
     d = F.col("pkdate")
     as_of_d = date_lit(as_of.date() if isinstance(as_of, dt.datetime) else as_of)
@@ -81,11 +82,19 @@ def month_end_calendar(cal: DataFrame, as_of: dt.datetime, start: dt.date) -> Da
     def indicator(target: Column) -> Column:
         return F.when(F.last_day(d) == F.last_day(target), 1).otherwise(0)
 
+    # Months are few: one ordered window sees them all and fails on a gap.
+    w = Window.orderBy("pkdate")
+    first, last = F.last_day(date_lit(start)), F.last_day(as_of_d)
+    due = F.coalesce(F.last_day(F.add_months(F.lag(d).over(w), 1)), first)
+    gap = (d != due) | (F.lead(d).over(w).isNull() & (d != last))
+    months = cal.filter((d == F.last_day(d)) & (d >= date_lit(start)) & (d <= last)).select("*", gap.alias("__gap"))
+    whole = F.when(F.col("__gap"), F.raise_error(F.concat(
+        F.lit("the calendar misses a month next to "), d.cast("string")))).otherwise(d)
     return (
-        cal.filter((d == F.last_day(d)) & (d >= date_lit(start)) & (d <= F.last_day(as_of_d)))
+        months
         .select(
             ts_lit(as_of).alias("Load_Date"),
-            d.alias("Month_EndDate_Key"),
+            whole.cast("date").alias("Month_EndDate_Key"),
             F.last_day(F.add_months(d, -1)).alias("Month_EndDate_PreviousMonth"),
             F.last_day(F.add_months(d, -12)).alias("Month_EndDate_PreviousYearMonth"),
             F.col("fiscal_year").cast("int").alias("Fiscal_Year"),
@@ -152,17 +161,21 @@ def add_business_days(df: DataFrame, start: str | Column, n: int, out_col: str,
     Without a business-day calendar this is the closed weekday formula.
     With one (holidays), the start's business ordinal is looked up and the
     day with ordinal + n is the answer; both lookups are equi-joins against
-    the bounded calendar.
+    the bounded calendar. A date off the calendar, or whose answer is, raises
+    when the job runs; a NULL date stays NULL.
     """
     from kpimart.functions.dates import add_business_days_expr
 
     start_c = F.col(start) if isinstance(start, str) else start
     if bd_cal is None:
         return df.withColumn(out_col, add_business_days_expr(start_c, n))
-    first = maybe_broadcast(bd_cal.select(F.col("pkdate").alias("__d0"), F.col("bd_ord").alias("__o0")), cal_rows)
+    first = bd_cal.select(F.col("pkdate").alias("__d0"), F.col("bd_ord").alias("__o0"))
     target = (bd_cal.filter("is_business_day")
-              .select(F.col("pkdate").alias(out_col), F.col("bd_ord").alias("__o1")))
-    target = maybe_broadcast(target, cal_rows)
-    return (df.join(first, F.to_date(start_c) == F.col("__d0"), "left")
+              .select(F.col("pkdate").alias("__t"), F.col("bd_ord").alias("__o1")))
+    first, target = maybe_broadcast(first, cal_rows), maybe_broadcast(target, cal_rows)
+    day = F.to_date(start_c)
+    off = F.raise_error(F.concat(F.lit(f"no calendar day {n} business days after "), day.cast("string")))
+    return (df.join(first, day == F.col("__d0"), "left")
               .join(target, (F.col("__o0") + F.lit(n)) == F.col("__o1"), "left")
-              .drop("__d0", "__o0", "__o1"))
+              .withColumn(out_col, F.when(day.isNotNull() & F.col("__t").isNull(), off.cast("date")).otherwise(F.col("__t")))
+              .drop("__d0", "__o0", "__t", "__o1"))

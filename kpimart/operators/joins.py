@@ -69,6 +69,38 @@ def enrich(df: DataFrame, dim: DataFrame, on: JoinOn, columns: Sequence[str],
     return df.join(right, _cond(df, pairs, keys), "left").drop(*keys)
 
 
+def enrich_weighted(df: DataFrame, dim: DataFrame, on: JoinOn, columns: Sequence[str], weight_col: str = "_w",
+                    base_weight: str | None = None) -> DataFrame:
+    """``enrich`` with equal fan-out rows kept as one row and a weight.
+
+    The lookup is first reduced to ``(key, columns, n)`` with a map-side
+    combine, so a case that is hot on both sides gives its distinct lookup
+    values once a row instead of every pairing. An unmatched row stays with
+    weight 1.
+    """
+    pairs = _pairs(on)
+    right, keys = _keyed(dim, pairs, columns, "__wk")
+    right = right.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("__wn"))
+    out = df.join(right, _cond(df, pairs, keys), "left")
+    w = F.coalesce(F.col("__wn"), F.lit(1)).cast("long")
+    if base_weight is not None:
+        w = w * F.col(base_weight)
+    return out.withColumn(weight_col, w).drop(*keys, "__wn")
+
+
+def require_related_weighted(df: DataFrame, dim: DataFrame, on: JoinOn, predicate: Column, weight_col: str = "_w",
+                             base_weight: str | None = None) -> DataFrame:
+    """``require_related`` with the number of related rows as a weight; ``predicate`` reads ``dim`` only."""
+    pairs = _pairs(on)
+    keys = [f"__rw{i}" for i in range(len(pairs))]
+    counts = (dim.filter(predicate).select(*[F.col(r).alias(k) for (_, r), k in zip(pairs, keys)])
+                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("__rn")))
+    w = F.col("__rn").cast("long")
+    if base_weight is not None:
+        w = w * F.col(base_weight)
+    return df.join(counts, _cond(df, pairs, keys)).withColumn(weight_col, w).drop(*keys, "__rn")
+
+
 def enrich_multiplicity(df: DataFrame, dim: DataFrame, on: JoinOn, weight_col: str = "_w",
                         base_weight: str | None = None) -> DataFrame:
     """Fan-out of a left join that adds no columns, kept as a row weight.
@@ -150,8 +182,9 @@ def latest_flag(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], t
     comparison is what is computed. The latest ``(key, order, tie)`` per key
     comes from :func:`first_per_key` (partial top-1 per task) and is joined
     back on key, order and tie: the join keys spread a hot key over many
-    partitions and the right side holds one row per key. ``tie`` must make
-    rows unique within a key; fully tied rows would all be flagged.
+    partitions and the right side holds one row per key. Of rows tied on all
+    of these one is flagged, as a row number would: they are numbered among
+    themselves, over the partitioning the join already made.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not tie:
@@ -166,10 +199,29 @@ def latest_flag(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], t
         e = df[c].eqNullSafe(F.col(f"__lf{i}"))
         cond = e if cond is None else cond & e
     out = df.join(latest, cond, "left")
-    return (out.withColumn(flag_col, F.coalesce(F.col("__flag"), F.lit(0)))
+    return (out.withColumn(flag_col, one_of_equal(F.col("__flag").isNotNull(), cols))
                .drop(*[f"__lf{i}" for i in range(len(cols))], "__flag"))
 
 
+def one_of_equal(found: Column, cols: Sequence[str]) -> Column:
+    """1 on one of the ``found`` rows of each combination of ``cols``, else 0."""
+    n = F.row_number().over(Window.partitionBy(*cols).orderBy(F.lit(0)))
+    return F.when(found & (n == 1), 1).otherwise(0)
+
+
+def row_rank(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], tie: Sequence[str],
+             out_col: str, descending: bool = False) -> DataFrame:
+    """The row number itself within each key by ``order`` then ``tie``.
+
+    A rank needs its key's rows in one sort, so this costs a shuffle by key;
+    where only the first row counts, :func:`first_per_key` and
+    :func:`latest_flag` avoid that.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys).orderBy(*_order(order, descending), *[F.col(t).asc() for t in tie])
+    return df.withColumn(out_col, F.row_number().over(w))
+
+
 def latest_rank(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], tie: Sequence[str],
                 keep_latest: bool = False, flag_col: str = "is_latest") -> DataFrame:
     """Latest record per key (O21): the flag on every row, or only the latest rows.

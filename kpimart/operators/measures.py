@@ -13,6 +13,7 @@ plan, where a pre-aggregated histogram row carries its row count.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,10 +120,15 @@ def _ranked_values(df: DataFrame, keys: list[str], extra: list[str], q: Column,
                        F.sum(F.when(nonnull, F.col("__c"))).over(part).alias("__nn"))
 
 
+def exact_share(p: float) -> tuple[int, int]:
+    """``p`` as written in decimal, as a fraction of whole numbers."""
+    return Decimal(str(p)).as_integer_ratio()
+
+
 def _hit(p: float) -> Column:
-    # PERCENTILE_DISC: the smallest value whose running count reaches ceil(p * n).
-    need = F.greatest(F.ceil(F.lit(float(p)) * F.col("__nn")), F.lit(1))
-    return F.col("__q").isNotNull() & (F.col("__run") >= need)
+    # PERCENTILE_DISC: the smallest value whose share of rows at or below it reaches p.
+    num, den = exact_share(p)
+    return F.col("__q").isNotNull() & (F.col("__run") * den >= F.col("__nn") * num)
 
 
 def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quantity: Column | str,
@@ -131,21 +137,14 @@ def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quan
     """Discrete ``p`` percentile with ``COUNT(x)`` as denominator.
 
     The reference's window + DISTINCT form equals this group aggregate,
-    since its output holds only partition keys. Without weights this is
-    Spark's ``percentile_disc`` (a partial value->count map per task);
-    with weights the same answer comes from a weighted histogram. A group
-    whose values are all NULL gives NULL over 0.
+    since its output holds only partition keys. Rows are counted by distinct
+    value first (partial on every task), and ``p`` is compared as a decimal
+    fraction in whole numbers: a double's ``ceil(p * n)`` is one too high
+    for some ``p``. A group whose values are all NULL gives NULL over 0.
     """
-    q = _c(quantity)
-    if weight is None:
-        pdisc = F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY __q)")
-        agg = (df.select(*_by(by), q.alias("__q"))
-                 .groupBy(*_by_names(by))
-                 .agg(pdisc.alias("__v"), F.count("__q").alias("__d")))
-        return _finish(agg, by, labels, "__d", value_type)
     keys = _by_names(by)
-    ranked = _ranked_values(df.select(*_by(by), q.alias("__x"), F.col(weight).alias("__w")), keys, [],
-                            F.col("__x"), F.col("__w"))
+    base = df.select(*_by(by), _c(quantity).alias("__x"), *([F.col(weight).alias("__w")] if weight else []))
+    ranked = _ranked_values(base, keys, [], F.col("__x"), F.col("__w") if weight else None)
     agg = ranked.groupBy(*keys).agg(F.min(F.when(_hit(p), F.col("__q"))).alias("__v"),
                                     F.max(F.coalesce(F.col("__nn"), F.lit(0))).alias("__d"))
     return _finish(agg, by, labels, "__d", value_type)

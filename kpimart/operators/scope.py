@@ -14,70 +14,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpimart.functions.dates import date_lit, ts_lit
 
+def text_key(c: Column) -> Column:
+    """What text compares by under a case-insensitive collation: no case, no blanks at the end."""
+    return F.lower(F.rtrim(c))
 
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+def predicate(spec: Sequence | Column, ignore_case: bool = False) -> Column:
+    """One condition: a Column, or a tuple ``(op, column[, value])``, read as its SQL text."""
+    return spec if isinstance(spec, Column) else F.expr(predicate_sql(spec, ignore_case))
 
-def in_list(c: Column | str, values: Iterable) -> Column:
-    return _c(c).isin(list(values))
 
-
-def not_in_list(c: Column | str, values: Iterable) -> Column:
-    """``c NOT IN (...)``: NULL c gives NULL, so the row is dropped."""
-    return ~_c(c).isin(list(values))
-
-
-def not_in_or_null(c: Column | str, values: Iterable) -> Column:
-    """``c NOT IN (...) OR c IS NULL``."""
-    return (~_c(c).isin(list(values))) | _c(c).isNull()
-
-
-def not_null(c: Column | str) -> Column:
-    return _c(c).isNotNull()
-
-
-def equals(c: Column | str, value) -> Column:
-    return _c(c) == F.lit(value)
-
-
-def lower_bound(c: Column | str, value: dt.date | dt.datetime, inclusive: bool) -> Column:
-    """``c > value`` or ``c >= value``; a DATE bound on a time column means midnight."""
-    lit = ts_lit(value) if isinstance(value, dt.datetime) else date_lit(value)
-    return _c(c) >= lit if inclusive else _c(c) > lit
-
-
-_OPS = {
-    "in": in_list,
-    "not_in": not_in_list,
-    "not_in_or_null": not_in_or_null,
-    "eq": equals,
-    "not_null": lambda c, _=None: not_null(c),
-    "gt": lambda c, v: lower_bound(c, v, inclusive=False),
-    "ge": lambda c, v: lower_bound(c, v, inclusive=True),
-}
-
-
-def predicate(spec: Sequence | Column) -> Column:
-    """One condition: a Column, or a tuple ``(op, column[, value])``."""
-    if isinstance(spec, Column):
-        return spec
-    op, col, *arg = spec
-    if op not in _OPS:
-        raise ValueError(f"unknown scope op {op!r}; use one of {sorted(_OPS)}")
-    return _OPS[op](col, *arg)
-
-
-def all_of(conds: Iterable[Sequence | Column]) -> Column | None:
-    cols = [predicate(c) for c in conds]
+def all_of(conds: Iterable[Sequence | Column], ignore_case: bool = False) -> Column | None:
+    cols = [predicate(c, ignore_case) for c in conds]
     return reduce(lambda a, b: a & b, cols) if cols else None
 
 
-def scope(df: DataFrame, *conds: Sequence | Column) -> DataFrame:
-    """Filter by a conjunction of conditions (O11); pushed to the scan by Catalyst."""
-    cond = all_of(conds)
+def scope(df: DataFrame, *conds: Sequence | Column, ignore_case: bool = False) -> DataFrame:
+    """Filter by a conjunction of conditions (O11); pushed to the scan by Catalyst.
+
+    With ``ignore_case`` text compares without case and trailing blanks.
+    """
+    cond = all_of(conds, ignore_case)
     return df if cond is None else df.filter(cond)
 
 
@@ -88,17 +46,17 @@ class Segment:
     name: str
     members: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
-    def predicate(self) -> Column | None:
-        return all_of(("in", col, vals) for col, vals in self.members.items())
+    def predicate(self, ignore_case: bool = False) -> Column | None:
+        return all_of((("in", col, vals) for col, vals in self.members.items()), ignore_case)
 
     @property
     def columns(self) -> tuple[str, ...]:
         return tuple(self.members)
 
 
-def segment(df: DataFrame, seg: Segment, label_col: str | None = None) -> DataFrame:
+def segment(df: DataFrame, seg: Segment, label_col: str | None = None, ignore_case: bool = False) -> DataFrame:
     """Rows of a segment, optionally labelled with its name."""
-    cond = seg.predicate()
+    cond = seg.predicate(ignore_case)
     out = df if cond is None else df.filter(cond)
     return out.withColumn(label_col, F.lit(seg.name)) if label_col else out
 
@@ -109,7 +67,7 @@ def transition_scope(df: DataFrame, from_col: str, to_col: str, from_values: Ite
     return scope(df, ("in", from_col, tuple(from_values)), ("in", to_col, tuple(to_values)), *extra)
 
 
-# ---- the same conditions as SQL text ----------------------------------------
+# ---- conditions as SQL text, the one form that both plans read --------------
 # One ``F.expr`` per condition is parsed on the JVM in a single call; a long
 # IN list built from Column objects costs a round trip per value.
 
@@ -125,7 +83,7 @@ def sql_literal(value) -> str:
     if isinstance(value, (int, float)):
         return repr(value)
     if isinstance(value, dt.datetime):
-        return f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S}'"
+        return f"TIMESTAMP_NTZ '{value.isoformat(' ')}'"
     if isinstance(value, dt.date):
         return f"DATE '{value.isoformat()}'"
     text = str(value).replace("\\", "\\\\").replace("'", "\\'")
@@ -133,26 +91,35 @@ def sql_literal(value) -> str:
 
 
 def _in_sql(col: str, values) -> str:
-    return f"{sql_ident(col)} IN ({', '.join(sql_literal(v) for v in values)})"
+    values = list(values)
+    return f"{col} IN ({', '.join(values)})" if values else "false"
 
 
 _SQL_OPS = {
     "in": lambda c, v: _in_sql(c, v),
+    # NOT IN drops NULLs, as three-valued logic has it; over an empty list it keeps every row
     "not_in": lambda c, v: f"NOT ({_in_sql(c, v)})",
-    "not_in_or_null": lambda c, v: f"(NOT ({_in_sql(c, v)}) OR {sql_ident(c)} IS NULL)",
-    "eq": lambda c, v: f"{sql_ident(c)} = {sql_literal(v)}",
-    "not_null": lambda c, _=None: f"{sql_ident(c)} IS NOT NULL",
-    "gt": lambda c, v: f"{sql_ident(c)} > {sql_literal(v)}",
-    "ge": lambda c, v: f"{sql_ident(c)} >= {sql_literal(v)}",
+    "not_in_or_null": lambda c, v: f"(NOT ({_in_sql(c, v)}) OR {c} IS NULL)",
+    "eq": lambda c, v: f"{c} = {v}",
+    "not_null": lambda c, _=None: f"{c} IS NOT NULL",
+    "gt": lambda c, v: f"{c} > {v}",
+    "ge": lambda c, v: f"{c} >= {v}",
 }
 
 
-def predicate_sql(spec: Sequence) -> str:
-    """SQL text of one ``(op, column[, value])`` condition (same semantics as :func:`predicate`)."""
+def predicate_sql(spec: Sequence, ignore_case: bool = False) -> str:
+    """SQL text of one ``(op, column[, value])`` condition."""
     op, col, *arg = spec
     if op not in _SQL_OPS:
         raise ValueError(f"unknown scope op {op!r}; use one of {sorted(_SQL_OPS)}")
-    return f"({_SQL_OPS[op](col, *arg)})"
+    text = op in ("in", "not_in", "not_in_or_null", "eq") and ignore_case
+    values = [arg[0]] if arg and op in ("eq", "gt", "ge") else list(arg[0]) if arg else []
+    text = text and all(isinstance(v, str) for v in values)
+    shown = [sql_literal(v.rstrip(" ").lower() if text else v) for v in values]
+    c = f"lower(rtrim({sql_ident(col)}))" if text else sql_ident(col)
+    if op == "not_null":
+        return f"({_SQL_OPS[op](c)})"
+    return f"({_SQL_OPS[op](c, shown[0] if op in ('eq', 'gt', 'ge') else shown)})"
 
 
 def all_of_sql(conds: Iterable[Sequence]) -> str | None:

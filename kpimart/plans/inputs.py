@@ -2,48 +2,97 @@
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpimart.operators.calendar import calendar_rows, fiscal_calendar, fiscal_span
+from kpimart.operators.calendar import calendar_of
+from kpimart.plans import params as P
+from kpimart.sources.io import read_source
+from kpimart.sources.schemas import SOURCES, as_declared
 
-SOURCES = ("address", "violations", "class_notice", "owner_points", "permits", "cap_apo", "uploads",
-           "inspections")
+
+class Lazy(Mapping):
+    """Tables by name, made when first asked for: a query builds only what it reads."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self.makers, self.made = dict(makers), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = self.makers[name]()
+        return self.made[name]
+
+    def __iter__(self):
+        return iter(self.makers)
+
+    def __len__(self) -> int:
+        return len(self.makers)
 
 
-@dataclass
 class Inputs:
     """Source DataFrames keyed by name (see ``SOURCES``) and the fiscal calendar.
 
+    ``calendar`` is a DataFrame or a function that makes it when first used.
     ``cal_rows`` is the calendar's exact row count when known (one row per
     day of its span), which allows a broadcast of proven size.
     """
 
-    tables: dict[str, DataFrame]
-    calendar: DataFrame
-    cal_rows: int | None = None
+    def __init__(self, tables: Mapping[str, DataFrame], calendar: DataFrame | Callable[[], DataFrame],
+                 cal_rows: int | None = None):
+        self.tables, self.cal_rows, self._calendar = tables, cal_rows, calendar
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    @property
+    def calendar(self) -> DataFrame:
+        if callable(self._calendar):
+            self._calendar = self._calendar()
+        return self._calendar
 
-def calendar_for(spark: SparkSession, start: dt.date, end: dt.date, fy_start_month: int = 10
-                 ) -> tuple[DataFrame, int]:
-    return fiscal_calendar(spark, start, end, fy_start_month), calendar_rows(start, end)
 
+def load_inputs(spark: SparkSession, places: Mapping[str, str], renames: Mapping[str, Mapping[str, str]] | None = None,
+                params: P.MartParams | None = None, calendar: str | None = None, fmt: str = "parquet") -> Inputs:
+    """The real sources: each name of ``SOURCES`` from a path or a table.
 
-def test_inputs(spark: SparkSession, sf_dir: str, fy_start_month: int = 10) -> Inputs:
-    """Adapter tables over the driver's parquet files (FIXTURES.md section 3).
-
-    The calendar spans the fiscal years of the order dates, padded by one
-    year each side, so it is derived from the data it serves.
+    ``renames`` maps, by source, a declared column to its name there. Every
+    source is opened at once and a missing column raises before any job.
+    ``calendar`` is the place of a day calendar with the columns of
+    ``fiscal_days``; without one it is made from the violations' dates and
+    ``params``.
     """
+    renames = renames or {}
+    unknown = sorted(set(places) - set(SOURCES))
+    if unknown:
+        raise ValueError(f"unknown sources {unknown}; declared are {sorted(SOURCES)}")
+    tables = {}
+    for name, place in places.items():
+        own = renames.get(name, {})
+        tables[name] = as_declared(name, read_source(spark, place, {own.get(c, c): c for c in SOURCES[name].fieldNames()}, fmt))
+    if calendar is not None:
+        days = read_source(spark, calendar, CALENDAR_COLUMNS, fmt)
+        return Inputs(tables, days)
+    if params is None:
+        raise ValueError("params are needed to make a calendar")
+    return Inputs(tables, lambda: calendar_of(tables["violations"], "service_date", params.calendar_start,
+                                              params.as_of.date(), params.fy_start_month))
+
+
+CALENDAR_COLUMNS = ("pkdate", "fiscal_year", "fiscal_quarter", "fiscal_quarter_char_desc",
+                    "calendar_month_name_short", "calendar_year")
+
+
+def test_inputs(spark: SparkSession, sf_dir: str, fy_start_month: int = 10) -> Inputs:
+    """Adapter tables over the driver's parquet files (FIXTURES.md section 3)."""
     from kpimart.sources import adapters
 
-    tables = adapters.load_all(spark, sf_dir)
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate")
-    start, end = fiscal_span(orders, "o_orderdate", fy_start_month)
-    cal, n = calendar_for(spark, start, end, fy_start_month)
-    return Inputs(tables, cal, n)
+    tables = Lazy(adapters.makers(spark, sf_dir))
+    p = P.TEST_PARAMS
+
+    def calendar() -> DataFrame:
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate")
+        return calendar_of(orders, "o_orderdate", p.calendar_start, p.as_of.date(), fy_start_month)
+
+    return Inputs(tables, calendar)

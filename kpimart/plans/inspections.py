@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from kpimart.functions.dates import add_business_days_expr, business_days_between, month_end
 from kpimart.functions.flags import prefix_flag, prefix_match, relabel, sla_flag
-from kpimart.operators.joins import first_per_key
+from kpimart.operators.calendar import add_business_days, business_day_calendar, fiscal_calendar
+from kpimart.operators.joins import first_per_key, one_of_equal
 from kpimart.operators.scope import scope
 from kpimart.plans import params as P
 from kpimart.plans.inputs import Inputs
@@ -32,6 +33,13 @@ def stage_inspections(inputs: Inputs, params: P.MartParams, tie: tuple[str, ...]
               ("not_in", "division_code", P.EXCLUDED_DIVISIONS),
               ("not_in_or_null", "inspector_group", P.EXCLUDED_INSPECTOR_GROUPS))
     target = add_business_days_expr(F.to_date("created_date"), P.SLA_BUSINESS_DAYS)
+    if params.holidays:
+        # The calendar spans the holidays given, so a date off it raises: its holidays are not known.
+        spark = i.sparkSession
+        days = fiscal_calendar(spark, min(params.holidays), max(params.holidays), params.fy_start_month)
+        off = spark.createDataFrame([(h,) for h in params.holidays], "holiday date")
+        i = add_business_days(i, "created_date", P.SLA_BUSINESS_DAYS, "__target", business_day_calendar(days, off))
+        target = F.col("__target")
     return i.select(
         month_end("completed_date").alias(MONTH),
         F.col("grp").alias("Inspection_Cap_Type"),
@@ -63,7 +71,7 @@ def with_first_record(stage: DataFrame, tie: tuple[str, ...]) -> DataFrame:
         e = stage[c].eqNullSafe(F.col(f"__f{i}"))
         cond = e if cond is None else cond & e
     return (stage.join(first, cond, "left")
-                 .withColumn("FIRST_RECORD", F.coalesce(F.col("__first"), F.lit(0)))
+                 .withColumn("FIRST_RECORD", one_of_equal(F.col("__first").isNotNull(), cols))
                  .drop(*[f"__f{i}" for i in range(len(cols))], "__first"))
 
 

@@ -60,6 +60,8 @@ class MeasureSpec:
     def __post_init__(self):
         if self.kind not in KINDS:
             raise ValueError(f"{self.key}: kind {self.kind!r} not in {KINDS}")
+        if any(isinstance(w, Column) for w in self.where):
+            raise ValueError(f"{self.key}: conditions are (op, column, value) tuples, in either plan")
         if self.kind != "count" and self.value is None:
             raise ValueError(f"{self.key}: {self.kind} needs a value column")
 
@@ -143,16 +145,20 @@ def build_measures(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime
     return {s.key: long.filter(F.col(KEY) == s.key).drop(KEY) for s in specs}
 
 
-def labels_disjoint(specs: Sequence[MeasureSpec]) -> bool:
+def labels_disjoint(specs: Sequence[MeasureSpec], columns: Sequence[str] | None = None) -> bool:
     """True when UNION's de-duplication cannot remove a row.
 
     Each measure's rows are unique by its group keys (a GROUP BY output),
     and measures whose label triples differ cannot produce equal rows. Then
     UNION and UNION ALL give the same rows and the distinct shuffle is
-    skipped.
+    skipped. With ``columns`` (the output's), a group column that the output
+    drops could leave equal rows, so then it is not true either.
     """
     seen = set()
     for s in specs:
+        names = dict(s.rename)
+        if columns is not None and not {names.get(c, c) for c in (*s.by, *s.carry)} <= set(columns):
+            return False
         t = tuple(sorted(s.labels.items()))
         if t in seen:
             return False
@@ -175,7 +181,7 @@ def build_mart(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, va
         cols = schema.fieldNames()
         parts = [p.select(*cols) for p in
                  mart_rows(bases, mart.measures, sql_literal(as_of), value_type, denom, checkpoint)]
-        return conform(stack(parts, distinct=mart.distinct and not labels_disjoint(mart.measures)), schema,
+        return conform(stack(parts, distinct=mart.distinct and not labels_disjoint(mart.measures, cols)), schema,
                        mart.required)
     measures = build_measures(mart, bases, as_of, value_type, plan)
     conformed = [conform(m, schema) for m in measures.values()]

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from kpimart.operators.measures import DENOM, VALUE
+from kpimart.operators.measures import DENOM, VALUE, exact_share
 from kpimart.operators.scope import all_of_sql, segment_sql, sql_ident, sql_literal
 
 WEIGHT = "__n"
@@ -157,30 +157,34 @@ def _window(by: Sequence[str], order: str | None = None) -> str:
 
 
 def _hit(i: int | str, p: float) -> str:
-    # PERCENTILE_DISC: the smallest value whose running count reaches ceil(p * n).
-    return (f"__q IS NOT NULL AND __run{i} >= greatest(ceil(CAST({float(p)!r} AS DOUBLE) * __nn{i}), 1)")
+    # PERCENTILE_DISC: the smallest value whose share of rows at or below it reaches p, in whole numbers.
+    num, den = exact_share(p)
+    return f"__q IS NOT NULL AND __run{i} * {den}L >= __nn{i} * {num}L"
 
 
 def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_sql: str,
                       value_type: str, denom: bool) -> DataFrame:
     """All discrete percentiles of one level and one value column in one window pass.
 
-    Over the histogram rows of a group, ordered by value with a RANGE
-    frame (ties together), the running matching weight is the count of
-    rows with a value <= this one. The answer is the smallest value whose
-    running count reaches ceil(p * n), n the non-null matching count
-    (PERCENTILE_DISC). The window is partitioned like the final aggregate,
-    so the level costs one shuffle of the (small) histogram.
+    The histogram is first summed to one row a group and value, with one
+    weight a measure (partial on every task), so the window's partitions hold
+    a group's distinct values only. Ordered by value, a running weight is the
+    count of rows with a value <= this one; the answer is the smallest value
+    whose share reaches p (PERCENTILE_DISC).
     """
     q = sql_ident(specs[0].value)
     dims = _dims(specs)
-    cols = [sql_ident(b) for b in by] + [f"{q} AS __q"]
+    weights = []
     for i, s in enumerate(specs):
         f = spec_filter_sql(s)
-        cols += [f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by, q)} AS __run{i}",
-                 f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by)} AS __nn{i}",
-                 f"sum(CASE WHEN {f} THEN {N} END) OVER {_window(by)} AS __any{i}"]
-    ranked = hist.selectExpr(*cols)
+        weights += [_expr(f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END)", f"__w{i}"),
+                    _expr(f"sum(CASE WHEN {f} THEN {N} END)", f"__m{i}")]
+    values = hist.groupBy(*by, _expr(q, "__q")).agg(*weights)
+    cols = [sql_ident(b) for b in by] + ["__q"]
+    for i, _ in enumerate(specs):
+        cols += [f"sum(__w{i}) OVER {_window(by, '__q')} AS __run{i}", f"sum(__w{i}) OVER {_window(by)} AS __nn{i}",
+                 f"sum(__m{i}) OVER {_window(by)} AS __any{i}"]
+    ranked = values.selectExpr(*cols)
     aggs, rows = [], []
     for i, s in enumerate(specs):
         aggs += [_expr(f"min(CASE WHEN {_hit(i, s.p)} THEN __q END)", f"__v{i}"),

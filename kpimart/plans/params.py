@@ -109,6 +109,8 @@ class MartParams:
     fy_start_month: int = 10
     keep_latest_notice: bool = False   # the reference leaves this filter off
     value_type: str = "decimal(9,2)"
+    # Days off besides weekends; the first and last bound the calendar used.
+    holidays: tuple[dt.date, ...] = ()
     # One-pass plan: reliably checkpoint each (small) histogram into
     # spark.checkpoint.dir, so a lost executor in a later stage never
     # rescans the base tables.
@@ -118,6 +120,9 @@ class MartParams:
         return replace(self, **kw)
 
 
+# Some days off within the span of the adapters' inspections.
+TEST_HOLIDAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 15), dt.date(2024, 1, 16), dt.date(2024, 2, 19), dt.date(2024, 5, 27))
+
 # Parameters of the test adapters (FIXTURES.md): the synthetic data spans
 # 1995-2001 for orders and January 2024 onward for events.
 TEST_PARAMS = MartParams(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
 from kpimart.plans import inspections, permits, violations
 from kpimart.plans.calendar_mart import mart_calendar
 from kpimart.plans.inputs import Inputs
-from kpimart.plans.mart import build_mart, build_measures
+from kpimart.plans.mart import Base, MartSpec, build_mart, build_measures
 from kpimart.plans.params import MartParams
 from kpimart.plans.schemas import REQUIRED, calendar_schema, decimal_type
 from kpimart.sources.io import write_mart
@@ -52,13 +53,14 @@ def measure(key: str, inputs: Inputs, params: MartParams, plan: str = "onepass",
 
 
 def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str = "onepass",
-                tie: dict | None = None, partition_by: dict | None = None, parallel: bool = True
-                ) -> dict[str, DataFrame]:
+                tie: dict | None = None, partition_by: dict | None = None, parallel: bool = True,
+                extra: Mapping[str, tuple[MartSpec, Mapping[str, Base]]] | None = None) -> dict[str, DataFrame]:
     """Rebuild and replace the calendar and the three subject marts.
 
-    Each mart is written to ``target_dir/<name>`` (a shared folder) and
-    replaced only after its rows were computed and validated, so a failed
-    mart leaves its previous version in place. With ``parallel`` the marts
+    Each mart is written to ``target_dir/<name>`` (a shared folder) as a new
+    run and becomes current only after its rows were written and validated,
+    so a failed mart leaves its previous version in place. ``extra`` adds
+    marts of the caller's: a spec and its bases by name. With ``parallel`` the marts
     are submitted from a thread pool: Spark runs their jobs concurrently,
     so one mart's small final stages overlap another's scans. The first
     failure is raised after every mart has finished.
@@ -69,10 +71,17 @@ def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str =
     vt = decimal_type(params.value_type)
     schemas = {"calendar": (calendar_schema(), REQUIRED)}
     schemas.update({name: (mod.MART.schema(vt), mod.MART.required) for name, mod in MARTS.items()})
+    extra = extra or {}
+    schemas.update({name: (spec.schema(vt), spec.required) for name, (spec, _) in extra.items()})
+
+    def rows(name: str) -> DataFrame:
+        if name in extra:
+            return build_mart(*extra[name], params.as_of, params.value_type, plan, params.checkpoint_histograms)
+        return build(name, inputs, params, plan, tie)
 
     def one(name: str) -> DataFrame:
         schema, required = schemas[name]
-        return write_mart(build(name, inputs, params, plan, tie), schema, os.path.join(target_dir, name),
+        return write_mart(rows(name), schema, os.path.join(target_dir, name),
                           required, partition_by.get(name, ()))
 
     names = list(schemas)

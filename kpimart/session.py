@@ -41,10 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     Read from ``spark.checkpoint.dir``; only when the cluster names none
-    (local tests) is a scratch folder created.
+    on a local master is a scratch folder created, as driver and executors
+    are one process there. Elsewhere a folder of the driver's own would be
+    lost to the executors, so this raises.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not d and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = _LOCAL_DIRS.get(id(sc)) or tempfile.mkdtemp(prefix="kpimart-ckpt-")
         _LOCAL_DIRS[id(sc)] = d

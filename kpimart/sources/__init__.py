@@ -1,5 +1,5 @@
 """Sources and sinks: scans with declared columns, mart sink, staging."""
 
-from kpimart.sources.io import conform, read_source, stage, unstage, write_mart
+from kpimart.sources.io import conform, read_mart, read_source, stage, staged, unstage, write_mart
 
-__all__ = ["conform", "read_source", "stage", "unstage", "write_mart"]
+__all__ = ["conform", "read_mart", "read_source", "stage", "staged", "unstage", "write_mart"]

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import os
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpimart.sources.schemas import as_declared
+
 
 _LOCAL = threading.local()   # per-thread table readers while load_all runs
 
@@ -129,7 +132,7 @@ def permits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cap_apo(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
-    return li.filter(F.col("l_linenumber") <= 2).select(F.col("l_orderkey").alias("b1_alt_id"))
+    return li.select(F.col("l_orderkey").alias("b1_alt_id"))
 
 
 def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,10 +186,22 @@ ADAPTERS = {
 }
 
 
+def makers(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """A function for each source table; together they read each parquet table once."""
+    reads: dict = {}
+
+    def maker(name: str) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            _LOCAL.reads = reads
+            try:
+                return as_declared(name, ADAPTERS[name](spark, sf_dir))
+            finally:
+                _LOCAL.reads = None
+        return make
+
+    return {name: maker(name) for name in ADAPTERS}
+
+
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All adapter tables for one scale-factor folder (each source table read once)."""
-    _LOCAL.reads = {}
-    try:
-        return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}
-    finally:
-        _LOCAL.reads = None
+    """All adapter tables for one scale-factor folder."""
+    return {name: make() for name, make in makers(spark, sf_dir).items()}

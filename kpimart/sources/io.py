@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,37 +66,75 @@ def conform(df: DataFrame, schema: StructType, required: Sequence[str] = ()) ->
 
 def write_mart(df: DataFrame, schema: StructType, target: str, required: Sequence[str] = (),
                partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
-    """Full-refresh a mart (O02): conform, validate, then replace the old rows.
-
-    The conformed rows are computed once into a MEMORY_AND_DISK copy and
-    validated (a NULL key or a DECIMAL(9,2) overflow raises here); only then
-    is the target overwritten from that copy, so a failed refresh leaves the
-    previous mart in place. A lost executor only recomputes its cached
-    blocks from lineage. ``target`` is a path (a shared folder on a
-    cluster) or a table name. Returns the mart read back.
+    """Full-refresh a mart (O02): write the new rows beside the old, then switch.
+
+    Every refresh writes a run of its own: a folder under ``target``, or a
+    table named after it. The rows are conformed and validated as they are
+    written (a NULL key or a DECIMAL(9,2) overflow raises), read back and
+    counted. Only then does the mart point at the run: a path gains a row in
+    its list of runs, a table name is a view that is replaced. Whatever fails
+    before leaves the previous mart as it was. Earlier runs stay until the
+    caller removes them. Returns the mart read back.
+
+    ``partition_by`` names columns to lay folders out by. The folders carry
+    copies; the columns stay in the files, so ``''`` and NULL stay apart and
+    the declared column order holds.
     """
     spark = df.sparkSession
-    out = conform(df, schema, required).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out.count()
-        _write(out, target, partition_by, fmt)
-    finally:
-        out.unpersist()
-    return _read(spark, target, fmt)
-
-
-def _write(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str) -> None:
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    run = uuid.uuid4().hex
+    out = conform(df, schema, required)
+    copies = {f"__folder_{c}": F.when(F.col(c).isNull(), "null").when(F.col(c) == "", "empty").otherwise(
+        F.concat(F.lit("is "), F.col(c).cast("string"))) for c in partition_by}
+    written = Observation(f"rows of {run}")
+    writer = out.withColumns(copies).observe(written, F.count(F.lit(1)).alias("rows")).write.format(fmt)
+    if copies:
+        writer = writer.partitionBy(*copies)
     if _is_path(target):
-        w.save(target)
+        place = f"{target.rstrip('/')}/runs/{run}"
+        writer.save(place)
     else:
-        w.saveAsTable(target)
+        place = f"{target}__{run}"
+        writer.saveAsTable(place)
+    back = _run(spark, place, schema, fmt)
+    expected, found = written.get.get("rows", 0), back.count()
+    if expected != found:
+        raise RuntimeError(f"{place}: wrote {expected} rows, read {found}; the previous mart stays")
+    if _is_path(target):
+        last = _runs(spark, target)
+        number = 1 + (last.agg(F.max("number")).first()[0] if last is not None else 0)
+        spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(run).alias("run"),
+                              F.lit(found).cast("long").alias("rows")).coalesce(1).write.mode("append").parquet(
+            f"{target.rstrip('/')}/current")
+    else:
+        columns = ", ".join(f"`{c}`" for c in schema.fieldNames())
+        spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT {columns} FROM {place}")
+    return back
+
 
+def _run(spark: SparkSession, place: str, schema: StructType, fmt: str) -> DataFrame:
+    """One run with the declared columns, in their order."""
+    df = spark.read.format(fmt).schema(schema).load(place) if _is_path(place) else spark.table(place)
+    return df.select(*schema.fieldNames())
 
-def _read(spark: SparkSession, target: str, fmt: str) -> DataFrame:
-    return spark.read.format(fmt).load(target) if _is_path(target) else spark.table(target)
+
+def _runs(spark: SparkSession, target: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("number long, run string, rows long").parquet(f"{target.rstrip('/')}/current")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def read_mart(spark: SparkSession, target: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The mart's current rows, in the declared column order."""
+    if not _is_path(target):
+        return spark.table(target).select(*schema.fieldNames())
+    runs = _runs(spark, target)
+    last = runs.orderBy(F.col("number").desc()).first() if runs is not None else None
+    if last is None:
+        raise ValueError(f"{target}: no refresh has succeeded yet")
+    return _run(spark, f"{target.rstrip('/')}/runs/{last['run']}", schema, fmt)
 
 
 def stage(df: DataFrame, name: str | None = None, mode: str = "persist") -> DataFrame:
@@ -125,3 +166,17 @@ def unstage(df: DataFrame, name: str | None = None) -> None:
     df.unpersist()
     if name:
         df.sparkSession.catalog.dropTempView(name)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str | None = None, mode: str = "persist") -> Iterator[DataFrame]:
+    """``stage`` for the length of a ``with`` block; its cache and view go at the end.
+
+    A cached plan serves every equal plan of the session, so a cache that
+    outlives its use makes other queries read it instead of their tables.
+    """
+    out = stage(df, name, mode)
+    try:
+        yield out
+    finally:
+        unstage(out, name)
