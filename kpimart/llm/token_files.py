@@ -7,7 +7,7 @@ the bytes it takes, and those that do not fit in an exception list. Each page in
 start; the index beside the pages says where each shard starts.
 
 Edge cases: a null or empty text is the end id alone; null ids come first; rows
-with equal ids are ordered by their text and kept; an empty table gives empty
+with equal ids are ordered by a hash of their text and kept; an empty table gives empty
 files; only the two named columns are read, so others may have any name.
 """
 
@@ -100,8 +100,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
             yield close()
 
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(partitions(spark), "id", F.xxhash64("text")).sortWithinPartitions("id", "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("mark"))
+    dealt = rows.repartitionByRange(partitions(spark), "id", "mark").sortWithinPartitions("id", "mark", "text")
     dealt.mapInPandas(pages, PAGES).write.parquet(f"{path}/pages")
     # One row for each partition written: prefix sums over them fit one task.
     shards = spark.read.schema(PAGES).parquet(f"{path}/pages").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
