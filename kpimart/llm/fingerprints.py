@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpimart.llm.common import let, partitions, table
+from kpimart.llm.common import cut, let, partitions, table
 
 K, S = 10, 3
 SPAN = K - S + 1  # inner substrings of a k-mer; the sliding minimum below is for a power of two
@@ -74,17 +74,22 @@ def likeness(one: Column, other: Column) -> Column:
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text (never null), anchors and fingerprint, one row a document."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.withColumn("anchors", anchors(F.col("text"))).withColumn("fingerprint", fingerprint(F.col("anchors")))
+    rows = documents(docs, id_col, text_col).withColumn("anchors", anchors(F.col("text")))
+    return rows.withColumn("fingerprint", fingerprint(F.col("anchors")))
 
 
-def with_next(docs: DataFrame, columns: list[str], ranges: int) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``next``: ``columns`` of the row after it in descending id order.
+def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    Equal ids are ordered by a hash of the text; the last row's next is the
-    first. Rows are dealt into at most ``ranges`` ranges of ids, where a window
-    looks one row ahead. A range's last row meets the head of the next range in
-    a join of as many rows as there are ranges.
+
+def with_next(docs: DataFrame, ranges: int) -> DataFrame:
+    """doc_id, text and anchors of ``docs`` (doc_id, text), and as ``next`` text and anchors of the row after it.
+
+    Rows follow one another in descending id order, equal ids in that of a
+    hash of the text; the last row's next is the first. They are dealt into
+    at most ``ranges`` ranges of ids, where a window looks one row ahead. A
+    range's last row meets the head of the next range in a join of as many
+    rows as there are ranges.
     """
     found = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
     cuts = sorted(set(found), reverse=True)
@@ -92,29 +97,31 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int) -> DataFrame:
     place = F.struct("doc_id", F.xxhash64("text").alias("mark"))
     dealt = docs.withColumns({"range": F.coalesce(F.when(F.col("doc_id").isNotNull(), above), F.lit(len(cuts) + 1)),
                               "place": place})
+    after = F.struct("text", "anchors")
     inside = Window.partitionBy("range").orderBy(F.col("place").desc())
-    found = dealt.withColumn("next", F.lead(F.struct(*columns)).over(inside)).filter(F.col("next").isNotNull())
+    found = dealt.withColumn("anchors", anchors(F.col("text"))).withColumn("next", F.lead(after).over(inside))
 
-    ends = dealt.groupBy("range").agg(F.max("place").alias("head"), F.min("place").alias("tail"))
+    ends = dealt.select("range", "place").groupBy("range").agg(F.max("place").alias("head"), F.min("place").alias("tail"))
     down = Window.orderBy("range")
     first = F.first("head").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ends = F.broadcast(ends.select("tail", F.coalesce(F.lead("head").over(down), first).alias("head")))  # a row a range
+    ends = cut(ends.select("tail", F.coalesce(F.lead("head").over(down), first).alias("head")), "ends")  # a row a range
 
     def at(end: str) -> DataFrame:
         """The documents at the ends; of equal rows one."""
-        same = (F.col("doc_id").eqNullSafe(F.col(f"{end}.doc_id"))) & (F.col("place.mark") == F.col(f"{end}.mark"))
-        return dealt.join(ends, same).dropDuplicates(["tail"])
+        keys = F.broadcast(ends.select("tail", F.coalesce(f"{end}.doc_id", F.lit(0)).alias("end_id"),
+                                       F.col(f"{end}.doc_id").isNull().alias("end_null"), F.col(f"{end}.mark").alias("end_mark")))
+        same = (F.coalesce("doc_id", F.lit(0)) == F.col("end_id")) & (F.col("doc_id").isNull() == F.col("end_null")) & (
+            F.xxhash64("text") == F.col("end_mark"))
+        return docs.join(keys, same).dropDuplicates(["tail"]).withColumn("anchors", anchors(F.col("text")))
 
-    heads = at("head").select(F.col("tail").alias("of"), F.struct(*columns).alias("next"))
-    tails = at("tail").select(*dealt.columns, "tail")
-    closed = tails.join(heads, F.col("tail").eqNullSafe(F.col("of")))
-    out = [*docs.columns, "next"]
-    return found.select(*out).unionByName(closed.select(*out))
+    heads = at("head").select(F.col("tail").alias("of"), after.alias("next"))
+    closed = at("tail").join(heads, F.col("tail").eqNullSafe(F.col("of")))
+    out = ["doc_id", "text", "anchors", "next"]
+    return found.filter(F.col("next").isNotNull()).select(*out).unionByName(closed.select(*out))
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fingerprint_documents(table(spark, sf_dir, "documents"))
-    pairs = with_next(docs.select("doc_id", "text", "anchors"), ["text", "anchors"], min(2000, 4 * partitions(spark)))
+    pairs = with_next(documents(table(spark, sf_dir, "documents")), min(2000, 4 * partitions(spark)))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next.text", half))
     rows = pairs.withColumn("edited", edited).withColumn("edited_anchors", anchors(F.col("edited")))
