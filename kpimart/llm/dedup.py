@@ -6,11 +6,16 @@ as many functions are evaluated; bands of values are bucket keys. At a likeness
 of 0.8, 60 bands of 7 values miss a pair once in a million.
 
 Equal texts are one class first. Within a bucket every class is compared with
-the bucket's first and last class only, so a large group costs a row a member.
-Compared means: the likeness of the full shingle sets, exactly. Buckets whose
-classes then belong to one component are done; in the others every pair of
-classes from different components that was not compared yet is. Components are
-grown by passing the smallest label along links; labels stay in tables.
+two others only: the one that shares most buckets with most classes (of copies
+with edits that is the original, nearer to all than they are to one another)
+and the first. So a large group costs two rows a member. Compared means: the
+likeness of the full shingle sets, exactly. Buckets whose classes then belong
+to one component are done. In the others all classes meet in blocks of bounded
+size and bring their sets: pairs from different components, each in the first
+bucket it shares, whose 256-byte sketches agree in as many places as
+likenesses down to 4.5 standard deviations below the limit do, are compared
+there, exactly, and only links leave. Components are grown by
+passing the smallest label along links; labels stay in tables.
 
 Edge cases: null, empty and word-less texts have no shingles and link with
 nothing; a text of fewer words than a shingle is one shingle; rows with equal
@@ -32,6 +37,8 @@ from kpimart.llm.tokens import Words
 BANDS, ROWS = 60, 7
 SEED = 2024
 CHUNK = 2048  # shingles hashed at once
+SKETCH = 256  # bytes, one for each of the first values of a signature
+BLOCK = 512  # classes of a bucket that meet at once
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -64,52 +71,90 @@ def word_hashes() -> Words:
     return Words(xxhash.xxh64_intdigest)
 
 
-def band_keys(s: np.ndarray, scale: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    """A key for each band, from the minima and maxima of the hash functions."""
+def band_keys(s: np.ndarray, scale: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """A key for each band, from the minima and maxima of the hash functions, and a byte for each of the first values."""
     least = np.full(len(scale), np.iinfo(np.uint64).max, np.uint64)
     most = np.zeros(len(scale), np.uint64)
     for at in range(0, len(s), CHUNK):
         h = s[None, at:at + CHUNK] * scale[:, None] + shift[:, None]
         least = np.minimum(least, h.min(1))
         most = np.maximum(most, h.max(1))
-    both = np.stack([least, most], 1).ravel()[:BANDS * ROWS].reshape(BANDS, ROWS)
+    values = np.stack([least, most], 1).ravel()
+    sketch = (mixed(values[:SKETCH]) >> np.uint64(7)).astype(np.uint8).tobytes()
+    both = values[:BANDS * ROWS].reshape(BANDS, ROWS)
     key = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
         key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + both[:, k])
-    return key.view(np.int64)
+    return key.view(np.int64), sketch
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, mark (the text's digest), n_shingles and bucket keys, a row a document."""
+    """doc_id, mark (the text's digest), n_shingles, bucket keys and sketch, a row a document."""
     def run(batches):
         known = word_hashes()
         scale, shift = _odd((BANDS * ROWS + 1) // 2, SEED + 1), _odd((BANDS * ROWS + 1) // 2, SEED + 2)
         for batch in batches:
             sets = [shingles(t, words, known) for t in batch["text"]]
+            made = [band_keys(s, scale, shift) if len(s) else ([], b"") for s in sets]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"],
-                                "n_shingles": [len(s) for s in sets],
-                                "keys": [band_keys(s, scale, shift) if len(s) else [] for s in sets]})
+                                "n_shingles": [len(s) for s in sets], "keys": [k for k, _ in made],
+                                "sketch": [b for _, b in made]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text_col)).alias("mark"),
                        F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, mark binary, n_shingles long, keys array<long>")
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, share: int, id_col: str,
-              text_col: str) -> DataFrame:
-    """The ``pairs`` (a, b) with 100 * intersection >= share * union of their full sets."""
+    return rows.mapInPandas(run, "doc_id long, mark binary, n_shingles long, keys array<long>, sketch binary")
+
+
+def links_within(share: int):
+    """Links between classes of a bucket from different components, within two blocks."""
+    p = share / 100 + (1 - share / 100) / 256
+    least = int(SKETCH * (p - 4.5 * (p * (1 - p) / SKETCH) ** 0.5))
+
+    def linked(one: np.ndarray, other: np.ndarray) -> bool:
+        if 100 * min(len(one), len(other)) < share * max(len(one), len(other)):
+            return False
+        common = len(np.intersect1d(one, other, assume_unique=True))
+        return 100 * common >= share * (len(one) + len(other) - common)
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket, i, j = (int(k) for k in key)
+        pdf = pdf.sort_values(["block", "node"])
+        node, label, block = (pdf[c].to_numpy() for c in ("node", "label", "block"))
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+        keys, sets = np.stack(list(pdf["keys"])), list(pdf["set"])
+        found = []
+        for k in range(len(pdf)):
+            other = np.arange(k + 1, len(pdf))
+            other = other[(label[other] != label[k]) & ((block[other] != block[k]) | (i == j))]
+            other = other[(sketch[other] == sketch[k]).sum(1) >= least]
+            if len(other):
+                first = np.argmax(keys[other] == keys[k], axis=1)
+                other = other[keys[k][first] == bucket]
+            found += [(min(node[k], node[o]), max(node[k], node[o])) for o in other if linked(sets[k], sets[o])]
+        return pd.DataFrame(found, columns=["a", "b"])
+    return run
+
+
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """node and its whole shingle set, in the shared folder, for ``nodes`` (node, distinct)."""
     def sets(batches):
         known = word_hashes()
         for batch in batches:
             yield pd.DataFrame({"node": batch["node"],
                                 "set": [shingles(t, words, known).view(np.int64) for t in batch["text"]]})
 
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.select("node", "mark", "first_id").join(needed, "node")
+    wanted = classes.select("node", "mark", "first_id").join(nodes, "node")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text_col)).alias("of"),
                         F.col(text_col).alias("text"))
     found = wanted.join(texts, (F.col("mark") == F.col("of")) & F.col("first_id").eqNullSafe(F.col("id")))
-    full = cut(found.select("node", "text").mapInPandas(sets, "node long, set array<long>"), "sets").dropDuplicates(["node"])
+    return cut(found.select("node", "text").mapInPandas(sets, "node long, set array<long>"), "sets").dropDuplicates(["node"])
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, share: int, id_col: str,
+              text_col: str) -> DataFrame:
+    """The ``pairs`` (a, b) with 100 * intersection >= share * union of their full sets."""
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    full = full_sets(needed, classes, docs, words, id_col, text_col)
     sized = pairs.join(full.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").join(
         full.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
     near = sized.filter((100 * F.least(F.size("sa"), F.size("sb")) >= share * F.greatest(F.size("sa"), F.size("sb"))))
@@ -143,28 +188,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, id_col: st
     node of each component, also where ids repeat; equal rows share a node.
     """
     known = cut(signatures(docs, words, id_col, text_col), "signatures")
-    classes = known.filter(F.col("n_shingles") > 0).groupBy("mark").agg(F.min("doc_id").alias("first_id"),
-                                                                        F.first("keys").alias("keys"))
+    classes = known.filter(F.col("n_shingles") > 0).groupBy("mark").agg(
+        F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     buckets = classes.select("node", F.explode("keys").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter(
-        F.col("low") < F.col("high"))
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter(F.col("n") > 1)
     members = cut(buckets.join(shared, "bucket"), "members")
-    ends = F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
-                             F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")
-    stars = cut(members.select(ends).select("p.a", "p.b").filter(F.col("a") < F.col("b")).distinct(), "pairs")
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    centers = members.select("bucket", "node").join(weight, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", "node"))["node"].alias("center"))
+    ends = F.explode(F.array(*[F.struct(F.least(c, "node").alias("a"), F.greatest(c, "node").alias("b"))
+                               for c in ("center", "low")])).alias("p")
+    stars = members.join(centers, "bucket").select(ends).select("p.a", "p.b").filter(F.col("a") < F.col("b"))
+    stars = cut(stars.distinct(), "pairs")
     links = cut(confirmed(stars, classes, docs, words, share, id_col, text_col), "confirmed")
     labels = components(links)
 
-    # Buckets that still hold several components: all their pairs not compared yet.
-    placed = members.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed_up = placed.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter(F.col("l") < F.col("h"))
-    open_ = cut(placed.join(mixed_up.select("bucket"), "bucket"), "open")
-    left = open_.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = open_.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"))
-    rest = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).select("a", "b").distinct()
-    rest = cut(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = cut(confirmed(rest, classes, docs, words, share, id_col, text_col), "confirmed")
+    # Buckets that still hold several components: their classes meet in blocks.
+    placed = members.select("bucket", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = placed.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter(F.col("l") < F.col("h"))
+    open_ = cut(placed.join(several.select("bucket"), "bucket"), "open")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = open_.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    sets = full_sets(open_.select("node").distinct(), classes, docs, words, id_col, text_col)
+    dealt = dealt.join(classes.select("node", "keys", "sketch").join(sets, "node"), "node").select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label",
+        "keys", "sketch", "set")
+    more = cut(dealt.groupBy("bucket", "i", "j").applyInPandas(links_within(share), "a long, b long"), "more")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
