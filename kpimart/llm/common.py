@@ -27,7 +27,7 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     not the work before it.
     """
     path = new_folder(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
