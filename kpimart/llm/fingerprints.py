@@ -6,11 +6,13 @@ with the least hash stands first or last in it. Whether it is chosen depends
 on its own words only, so two texts that share a long enough passage choose
 the same k-mers in it, in the same order: anchors for matching by position.
 The fingerprint is the list of the chosen k-mers' 32-bit hashes in text order,
-eight hex digits each. Texts with fewer than K words have one anchor, all words;
-a text without words has none.
+eight hex digits each. Texts with fewer than K words have one anchor, all words.
+A text of up to 2 K - S - 2 words may hold no chosen k-mer; then the one of least
+hash is its anchor. From one word more on a k-mer is always chosen. Only a text
+without words has no anchor.
 
 Likeness is the share of common distinct anchors among all of both. Equal
-fingerprints, empty ones too, are 1 alike.
+fingerprints are 1 alike, so are two texts without words.
 
 Edge cases: null texts are empty; equal texts have equal fingerprints, as have
 texts that differ in white space only; neighbours in id order are found with
@@ -50,11 +52,14 @@ def anchors(text: Column) -> Column:
         inner = F.transform(F.slice(h, 1, n - S + 1), lambda x, i: F.xxhash64(x, at(h, i, 1), at(h, i, 2)))
 
         def of(s: Column) -> Column:
+            def mark(i: Column) -> Column:
+                return F.xxhash64(at(s, i, 0), at(s, i, 3), at(s, i, 6), at(s, i, 7)).bitwiseAND(LOW32)
+
             two = least(s, n - S, 1)
             eight = let(two, lambda m2: let(least(m2, n - S - 2, 2), lambda m4: least(m4, n - K + 1, 4)))
-            picked = F.transform(eight, lambda m, i: F.when((m == at(s, i, 0)) | (m == at(s, i, SPAN - 1)), F.xxhash64(
-                at(s, i, 0), at(s, i, 3), at(s, i, 6), at(s, i, 7)).bitwiseAND(LOW32)))
-            return F.array_compact(picked)
+            picked = F.transform(eight, lambda m, i: F.when((m == at(s, i, 0)) | (m == at(s, i, SPAN - 1)), mark(i)))
+            one = F.array(F.array_min(F.transform(F.slice(s, 1, n - K + 1), lambda _, i: mark(i))))
+            return let(F.array_compact(picked), lambda some: F.when(F.size(some) > 0, some).otherwise(one))
         whole = F.when(n == 0, F.array().cast("array<long>")).otherwise(
             F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x)).bitwiseAND(LOW32)))
         return F.when(n >= K, let(inner, of)).otherwise(whole)

@@ -59,3 +59,20 @@ def test_edges(spark, folder_of):
     assert op1_fingerprints(spark, folder_of("documents", [], schema)).count() == 0
     one = op1_fingerprints(spark, folder_of("documents", [(7, "a b c d", 0, "")], schema)).collect()[0]
     assert one.near_next == 1.0
+
+
+def test_short_texts_have_anchors_and_are_not_alike(spark, folder_of):
+    # texts of 1 to 20 words, no two with a word in common: unrelated, each followed by another or by an empty one
+    rows = [(100 * v + n, " ".join(f"w{v}x{n}y{i}" for i in range(n)), 1, "x") for v in range(1, 9) for n in range(21)]
+    got = {r.doc_id: r for r in op1_fingerprints(spark, folder_of("documents", rows, "doc_id long, text string, range int, next string"))
+           .collect()}
+    assert len(got) == len(rows)
+    for doc, text, _, _ in rows:
+        w = [spark_hash(x) for x in text.split()]
+        s = [spark_hash(*w[i:i + 3]) for i in range(len(w) - 2)]
+        every = [spark_hash(s[i], s[i + 3], s[i + 6], s[i + 7]) & 0xFFFFFFFF for i in range(len(w) - 9)]
+        own = brute(text) or ([min(every)] if every else [])
+        assert got[doc].fingerprint == "".join("%08x" % a for a in own)
+        assert bool(own) == bool(w) and got[doc].near_next == 0.0
+    assert len({r.fingerprint for r in got.values()}) == 8 * 20 + 1
+    assert sum(not brute(t) for _, t, _, _ in rows) > 8  # some have no chosen k-mer
