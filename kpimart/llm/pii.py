@@ -5,14 +5,15 @@ kind's check are personal data: the base. The others are judged by boosted
 trees on features of their format and of the characters around them. The trees
 learn weakly: candidates that pass a check, or that a telling word precedes,
 against the rest; neither the checks nor those words are features. A threshold
-for each kind is calibrated on scores from the other half of the candidates,
-so that ``precision`` of what is added holds; a kind that cannot reach it adds
-nothing. Added spans never overlap the base, and of added ones that overlap
+for each kind is calibrated on all candidates, each scored by trees from the
+other half, so that ``precision`` of what is added holds; a kind that cannot
+reach it adds nothing. Added spans never overlap the base, and of added ones that overlap
 the likeliest stays.
 
-Candidates are counted by their features over all documents; the trees are
-fitted on the driver from at most ``bound`` distinct feature rows, the most
-frequent first.
+Candidates are counted by their features over all documents. The trees are
+fitted on the driver from at most ``bound`` distinct feature rows: a sample by
+hash, in which frequent rows come sooner, dealt round by kind. The thresholds
+come from all feature rows, scored, sorted and summed in Spark.
 
 Positions are code points, ends exclusive. Edge cases: null and empty texts
 have no spans; without candidates nothing is added; rows with equal ids are
@@ -21,13 +22,14 @@ searched each; further columns are kept under their names.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpimart.llm.common import fresh, let, table
+from kpimart.llm.common import cut, fresh, let, partitions, table
 
 # Java patterns. A run of characters is tried from its start only, or from the
 # end of the match before it (\G), and loops give nothing back: the matches are
@@ -50,6 +52,8 @@ TELLING = r"(?i)(?:token|secret|password|passwd|key|auth|mail|contact|phone|tel|
 AROUND = 16
 FEATURES = ("kind", "chars", "digits", "letters", "upper", "hex", "marks", "changes", "dots", "before", "after", "assigned")
 TOP = 63  # the largest value of a feature
+PLACES = 9  # decimals to which scores are told apart
+SLACK = 1e-9  # below a threshold: more than the rounding takes off
 
 
 def luhn(digits: Column) -> Column:
@@ -186,39 +190,91 @@ def boost(x: np.ndarray, y: np.ndarray, n: np.ndarray, trees: int, depth: int, r
     return start, grown
 
 
+def fold_of(features: list[int]) -> int:
+    """The half a feature row is in; ``fold`` is the same as a column."""
+    return zlib.crc32(",".join(map(str, features)).encode()) % 2
+
+
+def fold(features: Column) -> Column:
+    return F.crc32(F.array_join(features.cast("array<string>"), ",").cast("binary")) % 2
+
+
+def learn(rows: list[tuple[list[int], int, int]], trees: int, depth: int, rate: float) -> tuple[Model, list[Model]]:
+    """The model of all ``rows``, without limits, and for each half the model of the other one."""
+    rows = sorted(rows)
+    x = np.array([r[0] for r in rows])
+    y, n = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
+    half = np.array([fold_of(r[0]) for r in rows])
+
+    def model(k: np.ndarray) -> Model:
+        return Model(*boost(x[k], y[k], n[k], trees, depth, rate), {}) if k.any() else Model(0.0, [], {})
+    return model(half >= 0), [model(half != k) for k in (0, 1)]
+
+
 def fit(rows: list[tuple[list[int], int, int]], precision: float = 0.95, trees: int = 20, depth: int = 3,
         rate: float = 0.3, least: int = 5) -> Model:
     """``rows``: features, label and how often. ``least`` candidates have to back a threshold."""
     if not rows:
         return Model(0.0, [], {})
-    rows = sorted(rows)
+    model, halves = learn(rows, trees, depth, rate)
     x = np.array([r[0] for r in rows])
     y, n = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
-    start, grown = boost(x, y, n, trees, depth, rate)
-    fold = np.array([hash(tuple(r[0])) % 2 for r in rows])  # of small integers: the same in every run
-    z = np.zeros(len(y))
-    for k in (0, 1):
-        if (fold != k).any() and (fold == k).any():
-            s, t = boost(x[fold != k], y[fold != k], n[fold != k], trees, depth, rate)
-            z[fold == k] = s + sum(predict(tree, x[fold == k]) for tree in t)
-    limits = {}
+    half, z = np.array([fold_of(r[0]) for r in rows]), np.zeros(len(rows))
+    for k, other in enumerate(halves):
+        z[half == k] = other.start + sum(predict(tree, x[half == k]) for tree in other.trees)
+    z = z.round(PLACES)
     for kind in range(len(KINDS)):
         own = np.flatnonzero(x[:, 0] == kind)
         own = own[np.argsort(-z[own], kind="stable")]
         count, right = np.cumsum(n[own]), np.cumsum((n * y)[own])
         # only where the score drops may a threshold lie
-        ends = np.append(z[own][1:] < z[own][:-1] - 1e-9, True) if len(own) else np.empty(0, bool)
+        ends = np.append(z[own][1:] < z[own][:-1], True) if len(own) else np.empty(0, bool)
         good = np.flatnonzero(ends & (count >= least) & (right >= precision * count))
         if len(good):
-            limits[kind] = float(z[own][good[-1]])
-    return Model(start, grown, limits)
-
-
-def fit_pii(docs: DataFrame, text_col: str = "text", bound: int = 20_000, **options) -> Model:
-    each = docs.select(F.explode(candidates(F.col(text_col))).alias("c")).groupBy("c.features", "c.label").agg(
-        F.count("*").alias("n"))
-    rows = each.orderBy(F.col("n").desc(), "features", "label").limit(bound).collect()
-    return fit([(list(r.features), r.label, r.n) for r in rows], **options)
+            model.limits[kind] = float(z[own][good[-1]]) - SLACK
+    return model
+
+
+def limits_of(scored: DataFrame, precision: float, least: int) -> dict[int, float]:
+    """Kind to the least score that is added, from ``scored``: kind, score, n and hits, any number of rows.
+
+    Rows of equal kind and score are one. Sums run down the scores of a kind in
+    ranges of scores; only the sums of the ranges are added up in one task.
+    """
+    sums = scored.groupBy("kind", "score").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    order = [F.col("kind"), F.col("score").desc()]
+    dealt = sums.repartitionByRange(partitions(scored.sparkSession), *order).withColumn("part", F.spark_partition_id())
+    dealt = cut(dealt, "scores")
+    above = Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = dealt.groupBy("kind", "part").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).select(
+        "kind", "part", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
+        F.coalesce(F.sum("hits").over(above), F.lit(0)).alias("hits_above"))
+    down = Window.partitionBy("kind", "part").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    run = dealt.withColumns({"count": F.sum("n").over(down), "right": F.sum("hits").over(down)}).join(
+        F.broadcast(firsts), ["kind", "part"])
+    count, right = F.col("count") + F.col("n_above"), F.col("right") + F.col("hits_above")
+    good = run.filter((count >= least) & (right >= F.lit(float(precision)) * count))
+    return {r["kind"]: r["score"] - SLACK for r in good.groupBy("kind").agg(F.min("score").alias("score")).collect()}
+
+
+def fit_pii(docs: DataFrame, text_col: str = "text", bound: int = 20_000, precision: float = 0.95, trees: int = 20,
+            depth: int = 3, rate: float = 0.3, least: int = 5) -> Model:
+    """The trees from at most ``bound`` distinct feature rows, the thresholds from all."""
+    each = docs.select(F.explode(candidates(F.col(text_col))).alias("c")).groupBy("c.features").agg(
+        F.count("*").alias("n"), F.sum("c.label").alias("hits"))
+    each = cut(each.withColumn("kind", F.get("features", F.lit(0))), "features")
+    # An exponential draw by n: the chance of a row to come first is its share of the candidates.
+    draw = -F.log((F.pmod(F.xxhash64(F.lit(1), "features"), F.lit(1 << 52)) + 1) / F.lit(float(1 << 52))) / F.col("n")
+    turn = Window.partitionBy("kind").orderBy("draw", "features")
+    sample = each.withColumn("draw", draw).withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= bound)
+    rows = sample.orderBy("turn", "kind").limit(bound).select("features", "n", "hits").collect()
+    if not rows:
+        return Model(0.0, [], {})
+    parts = [(list(r.features), label, k) for r in rows for label, k in ((0, r.n - r.hits), (1, r.hits)) if k]
+    model, halves = learn(parts, trees, depth, rate)
+    score = F.when(fold(F.col("features")) == 0, halves[0].score(F.col("features"))).otherwise(halves[1].score(F.col("features")))
+    model.limits = limits_of(each.select("kind", F.round(score, PLACES).alias("score"), "n", "hits"), precision, least)
+    return model
 
 
 def spans(text: Column, model: Model) -> Column:

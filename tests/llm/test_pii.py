@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from kpimart.llm.pii import find_pii, fit, fit_pii, op6_pii, redacted
+from kpimart.llm.pii import KINDS, SLACK, candidates, find_pii, fit, fit_pii, limits_of, op6_pii, redacted
 from pyspark.sql import functions as F
 
 from conftest import SF0001  # noqa: I001
@@ -60,3 +60,32 @@ def test_secrets_are_added_and_redacted(spark):
 def test_a_kind_without_precision_adds_nothing():
     rows = [([6, k, *[1] * 10], k % 2, 3) for k in range(40)]
     assert 6 not in fit(rows, trees=0).limits
+
+
+def test_rare_rows_count_beyond_the_bound(spark):
+    # 40 frequent feature rows of emails, 38 single ones of secrets: a bound of 40 must not leave the secrets out
+    rows = [f"mail {'a' * k}@b.co now" for k in range(1, 41) for _ in range(3)]
+    rows += [f'say token = "{"1a" * (k // 2)}{"f" * (k % 2)}" now' for k in range(20, 58)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    secret = KINDS.index("secret")
+    bounded, whole = fit_pii(docs, bound=40), fit_pii(docs)
+    assert secret in bounded.limits and secret in whole.limits
+    each = docs.select(F.explode(candidates(F.col("text"))).alias("c")).groupBy("c.features", "c.label").count().collect()
+    local = fit([(list(r.features), r.label, r["count"]) for r in each])
+    assert {k: round(v, 6) for k, v in local.limits.items()} == {k: round(v, 6) for k, v in whole.limits.items()}
+
+
+def test_limits_come_from_all_scores(spark):
+    # the highest scores alone are right; of all down to 0.5, 95 %; below that, less
+    rows = [(6, s / 1000, 2, 2 if s > 600 or s % 10 or s <= 500 and s % 3 else 0) for s in range(1, 1000)]
+    rows += [(0, 1.0, 4, 4), (1, 0.5, 3, 3), (1, 0.5, 3, 3), (2, 0.7, 100, 94)] + [(6, s / 1000, 1, 0) for s in range(1, 400)]
+    want = {}
+    for kind in range(7):
+        count = right = 0
+        for score in sorted({r[1] for r in rows if r[0] == kind}, reverse=True):
+            count += sum(r[2] for r in rows if r[:2] == (kind, score))
+            right += sum(r[3] for r in rows if r[:2] == (kind, score))
+            if count >= 5 and right >= 0.95 * count:
+                want[kind] = score - SLACK
+    assert sorted(want) == [1, 6]
+    assert limits_of(spark.createDataFrame(rows, "kind int, score double, n long, hits long"), 0.95, 5) == want
