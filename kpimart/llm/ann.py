@@ -12,7 +12,8 @@ force over all rows, and the window is the least distance in places within
 which ``recall`` of them lie on some curve. All vectors are indexed.
 
 Equal vectors are one class with its smallest ids: a list of k neighbours, ties
-to smaller ids, cannot hold more than k + 1 of them.
+to smaller ids, cannot hold more than k + 1 of them. Before each cut to k + 1 the
+classes are spread to ids and an id counts once, with its best score.
 
 Edge cases: vectors that are null, empty, zero, hold null or non-finite
 components, have no id or another length than most take no part; repeated ids
@@ -100,17 +101,34 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def nearest(q_ids, q: np.ndarray, ids, c: np.ndarray, k: int, allowed=None) -> pd.DataFrame:
-    """The ``k`` nearest of each query, and any within rounding of the last, with exact cosines."""
+def nearest(q_ids, q: np.ndarray, classes, ids, c: np.ndarray, k: int, allowed=None) -> pd.DataFrame:
+    """The ``k`` nearest ids of each query, and the class of each, with exact cosines; ``ids`` has those of each class."""
     rough = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (c / np.linalg.norm(c, axis=1, keepdims=True)).T
     if allowed is not None:
         rough[~allowed] = -9
-    k = min(k, len(ids))
-    last = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
-    row, col = np.nonzero((rough >= last[:, None] - 1e-9) & (rough > -2))
-    out = pd.DataFrame({"query": np.asarray(q_ids)[row], "id": np.asarray(ids)[col], "score": cosines(q[row], c[col])})
-    out = out.sort_values(["query", "score", "id"], ascending=[True, False, True])
-    return out.groupby("query", sort=False).head(k)
+    ids = [np.asarray(i, np.int64) for i in ids]
+    held, every = np.array([len(i) for i in ids]), np.concatenate(ids)
+    starts = np.cumsum(held) - held
+    parts, left, most = [], np.arange(len(q)), min(k, len(ids))
+    while len(left):
+        # the ids of as many classes; where they are too few for lack of different ones, of twice as many
+        some = rough[left]
+        last = np.partition(some, len(ids) - most, axis=1)[:, len(ids) - most]
+        row, col = np.nonzero((some >= last[:, None] - 1e-9) & (some > -2))
+        score = cosines(q[left[row]], c[col])
+        n = held[col]
+        at = np.repeat(starts[col] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out = pd.DataFrame({"row": np.repeat(left[row], n), "id": every[at], "class": np.repeat(np.asarray(classes)[col], n),
+                            "score": np.repeat(score, n)})
+        out = out.sort_values(["row", "score", "id", "class"], ascending=[True, False, True, True]).drop_duplicates(["row", "id"])
+        found = np.bincount(out["row"], minlength=len(q))
+        short = left[(found[left] < k) & (last > -2) & (most < len(ids))]
+        parts.append(out[~out["row"].isin(short)])
+        left, most = short, min(2 * most, len(ids))
+    out = pd.concat(parts) if parts else pd.DataFrame({"row": [], "id": [], "class": [], "score": []}).astype("int64")
+    out.insert(0, "query", np.asarray(q_ids)[out["row"].to_numpy(np.int64)])
+    out = out.sort_values(["query", "score", "id"], ascending=[True, False, True]).drop_duplicates(["query", "id"])
+    return out.groupby("query", sort=False).head(k)[["query", "id", "class", "score"]]
 
 
 def as_matrix(values) -> np.ndarray:
@@ -143,13 +161,13 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
     same = Window.partitionBy("v").orderBy("id")
     few = rows.distinct().withColumn("n", F.row_number().over(same)).filter(F.col("n") <= k + 1)
     classes = cut(few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(
-        F.get("ids", F.lit(0)).alias("of"), "ids", "v"), "classes")
+        F.get("ids", F.lit(0)).alias("of"), "ids", "v", F.monotonically_increasing_id().alias("class")), "classes")
     total = classes.count()
     asked = rows.filter(is_query).select("id", F.col("v").alias("qv")).join(
-        classes.select("of", "v"), F.col("qv") == F.col("v")).select("id", "of", "v")
+        classes.select("class", "v"), F.col("qv") == F.col("v")).select("id", "class", "v")
 
     # At most fit_rows vectors, then probes times k ids, come to the driver.
-    sample = [r.v for r in classes.orderBy(F.xxhash64("of"), "of").limit(fit_rows).select("v").collect()]
+    sample = [r.v for r in classes.orderBy(F.xxhash64("of"), "of", "v").limit(fit_rows).select("v").collect()]
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, id long, score double")
     made = fit_curves(as_matrix(sample), curves, seed)
@@ -157,40 +175,39 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
     def keyed(batches):
         for batch in batches:
             at = made.places(as_matrix(batch["v"]))
-            yield pd.DataFrame({"of": batch["of"], "keys": list(at)})
+            yield pd.DataFrame({"of": batch["of"], "class": batch["class"], "keys": list(at)})
 
-    on_curves = classes.select("of", "v").mapInPandas(keyed, "of long, keys array<long>").select(
-        "of", F.posexplode("keys").alias("curve", "key"))
-    order = [F.col("curve"), F.col("key"), F.col("of")]
-    placed = cut(global_rank(on_curves, order, "place").select("curve", "place", "of"), "placed")
+    on_curves = classes.select("of", "class", "v").mapInPandas(keyed, "of long, class long, keys array<long>").select(
+        "of", "class", F.posexplode("keys").alias("curve", "key"))
+    order = [F.col("curve"), F.col("key"), F.col("of"), F.col("class")]
+    placed = cut(global_rank(on_curves, order, "place").select("curve", "place", "class"), "placed")
 
     window = min(total, measured_window(classes, placed, probes, k, recall, total))
     block = max(1, min(BLOCK, window))
     reach = -(-window // block)
-    held = placed.withColumn("block", F.floor(F.col("place") / block)).join(classes.select("of", "v"), "of")
-    near = asked.select("of").distinct().join(placed, "of").join(classes.select("of", "v"), "of").withColumn(
+    held = placed.withColumn("block", F.floor(F.col("place") / block)).join(classes.select("class", "ids", "v"), "class")
+    near = asked.select("class").distinct().join(placed, "class").join(classes.select("class", "v"), "class").withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("place") / block) - reach, F.floor(F.col("place") / block) + reach)))
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
-            return pd.DataFrame({"query": [], "id": [], "score": []}).astype({"query": "int64", "id": "int64"})
+            return pd.DataFrame({"query": [], "id": [], "class": [], "score": []}).astype({"query": "int64", "id": "int64", "class": "int64"})
         allowed = q["near_curve"].to_numpy()[:, None] == c["curve"].to_numpy()[None]
         parts = []
         for at in range(0, len(q), 1024):
             some = q.iloc[at:at + 1024]
-            parts.append(nearest(some["near_of"].to_numpy(), as_matrix(some["near_v"]), c["of"].to_numpy(), as_matrix(c["v"]), k + 1,
-                                 allowed[at:at + 1024]))
+            parts.append(nearest(some["near_class"].to_numpy(), as_matrix(some["near_v"]), c["class"].to_numpy(), c["ids"],
+                                 as_matrix(c["v"]), k + 1, allowed[at:at + 1024]))
         return pd.concat(parts)
 
-    near = near.select("block", "curve", "of", "v").toDF("near_block", "near_curve", "near_of", "near_v")
+    near = near.select("block", "curve", "class", "v").toDF("near_block", "near_curve", "near_class", "near_v")
     found = near.groupBy("near_block").cogroup(
-        held.select("block", "curve", "of", "v").groupBy("block")).applyInPandas(meet, "query long, id long, score double")
+        held.select("block", "curve", "class", "ids", "v").groupBy("block")).applyInPandas(
+            meet, "query long, id long, class long, score double")
     hits = found.groupBy("query", "id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
     hits = hits.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
-    members = hits.join(classes.select(F.col("of").alias("id"), "ids"), "id").select(
-        "query", "score", F.explode("ids").alias("id"))
-    each = asked.select(F.col("id").alias("query_id"), F.col("of").alias("query")).join(members, "query").filter(
+    each = asked.select(F.col("id").alias("query_id"), F.col("class").alias("query")).join(hits, "query").filter(
         F.col("id") != F.col("query_id"))
     each = each.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
@@ -200,21 +217,23 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
 
 def measured_window(classes: DataFrame, placed: DataFrame, probes: int, k: int, recall: float, total: int) -> int:
     """The distance in places within which ``recall`` of the probes' true neighbours lie on some curve."""
-    asked = classes.orderBy(F.xxhash64(F.lit(1), "of"), "of").limit(probes).select("of", "v").collect()
-    q_ids, q = [r.of for r in asked], as_matrix([r.v for r in asked])
+    asked = classes.orderBy(F.xxhash64(F.lit(1), "of"), "of", "v").limit(probes).select("class", "v").collect()
+    q_ids, q = [r["class"] for r in asked], as_matrix([r.v for r in asked])
 
     def scan(batches):
         for batch in batches:
             if len(batch):
-                yield nearest(q_ids, q, batch["of"].to_numpy(), as_matrix(batch["v"]), k + 1)
+                yield nearest(q_ids, q, batch["class"].to_numpy(), batch["of"].to_numpy()[:, None], as_matrix(batch["v"]), k + 1)
 
-    found = classes.select("of", "v").mapInPandas(scan, "query long, id long, score double").filter("query <> id")
+    found = classes.select("of", "class", "v").mapInPandas(scan, "query long, id long, class long, score double")
+    found = found.groupBy("query", "id").agg(F.max(F.struct("score", "class")).alias("best")).select("query", "id", "best.*").filter(
+        F.col("query") != F.col("class"))
     top = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
-    true = [(r["query"], r["id"]) for r in found.withColumn("n", F.row_number().over(top)).filter(F.col("n") <= k).collect()]
+    true = [(r["query"], r["class"]) for r in found.withColumn("n", F.row_number().over(top)).filter(F.col("n") <= k).collect()]
     ids = sorted({i for pair in true for i in pair})
     at: dict[int, dict[int, int]] = {}
-    for r in placed.filter(F.col("of").isin(ids)).collect():
-        at.setdefault(r["of"], {})[r["curve"]] = r["place"]
+    for r in placed.filter(F.col("class").isin(ids)).collect():
+        at.setdefault(r["class"], {})[r["curve"]] = r["place"]
     apart = sorted(min(abs(at[a][c] - at[b][c]) for c in at[a]) for a, b in true)
     return max(32, apart[min(len(apart) - 1, int(np.ceil(recall * len(apart))))] if apart else total)
 

@@ -41,3 +41,12 @@ def test_edges(spark, folder_of):
     few = op3_neighbours(spark, folder_of("embeddings", [(0, [1.0]), (1, [-1.0])], "vec_id long, embedding array<float>")).collect()
     assert [tuple(r) for r in few] == [(0, 1, 1, -1.0)]
     assert op3_neighbours(spark, folder_of("embeddings", [], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_an_id_under_several_near_vectors_takes_one_place(spark, folder_of):
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, 0.001 * i]) for i in range(1, 9)] + [(k, [1.0, 0.1 * k]) for k in range(2, 11)]
+    rows += [(50, [0.0, 1.0]), (50, [1.0, 1.05])]
+    got = op3_neighbours(spark, folder_of("embeddings", rows, "vec_id long, embedding array<double>")).collect()
+    by = {q: [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in (0, 50)}
+    assert by == {0: [1, 2, 3, 4, 5], 50: [10, 9, 8, 7, 6]}
+    assert len(got) == 10
