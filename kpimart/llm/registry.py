@@ -10,6 +10,7 @@ from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
 from kpimart.llm.pii import op6_pii
 from kpimart.llm.quality import op5_quality
+from kpimart.llm.token_counts import op11_token_counts
 from kpimart.llm.token_files import op10_token_files
 from kpimart.llm.toxicity import op9_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op11_token_counts": op11_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_chat": OP7_SQL}
