@@ -20,6 +20,13 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_path(spark, 'llm')}/{what}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of this subpackage that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

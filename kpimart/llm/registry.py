@@ -8,6 +8,7 @@ from kpimart.llm.dedup import op2_minhash
 from kpimart.llm.fingerprints import op1_fingerprints
 from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
+from kpimart.llm.phrases import OP13_SQL, op13_phrases
 from kpimart.llm.pii import op6_pii
 from kpimart.llm.quality import op5_quality
 from kpimart.llm.token_counts import op11_token_counts
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
     "op11_token_counts": op11_token_counts,
+    "op13_phrases": op13_phrases,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_chat": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_chat": OP7_SQL, "op13_phrases": OP13_SQL}
