@@ -6,6 +6,7 @@ from kpimart.llm.ann import op3_neighbours
 from kpimart.llm.chat import OP7_SQL, op7_chat
 from kpimart.llm.dedup import op2_minhash
 from kpimart.llm.fingerprints import op1_fingerprints
+from kpimart.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from kpimart.llm.mixing import op8_mix
 from kpimart.llm.packing import op4_pack
 from kpimart.llm.phrases import OP13_SQL, op13_phrases
@@ -27,7 +28,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
     "op11_token_counts": op11_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_phrases": op13_phrases,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_chat": OP7_SQL, "op13_phrases": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_chat": OP7_SQL, "op12_hard_negatives": OP12_SQL, "op13_phrases": OP13_SQL}
