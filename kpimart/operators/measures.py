@@ -15,9 +15,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpimart.operators.selection import disc_place, nth_values
+
 VALUE_TYPE = "decimal(9,2)"
 VALUE = "Measure_Values"
 DENOM = "Denominator"
@@ -100,24 +102,10 @@ def sum_measure(df: DataFrame, by: By, labels: Mapping[str, object], quantity: C
     return _finish(agg, by, labels, "__d", value_type)
 
 
-def _ranked_values(df: DataFrame, keys: list[str], extra: list[str], q: Column, weight: Column | None
-                   ) -> DataFrame:
-    """Per-group distinct values with running and total non-null counts.
-
-    Rows are first reduced to one per (group, extra, value) with a partial
-    aggregate (a NULL value is its own bucket, so groups whose values are
-    all NULL survive). A RANGE-frame window over a group's distinct values
-    then gives, per value, how many rows are <= it (``__run``) and the
-    group's non-null count (``__nn``). The window never sees raw rows.
-    """
+def _value_counts(df: DataFrame, keys: Sequence[str], q: Column, weight: Column | None) -> DataFrame:
+    """One row a group and value (NULL included) with its number of rows; partial on every task."""
     w = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    hist = df.groupBy(*[F.col(k) for k in keys + extra], q.alias("__q")).agg(w.alias("__c"))
-    nonnull = F.col("__q").isNotNull()
-    part = Window.partitionBy(*keys)
-    upto = part.orderBy(F.col("__q").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return hist.select(*keys, *extra, "__q",
-                       F.sum(F.when(nonnull, F.col("__c"))).over(upto).alias("__run"),
-                       F.sum(F.when(nonnull, F.col("__c"))).over(part).alias("__nn"))
+    return df.groupBy(*[F.col(k) for k in keys], q.alias("__q")).agg(w.alias("__w"))
 
 
 def exact_share(p: float) -> tuple[int, int]:
@@ -125,12 +113,6 @@ def exact_share(p: float) -> tuple[int, int]:
     return Decimal(str(p)).as_integer_ratio()
 
 
-def _hit(p: float) -> Column:
-    # PERCENTILE_DISC: the smallest value whose share of rows at or below it reaches p.
-    num, den = exact_share(p)
-    return F.col("__q").isNotNull() & (F.col("__run") * den >= F.col("__nn") * num)
-
-
 def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quantity: Column | str,
                        p: float = 0.9, weight: str | None = None,
                        value_type: str = VALUE_TYPE) -> DataFrame:
@@ -138,16 +120,17 @@ def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quan
 
     The reference's window + DISTINCT form equals this group aggregate,
     since its output holds only partition keys. Rows are counted by distinct
-    value first (partial on every task), and ``p`` is compared as a decimal
+    value first (partial on every task); the value itself comes from a radix
+    selection over these counts (:func:`nth_values`), so a group with any
+    number of distinct values is spread over tasks. ``p`` is used as a decimal
     fraction in whole numbers: a double's ``ceil(p * n)`` is one too high
     for some ``p``. A group whose values are all NULL gives NULL over 0.
     """
     keys = _by_names(by)
     base = df.select(*_by(by), _c(quantity).alias("__x"), *([F.col(weight).alias("__w")] if weight else []))
-    ranked = _ranked_values(base, keys, [], F.col("__x"), F.col("__w") if weight else None)
-    agg = ranked.groupBy(*keys).agg(F.min(F.when(_hit(p), F.col("__q"))).alias("__v"),
-                                    F.max(F.coalesce(F.col("__nn"), F.lit(0))).alias("__d"))
-    return _finish(agg, by, labels, "__d", value_type)
+    counts = _value_counts(base, keys, F.col("__x"), F.col("__w") if weight else None)
+    found = nth_values(counts, keys, "__q", "__w", disc_place(*exact_share(p)))
+    return _finish(found.withColumnRenamed("__nn", "__d"), by, labels, "__d", value_type)
 
 
 def percentile_carry(df: DataFrame, partition: By, carry: Sequence[str], labels: Mapping[str, object],
@@ -156,19 +139,22 @@ def percentile_carry(df: DataFrame, partition: By, carry: Sequence[str], labels:
     """Percentile over a coarse partition, repeated on each finer distinct row.
 
     Same rows as ``PERCENTILE_DISC(..) OVER (PARTITION BY partition)``
-    followed by ``DISTINCT`` over partition + carry columns. Rows are
-    reduced to (partition, carry, value) counts first; one window over the
-    partition's distinct values finds the percentile and spreads it with a
-    window MIN; the (partition, carry) grouping then reuses the window's
-    partitioning. No task holds a partition's raw rows, and NULL partition
-    keys group together as in a window PARTITION BY.
+    followed by ``DISTINCT`` over partition + carry columns. The percentile is
+    selected from the partition's value counts, which know nothing of the
+    carried columns, and joined to the distinct (partition, carry) rows; NULL
+    partition keys group together as in a window PARTITION BY.
     """
     keys = _by_names(partition)
     base = df.select(*_by(partition), *[F.col(c) for c in carry], _c(quantity).alias("__x"),
                      *([F.col(weight).alias("__w")] if weight else []))
-    ranked = _ranked_values(base, keys, list(carry), F.col("__x"), F.col("__w") if weight else None)
-    spread = ranked.withColumn("__pct", F.min(F.when(_hit(p), F.col("__q"))).over(Window.partitionBy(*keys)))
-    out = spread.groupBy(*keys, *carry).agg(F.max("__pct").alias("__v"))
+    counts = _value_counts(base, keys, F.col("__x"), F.col("__w") if weight else None)
+    found = nth_values(counts, keys, "__q", "__w", disc_place(*exact_share(p)))
+    found = found.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__v")
+    finer = base.select(*keys, *carry).distinct()
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & finer[k].eqNullSafe(found[f"__k{i}"])
+    out = finer.join(found, cond).select(*keys, *carry, "__v")
     return _finish(out, list(keys) + list(carry), labels, denominator, value_type)
 
 

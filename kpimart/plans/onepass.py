@@ -4,7 +4,7 @@ Per base: one histogram (a partial-aggregated shuffle of the base down to
 the columns its measures read, with a row-count weight ``__n``). Per
 grouping level of that base: one aggregate with a conditional sum per
 measure (``SUM(CASE WHEN filter THEN ..)``) for all count / ratio / sum
-measures, and one RANGE-frame window over the histogram for all
+measures, and one radix selection over the histogram's value counts for all
 percentile measures. The results are unpivoted to long rows with
 ``inline``. A measure whose filter matches no row of a group emits no row
 for it, as a GROUP BY would.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from kpimart.operators.measures import DENOM, VALUE, exact_share
 from kpimart.operators.scope import all_of_sql, segment_sql, sql_ident, sql_literal
+from kpimart.operators.selection import disc_place, nth_values
 
 WEIGHT = "__n"
 KEY = "__measure"
@@ -149,76 +150,55 @@ def _simple_level(hist: DataFrame, sets: Sequence[tuple[str, ...]], specs: Seque
     return _long(grouped.agg(*aggs), rows, denom)
 
 
-def _window(by: Sequence[str], order: str | None = None) -> str:
-    part = ", ".join(sql_ident(b) for b in by)
-    if order is None:
-        return f"(PARTITION BY {part})"
-    return f"(PARTITION BY {part} ORDER BY {order} ASC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-
-
-def _hit(i: int | str, p: float) -> str:
-    # PERCENTILE_DISC: the smallest value whose share of rows at or below it reaches p, in whole numbers.
-    num, den = exact_share(p)
-    return f"__q IS NOT NULL AND __run{i} * {den}L >= __nn{i} * {num}L"
-
-
 def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_sql: str,
                       value_type: str, denom: bool) -> DataFrame:
-    """All discrete percentiles of one level and one value column in one window pass.
+    """All discrete percentiles of one level and one value column in one selection.
 
     The histogram is first summed to one row a group and value, with one
-    weight a measure (partial on every task), so the window's partitions hold
-    a group's distinct values only. Ordered by value, a running weight is the
-    count of rows with a value <= this one; the answer is the smallest value
-    whose share reaches p (PERCENTILE_DISC).
+    weight a measure (partial on every task), and unpivoted to a row a measure
+    (``__m``). The measure is then part of the group, and one radix selection
+    finds every group's value: no window holds all distinct values of a group.
     """
+    from pyspark.sql import functions as F
+
     q = sql_ident(specs[0].value)
     dims = _dims(specs)
-    weights = []
-    for i, s in enumerate(specs):
-        f = spec_filter_sql(s)
-        weights += [_expr(f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END)", f"__w{i}"),
-                    _expr(f"sum(CASE WHEN {f} THEN {N} END)", f"__m{i}")]
+    filters = [spec_filter_sql(s) for s in specs]
+    weights = [_expr(f"sum(CASE WHEN {f} THEN {N} END)", f"__w{i}") for i, f in enumerate(filters)]
     values = hist.groupBy(*by, _expr(q, "__q")).agg(*weights)
-    cols = [sql_ident(b) for b in by] + ["__q"]
-    for i, _ in enumerate(specs):
-        cols += [f"sum(__w{i}) OVER {_window(by, '__q')} AS __run{i}", f"sum(__w{i}) OVER {_window(by)} AS __nn{i}",
-                 f"sum(__m{i}) OVER {_window(by)} AS __any{i}"]
-    ranked = values.selectExpr(*cols)
-    aggs, rows = [], []
-    for i, s in enumerate(specs):
-        aggs += [_expr(f"min(CASE WHEN {_hit(i, s.p)} THEN __q END)", f"__v{i}"),
-                 _expr(f"max(coalesce(__nn{i}, 0))", f"__d{i}"),
-                 _expr(f"max(__any{i})", f"__a{i}")]
-        rows.append(_row_sql(s, load_sql, dims, f"__v{i}", f"__d{i}", f"__a{i} IS NOT NULL", value_type))
-    agg = ranked.groupBy(*by).agg(*aggs)
-    return _long(agg, rows, denom)
+    each = ", ".join(f"named_struct('__m', {i}, '__w', __w{i})" for i, _ in enumerate(specs))
+    values = values.selectExpr(*[sql_ident(b) for b in by], "__q", f"inline(array({each}))").where("__w IS NOT NULL")
+    shares = [exact_share(s.p) for s in specs]
+    num, den = (F.expr(f"CASE __m {' '.join(f'WHEN {i} THEN {x[j]}L' for i, x in enumerate(shares))} END") for j in (0, 1))
+    found = nth_values(values, [*by, "__m"], "__q", "__w", disc_place(num, den))
+    rows = [_row_sql(s, load_sql, dims, "__v", "__nn", f"__m = {i}", value_type) for i, s in enumerate(specs)]
+    return _long(found, rows, denom)
 
 
 def _carry(hist: DataFrame, spec, load_sql: str, value_type: str, denom: bool) -> DataFrame:
     """Percentile over a partition, repeated on each distinct (partition, carry) row.
 
-    Both come from the histogram in one window pass partitioned by the
-    partition columns: the percentile is spread over the partition's rows
-    by a window MIN, then the rows are grouped by partition + carry (the
-    grouping reuses the window's partitioning, no further shuffle). The
-    measure's filter is a conditional weight, not a Filter, so the
-    histogram subtree stays identical to the other levels' and its shuffle
-    is reused instead of rescanning the base.
+    Both come from the histogram: the percentile is selected from the
+    partition's value counts, without the carried columns, and joined to the
+    (partition, carry) groups that the measure's filter leaves. The filter is a
+    conditional weight, not a Filter, so the histogram subtree stays identical
+    to the other levels' and its shuffle is reused instead of rescanning the
+    base.
     """
+    from pyspark.sql import functions as F
+
     f = spec_filter_sql(spec)
-    q = sql_ident(spec.value)
     by = list(spec.by)
-    ranked = hist.selectExpr(
-        *[sql_ident(c) for c in by + list(spec.carry)], f"{q} AS __q", f"({f}) AS __f",
-        f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by, q)} AS __run",
-        f"sum(CASE WHEN ({f}) AND {q} IS NOT NULL THEN {N} END) OVER {_window(by)} AS __nn")
-    spread = ranked.selectExpr(
-        "*", f"min(CASE WHEN __f AND {_hit('', spec.p)} THEN __q END) OVER {_window(by)} AS __pct")
-    agg = spread.groupBy(*by, *spec.carry).agg(_expr("max(__pct)", "__v"),
-                                               _expr("max(CASE WHEN __f THEN 1 END)", "__a"))
+    values = hist.groupBy(*by, _expr(sql_ident(spec.value), "__q")).agg(
+        _expr(f"sum(CASE WHEN {f} THEN {N} END)", "__w")).where("__w IS NOT NULL")
+    found = nth_values(values, by, "__q", "__w", disc_place(*exact_share(spec.p)))
+    found = found.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], "__v")
+    finer = hist.groupBy(*by, *spec.carry).agg(_expr(f"max(CASE WHEN {f} THEN 1 END)", "__a")).where("__a IS NOT NULL")
+    cond = F.lit(True)
+    for i, c in enumerate(by):
+        cond = cond & finer[c].eqNullSafe(found[f"__k{i}"])
     d = sql_literal(spec.denominator if spec.denominator is not None else 0)
-    return _long(agg, [_row_sql(spec, load_sql, _dims([spec]), "__v", d, "__a IS NOT NULL", value_type)], denom)
+    return _long(finer.join(found, cond), [_row_sql(spec, load_sql, _dims([spec]), "__v", d, "true", value_type)], denom)
 
 
 def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_sql: str, value_type: str,
