@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import IntegerType, MapType, StructField, StructType
 
 # Row bound under which a side of known size is broadcast outright.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -213,13 +213,78 @@ def row_rank(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], tie:
              out_col: str, descending: bool = False) -> DataFrame:
     """The row number itself within each key by ``order`` then ``tie``.
 
-    A rank needs its key's rows in one sort, so this costs a shuffle by key;
-    where only the first row counts, :func:`first_per_key` and
-    :func:`latest_flag` avoid that.
+    Keys are counted first, which runs one aggregate of ``df``. Keys of usual
+    size are numbered by a window. The rows of a hot key (:func:`hot_keys`) are
+    range-partitioned by the order instead, so they spread over all tasks: a
+    row's number is its place in its partition plus the key's rows in the
+    partitions before. Where only the first row counts, :func:`first_per_key`
+    and :func:`latest_flag` are cheaper.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*_order(order, descending), *[F.col(t).asc() for t in tie])
-    return df.withColumn(out_col, F.row_number().over(w))
+    sort = [*_order(order, descending), *[F.col(t).asc() for t in tie]]
+    hot = hot_keys(df, keys)
+    cold = df if hot is None else df.join(hot, _null_safe(df, hot, keys), "left_anti")
+    numbered = cold.withColumn(out_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*sort)))
+    if hot is None:
+        return numbered
+    rows = df.join(hot, _null_safe(df, hot, keys)).drop(*[f"__h{i}" for i in range(len(keys))])
+    return numbered.unionByName(_rank_by_range(rows, "__hot", sort, out_col).drop("__hot"))
+
+
+# A key of fewer rows is never split: one task sorts it in seconds.
+HOT_KEY_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], least: int | None = None) -> DataFrame | None:
+    """Keys with more than ``least`` rows and more than a quarter of an average task's; None without any.
+
+    At most four keys a shuffle partition can be that large, which bounds the
+    result: it is collected and comes back as a broadcast table of the keys
+    (``__h0``, ``__h1``, ..; NULL is a key) and a number each (``__hot``).
+    """
+    spark = df.sparkSession
+    least = HOT_KEY_ROWS if least is None else least
+    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).observe(total, F.sum("__n").alias("rows"))
+    top = counts.filter(F.col("__n") > least).orderBy(F.col("__n").desc()).limit(most).collect()
+    share = (total.get.get("rows") or 0) // most
+    found = [(*r[:-1], i) for i, r in enumerate(top) if r["__n"] > share]
+    if not found:
+        return None
+    fields = [StructField(f"__h{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    return F.broadcast(spark.createDataFrame(found, StructType([*fields, StructField("__hot", IntegerType())])))
+
+
+def _null_safe(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & df[k].eqNullSafe(hot[f"__h{i}"])
+    return cond
+
+
+def _rank_by_range(rows: DataFrame, key: str, sort: Sequence[Column], out_col: str) -> DataFrame:
+    """Row numbers by ``sort`` within each of a few keys, whose rows spread over all partitions.
+
+    Sorted rows are numbered by partition and written to the shared checkpoint
+    folder, so both readings see the same places. A key's rows by partition
+    are a row each (keys plus partitions at most), summed in one small window.
+    """
+    from kpimart.sources.io import stage
+
+    spark = rows.sparkSession
+    bits = 33  # of monotonically_increasing_id for the place in the partition
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Rows tied on everything spread too: their order is free.
+    spread = rows.withColumn("__any", F.monotonically_increasing_id()).repartitionByRange(n, key, *sort, "__any")
+    placed = stage(spread.sortWithinPartitions(key, *sort, "__any").withColumn("__at", F.monotonically_increasing_id()),
+                   mode="checkpoint")
+    part = F.shiftright("__at", bits)
+    runs = placed.groupBy(F.col(key).alias("__k"), part.alias("__part")).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__k").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select("__k", "__part", (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    out = placed.join(F.broadcast(runs), (F.col(key) == F.col("__k")) & (part == F.col("__part")))
+    return out.withColumn(out_col, (F.col("__at") + F.col("__shift")).cast("int")).drop("__any", "__at", "__k", "__part", "__shift")
 
 
 def latest_rank(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], tie: Sequence[str],

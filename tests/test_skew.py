@@ -1,5 +1,7 @@
 """Hot keys: a third of the rows on one key, derived from the given tables."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kpimart.operators import enrich
@@ -58,3 +60,46 @@ def test_enrich_hot_key_uses_skew_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_row_rank_spreads_a_hot_key(spark, monkeypatch, descending):
+    from kpimart.operators import joins
+
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 300)
+    spread, by_range = [], joins._rank_by_range
+
+    def watched(rows, key, sort, out_col):
+        out = by_range(rows, key, sort, out_col)
+        spread.extend(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        return out
+
+    monkeypatch.setattr(joins, "_rank_by_range", watched)
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 500).cast("string")).alias("k"),
+        F.lit(1).alias("k2"), (F.col("id") * 7919 % 13).alias("d"), F.when(F.col("id") % 11 > 0, F.col("id") % 11).alias("e"), "id")
+    got = joins.row_rank(df, ["k", "k2"], ["d", "e"], ["id"], "n", descending)
+    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in ("d", "e")]
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k", "k2").orderBy(*order, "id")))
+    assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    # the hot key (3000 rows) and NULL (857) lie in all 8 partitions, none with much more than its share
+    assert len(spread) == 8 and max(spread) < 1000
+
+
+def test_row_rank_numbers_rows_tied_on_everything(spark, monkeypatch):
+    from kpimart.operators import joins
+
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 100)
+    df = spark.range(4000).select(F.lit("hot").alias("k"), F.lit(5).alias("d"))
+    assert sorted(r.n for r in joins.row_rank(df, "k", ["d"], [], "n").collect()) == list(range(1, 4001))
+    assert joins.row_rank(df.limit(0), "k", ["d"], [], "n").count() == 0
+
+
+def test_hot_keys_are_bounded(spark):
+    from kpimart.operators.joins import hot_keys
+
+    df = spark.range(1000).select((F.col("id") % 100).alias("k"))
+    assert hot_keys(df, ["k"], least=9) is None            # ten rows each: below a task's quarter
+    assert hot_keys(df, ["k"], least=1000) is None
+    one = hot_keys(df.union(spark.range(400).select(F.lit(None).cast("long"))), ["k"], least=9).collect()
+    assert [(r["__h0"], r["__hot"]) for r in one] == [(None, 0)]
