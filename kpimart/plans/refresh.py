@@ -13,7 +13,8 @@ from kpimart.plans.inputs import Inputs
 from kpimart.plans.mart import Base, MartSpec, build_mart, build_measures
 from kpimart.plans.params import MartParams
 from kpimart.plans.schemas import REQUIRED, calendar_schema, decimal_type
-from kpimart.sources.io import write_mart
+from kpimart.sources.io import Run, write_run
+from kpimart.sources.manifest import commit_runs, remove
 
 MARTS = {"violations": violations, "permits": permits, "inspections": inspections}
 
@@ -58,12 +59,13 @@ def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str =
     """Rebuild and replace the calendar and the three subject marts.
 
     Each mart is written to ``target_dir/<name>`` (a shared folder) as a new
-    run and becomes current only after its rows were written and validated,
-    so a failed mart leaves its previous version in place. ``extra`` adds
-    marts of the caller's: a spec and its bases by name. With ``parallel`` the marts
-    are submitted from a thread pool: Spark runs their jobs concurrently,
-    so one mart's small final stages overlap another's scans. The first
-    failure is raised after every mart has finished.
+    run. When all of them are written and validated, one manifest makes all
+    runs current (:mod:`kpimart.sources.manifest`): whichever mart fails, all
+    stay at the previous ``as_of``, the new runs are removed and the first
+    failure is raised. ``extra`` adds marts of the caller's: a spec and its
+    bases by name. With ``parallel`` the marts are submitted from a thread
+    pool: Spark runs their jobs concurrently, so one mart's small final stages
+    overlap another's scans.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -79,17 +81,22 @@ def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str =
             return build_mart(*extra[name], params.as_of, params.value_type, plan, params.checkpoint_histograms)
         return build(name, inputs, params, plan, tie)
 
-    def one(name: str) -> DataFrame:
+    def one(name: str) -> Run:
         schema, required = schemas[name]
-        return write_mart(rows(name), schema, os.path.join(target_dir, name),
-                          required, partition_by.get(name, ()))
+        return write_run(rows(name), schema, os.path.join(target_dir, name), required, partition_by.get(name, ()))
 
-    names = list(schemas)
-    if not parallel:
-        return {name: one(name) for name in names}
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+    names, runs, errors = list(schemas), {}, []
+    with ThreadPoolExecutor(max_workers=len(names) if parallel else 1) as pool:
         futures = {name: pool.submit(one, name) for name in names}
-    errors = [f.exception() for f in futures.values() if f.exception() is not None]
+    for name, f in futures.items():
+        if f.exception() is None:
+            runs[name] = f.result()
+        else:
+            errors.append(f.exception())
     if errors:
+        for run in runs.values():
+            remove(run.df.sparkSession, run.place)
         raise errors[0]
-    return {name: f.result() for name, f in futures.items()}
+    commit_runs(next(iter(runs.values())).df.sparkSession, target_dir.rstrip("/"),
+                {n: {"run": r.name, "rows": r.rows, "as_of": str(params.as_of)} for n, r in runs.items()})
+    return {name: run.df for name, run in runs.items()}

@@ -5,15 +5,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kpimart.sources.manifest import commit_runs, read_manifest
 
-def _is_path(source: str) -> bool:
+
+def is_path(source: str) -> bool:
     return "/" in source or source.endswith(".parquet") or "://" in source
 
 
@@ -25,7 +27,7 @@ def read_source(spark: SparkSession, source: str, columns: Sequence[str] | Mappi
     A missing column raises before any job runs. The projection reaches
     the Parquet scan (``ReadSchema``), so undeclared columns are never read.
     """
-    df = spark.read.format(fmt).load(source) if _is_path(source) else spark.table(source)
+    df = spark.read.format(fmt).load(source) if is_path(source) else spark.table(source)
     if columns is None:
         return df
     mapping = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
@@ -64,17 +66,22 @@ def conform(df: DataFrame, schema: StructType, required: Sequence[str] = ()) ->
     return df.select(*cols)
 
 
-def write_mart(df: DataFrame, schema: StructType, target: str, required: Sequence[str] = (),
-               partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
-    """Full-refresh a mart (O02): write the new rows beside the old, then switch.
+@dataclass(frozen=True)
+class Run:
+    """A written and validated copy of a mart that is not current yet."""
+
+    name: str
+    place: str
+    rows: int
+    df: DataFrame
+
 
-    Every refresh writes a run of its own: a folder under ``target``, or a
-    table named after it. The rows are conformed and validated as they are
-    written (a NULL key or a DECIMAL(9,2) overflow raises), read back and
-    counted. Only then does the mart point at the run: a path gains a row in
-    its list of runs, a table name is a view that is replaced. Whatever fails
-    before leaves the previous mart as it was. Earlier runs stay until the
-    caller removes them. Returns the mart read back.
+def write_run(df: DataFrame, schema: StructType, target: str, required: Sequence[str] = (),
+              partition_by: Sequence[str] = (), fmt: str = "parquet") -> Run:
+    """Write the rows of a refresh beside the mart's earlier runs, and check them.
+
+    The rows are conformed and validated as they are written (a NULL key or a
+    DECIMAL(9,2) overflow raises), read back and counted.
 
     ``partition_by`` names columns to lay folders out by. The folders carry
     copies; the columns stay in the files, so ``''`` and NULL stay apart and
@@ -89,7 +96,7 @@ def write_mart(df: DataFrame, schema: StructType, target: str, required: Sequenc
     writer = out.withColumns(copies).observe(written, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if copies:
         writer = writer.partitionBy(*copies)
-    if _is_path(target):
+    if is_path(target):
         place = f"{target.rstrip('/')}/runs/{run}"
         writer.save(place)
     else:
@@ -99,42 +106,60 @@ def write_mart(df: DataFrame, schema: StructType, target: str, required: Sequenc
     expected, found = written.get.get("rows", 0), back.count()
     if expected != found:
         raise RuntimeError(f"{place}: wrote {expected} rows, read {found}; the previous mart stays")
-    if _is_path(target):
-        last = _runs(spark, target)
-        number = 1 + (last.agg(F.max("number")).first()[0] if last is not None else 0)
-        spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(run).alias("run"),
-                              F.lit(found).cast("long").alias("rows")).coalesce(1).write.mode("append").parquet(
-            f"{target.rstrip('/')}/current")
+    return Run(run, place, found, back)
+
+
+def write_mart(df: DataFrame, schema: StructType, target: str, required: Sequence[str] = (),
+               partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
+    """Full-refresh a mart (O02): write the new rows beside the old, then switch.
+
+    Every refresh writes a run of its own (:func:`write_run`): a folder under
+    ``target``, or a table named after it. Only then does the mart point at
+    the run: for a path through the next manifest of the folder it lies in
+    (:mod:`kpimart.sources.manifest`), which two writers cannot both claim; a
+    table name is a view that is replaced. Whatever fails before leaves the
+    previous mart as it was. Earlier runs stay until ``expire_runs``. Returns
+    the mart read back.
+    """
+    run = write_run(df, schema, target, required, partition_by, fmt)
+    if is_path(target):
+        folder, name = _split(target)
+        commit_runs(df.sparkSession, folder, {name: {"run": run.name, "rows": run.rows}})
     else:
         columns = ", ".join(f"`{c}`" for c in schema.fieldNames())
-        spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT {columns} FROM {place}")
-    return back
+        df.sparkSession.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT {columns} FROM {run.place}")
+    return run.df
+
+
+def _split(target: str) -> tuple[str, str]:
+    """The folder of marts and the mart's name."""
+    folder, _, name = target.rstrip("/").rpartition("/")
+    return folder or ".", name
 
 
 def _run(spark: SparkSession, place: str, schema: StructType, fmt: str) -> DataFrame:
     """One run with the declared columns, in their order."""
-    df = spark.read.format(fmt).schema(schema).load(place) if _is_path(place) else spark.table(place)
+    df = spark.read.format(fmt).schema(schema).load(place) if is_path(place) else spark.table(place)
     return df.select(*schema.fieldNames())
 
 
-def _runs(spark: SparkSession, target: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("number long, run string, rows long").parquet(f"{target.rstrip('/')}/current")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-
-
 def read_mart(spark: SparkSession, target: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """The mart's current rows, in the declared column order."""
-    if not _is_path(target):
+    if not is_path(target):
         return spark.table(target).select(*schema.fieldNames())
-    runs = _runs(spark, target)
-    last = runs.orderBy(F.col("number").desc()).first() if runs is not None else None
-    if last is None:
-        raise ValueError(f"{target}: no refresh has succeeded yet")
-    return _run(spark, f"{target.rstrip('/')}/runs/{last['run']}", schema, fmt)
+    folder, name = _split(target)
+    return read_marts(spark, folder, {name: schema}, fmt=fmt)[name]
+
+
+def read_marts(spark: SparkSession, folder: str, schemas: Mapping[str, StructType], number: int | None = None,
+               fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Several marts of a folder as one manifest names them: the current one, or ``number``."""
+    folder = folder.rstrip("/") or "/"
+    marts = read_manifest(spark, folder, number).marts
+    missing = sorted(set(schemas) - set(marts))
+    if missing:
+        raise ValueError(f"{folder}: no refresh of {', '.join(missing)} has succeeded yet")
+    return {n: _run(spark, f"{folder}/{n}/runs/{marts[n]['run']}", schema, fmt) for n, schema in schemas.items()}
 
 
 def stage(df: DataFrame, name: str | None = None, mode: str = "persist") -> DataFrame:
