@@ -6,7 +6,9 @@ from kpimart.operators.calendar import (
     calendar_rows,
     calendar_of,
     fiscal_calendar,
+    date_span,
     fiscal_period,
+    measured_calendar,
     month_end_calendar,
 )
 from kpimart.operators.joins import (
@@ -14,6 +16,7 @@ from kpimart.operators.joins import (
     enrich_multiplicity,
     enrich_weighted,
     first_per_key,
+    hot_keys,
     latest_flag,
     latest_per_key,
     latest_rank,
@@ -44,7 +47,7 @@ __all__ = [
     "Segment", "add_business_days", "all_of", "business_day_calendar", "calendar_rows",
     "collapse_dims", "count_measure", "enrich", "enrich_multiplicity", "enrich_weighted", "first_per_key",
     "calendar_of", "fiscal_calendar", "fiscal_period", "latest_flag", "latest_per_key", "latest_rank",
-    "maybe_broadcast", "month_end_calendar", "percentile_carry", "percentile_measure",
+    "date_span", "hot_keys", "maybe_broadcast", "measured_calendar", "month_end_calendar", "percentile_carry", "percentile_measure",
     "predicate", "ratio_measure", "require_related", "require_related_weighted", "row_rank", "scope", "segment", "stack",
     "sum_measure", "transition_scope",
 ]

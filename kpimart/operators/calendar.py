@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from kpimart.functions.dates import date_lit, ts_lit
 from kpimart.operators.joins import maybe_broadcast
@@ -68,6 +69,55 @@ def calendar_of(facts: DataFrame, date_col: str, start: dt.date, end: dt.date, f
     return fiscal_days(span.select(F.explode(F.sequence(first, last)).alias("pkdate")), fy_start_month)
 
 
+def date_span(facts: DataFrame, date_col: str, files: tuple[str, str] | None = None) -> tuple[dt.date | None, dt.date | None]:
+    """First and last day of a column, by one job; (None, None) without any.
+
+    ``files`` names the Parquet files that ``facts`` holds whole and the column
+    there. A DATE column is then answered from the files' footers: Spark pushes
+    the aggregate into the scan of a V2 source, which is read in a session of
+    its own so that no other plan sees its settings. Other columns and sources
+    cost a scan of that one column.
+    """
+    found = footer_span(facts.sparkSession, *files) if files else None
+    if found is None:
+        day = F.to_date(date_col)
+        found = facts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    row = found.first()
+    return row["lo"], row["hi"]
+
+
+def footer_span(spark: SparkSession, path: str, column: str) -> DataFrame | None:
+    """Minimum and maximum of a DATE column from Parquet footers; None for another type."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = other.read.parquet(path)
+    if table.schema[column].dataType != DateType():
+        return None
+    return table.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+
+
+def measured_calendar(facts: DataFrame, date_col: str, start: dt.date, end: dt.date, fy_start_month: int = 10,
+                      pad_years: int = 1, files: tuple[str, str] | None = None) -> tuple[DataFrame, int]:
+    """:func:`calendar_of` with its span measured now, by one job, and its row count.
+
+    For a refresh: the span is read once and every mart gets the same calendar
+    of known size, which is generated from two literals and never scans the
+    facts again.
+    """
+    lo, hi = date_span(facts, date_col, files)
+    lo, hi = min(filter(None, (lo, start))), max(filter(None, (hi, end)))
+
+    def opens(d: dt.date) -> int:
+        """The calendar year in which the fiscal year of ``d`` opens."""
+        return d.year - (d.month < fy_start_month)
+
+    first = dt.date(max(1, opens(lo) - pad_years), fy_start_month, 1)
+    after = opens(hi) + pad_years + 1
+    last = dt.date(after, fy_start_month, 1) - dt.timedelta(days=1) if after <= dt.MAXYEAR else dt.date.max
+    return fiscal_calendar(facts.sparkSession, first, last, fy_start_month), calendar_rows(first, last)
+
+
 def month_end_calendar(cal: DataFrame, as_of: dt.datetime, start: dt.date) -> DataFrame:
     """Month-end reporting calendar.
 

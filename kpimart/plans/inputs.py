@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpimart.operators.calendar import calendar_of
+from kpimart.operators.calendar import measured_calendar
 from kpimart.plans import params as P
-from kpimart.sources.io import read_source
+from kpimart.sources.io import is_path, read_source
 from kpimart.sources.schemas import SOURCES, as_declared
 
 
@@ -34,24 +34,30 @@ class Lazy(Mapping):
 class Inputs:
     """Source DataFrames keyed by name (see ``SOURCES``) and the fiscal calendar.
 
-    ``calendar`` is a DataFrame or a function that makes it when first used.
-    ``cal_rows`` is the calendar's exact row count when known (one row per
-    day of its span), which allows a broadcast of proven size.
+    ``calendar`` is a DataFrame, or a function that makes it and its row count
+    when first used: once for all marts of a refresh. ``cal_rows`` is the
+    calendar's exact row count when known (one row per day of its span), which
+    allows a broadcast of proven size.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame], calendar: DataFrame | Callable[[], DataFrame],
-                 cal_rows: int | None = None):
-        self.tables, self.cal_rows, self._calendar = tables, cal_rows, calendar
+    def __init__(self, tables: Mapping[str, DataFrame],
+                 calendar: DataFrame | Callable[[], tuple[DataFrame, int | None]], cal_rows: int | None = None):
+        self.tables, self._cal_rows, self._calendar, self._lock = tables, cal_rows, calendar, Lock()
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
     @property
     def calendar(self) -> DataFrame:
-        if callable(self._calendar):
-            self._calendar = self._calendar()
+        with self._lock:  # marts are built side by side
+            if callable(self._calendar):
+                self._calendar, self._cal_rows = self._calendar()
         return self._calendar
 
+    @property
+    def cal_rows(self) -> int | None:
+        return self.calendar is not None and self._cal_rows or None
+
 
 def load_inputs(spark: SparkSession, places: Mapping[str, str], renames: Mapping[str, Mapping[str, str]] | None = None,
                 params: P.MartParams | None = None, calendar: str | None = None, fmt: str = "parquet") -> Inputs:
@@ -76,8 +82,10 @@ def load_inputs(spark: SparkSession, places: Mapping[str, str], renames: Mapping
         return Inputs(tables, days)
     if params is None:
         raise ValueError("params are needed to make a calendar")
-    return Inputs(tables, lambda: calendar_of(tables["violations"], "service_date", params.calendar_start,
-                                              params.as_of.date(), params.fy_start_month))
+    place, day = places["violations"], renames.get("violations", {}).get("service_date", "service_date")
+    files = (place, day) if fmt == "parquet" and is_path(place) else None
+    return Inputs(tables, lambda: measured_calendar(tables["violations"], "service_date", params.calendar_start,
+                                                    params.as_of.date(), params.fy_start_month, files=files))
 
 
 CALENDAR_COLUMNS = ("pkdate", "fiscal_year", "fiscal_quarter", "fiscal_quarter_char_desc",
@@ -91,8 +99,8 @@ def test_inputs(spark: SparkSession, sf_dir: str, fy_start_month: int = 10) -> I
     tables = Lazy(adapters.makers(spark, sf_dir))
     p = P.TEST_PARAMS
 
-    def calendar() -> DataFrame:
+    def calendar() -> tuple[DataFrame, int]:
         orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate")
-        return calendar_of(orders, "o_orderdate", p.calendar_start, p.as_of.date(), fy_start_month)
+        return measured_calendar(orders, "o_orderdate", p.calendar_start, p.as_of.date(), fy_start_month)
 
     return Inputs(tables, calendar)

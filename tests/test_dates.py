@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from kpimart.functions import add_business_days_expr, business_days_between, month_end, month_start
@@ -127,3 +128,50 @@ def test_add_business_days_with_holiday(spark):
     got = dict(add_business_days(starts, "d", 10, "t", bd, cal_rows=366).select("d", "t").collect())
     assert got[D(2024, 1, 1)] == D(2024, 1, 16)     # skips the holiday
     assert got[D(2024, 1, 12)] == D(2024, 1, 29)
+
+
+def test_span_of_a_date_column_comes_from_footers(spark, tmp_path):
+    from kpimart.operators.calendar import date_span, footer_span, measured_calendar
+
+    path = str(tmp_path / "facts")
+    days = spark.range(1000).select(F.date_add(F.lit("2020-02-29").cast("date"), F.col("id").cast("int")).alias("day"),
+                                    F.col("id").cast("string").alias("other"))
+    days.repartition(4).write.parquet(path)
+    facts = spark.read.parquet(path).select(F.col("day").alias("d"))
+    plan = footer_span(spark, path, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(day), MAX(day)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    want = (D(2020, 2, 29), D(2022, 11, 24))
+    assert date_span(facts, "d", (path, "day")) == date_span(facts, "d") == want
+    assert date_span(facts.limit(0), "d") == (None, None)
+    cal, n = measured_calendar(facts, "d", D(2021, 1, 1), D(2021, 12, 31), files=(path, "day"))
+    got = cal.agg(F.min("pkdate"), F.max("pkdate"), F.count("*")).first()
+    assert tuple(got) == (D(2018, 10, 1), D(2024, 9, 30), n)
+    times = facts.select(F.col("d").cast("timestamp_ntz").alias("t"))
+    times.write.parquet(str(tmp_path / "times"))
+    assert footer_span(spark, str(tmp_path / "times"), "t") is None
+    assert date_span(times, "t", (str(tmp_path / "times"), "t")) == want
+
+
+@pytest.mark.parametrize("fy,lo,hi", [(10, D(2001, 9, 30), D(2001, 10, 1)), (1, D(1999, 12, 31), D(2000, 1, 1)), (7, D(1996, 2, 29), D(1996, 7, 1))])
+def test_measured_calendar_equals_the_calendar_in_the_plan(spark, fy, lo, hi):
+    from kpimart.operators.calendar import calendar_of, measured_calendar
+
+    facts = spark.createDataFrame([(lo,), (hi,), (None,)], "d date")
+    cal, n = measured_calendar(facts, "d", D(2000, 6, 1), D(2000, 6, 30), fy)
+    want = calendar_of(facts, "d", D(2000, 6, 1), D(2000, 6, 30), fy)
+    assert cal.count() == n and sorted(map(tuple, cal.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_the_span_is_measured_once_a_refresh(spark, monkeypatch):
+    from kpimart.operators import calendar
+    from kpimart.plans import TEST_PARAMS, build, test_inputs
+    from tests.conftest import SF0001
+
+    seen, span = [], calendar.date_span
+    monkeypatch.setattr(calendar, "date_span", lambda *a: seen.append(a) or span(*a))
+    inputs = test_inputs(spark, SF0001)
+    assert not seen
+    plans = [build(n, inputs, TEST_PARAMS)._jdf.queryExecution().executedPlan().toString() for n in ("calendar", "violations")]
+    assert len(seen) == 1
+    assert "FileScan" not in plans[0] and "orders" not in plans[0]
