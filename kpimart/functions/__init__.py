@@ -2,6 +2,7 @@
 
 from kpimart.functions.dates import (
     add_business_days_expr,
+    add_business_days_off_expr,
     add_deadline,
     month_keys,
     business_days_between,
@@ -15,6 +16,7 @@ from kpimart.functions.flags import prefix_flag, prefix_match, relabel, sla_flag
 
 __all__ = [
     "add_business_days_expr",
+    "add_business_days_off_expr",
     "add_deadline",
     "month_keys",
     "business_days_between",

@@ -7,6 +7,7 @@ whole-stage codegen and needs no calendar lookup.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,6 +101,46 @@ def add_business_days_expr(start: ColumnOrName, n: int | Column) -> Column:
     return F.date_add(base, span.cast("int"))
 
 
+def _weekdays_up_to(d: Column) -> Column:
+    """How many weekdays there are up to and including a day, from Monday 1969-12-29 on."""
+    day = F.unix_date(d) + 3
+    return 5 * F.floor(day / 7).cast("int") + F.least(F.pmod(day, F.lit(7)) + 1, F.lit(5))
+
+
+def _count_below(values: Sequence[int], x: Column, equal: bool) -> Column:
+    """How many of the sorted ``values`` lie below ``x`` (or at it), by binary search in a literal array."""
+    held, steps = F.lit(list(values)), [1 << i for i in reversed(range(len(values).bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        value = F.get(held, at + step - 1)          # NULL past the end
+        return F.when(value <= x if equal else value < x, at + step).otherwise(at)
+
+    return F.aggregate(F.lit(steps), F.lit(0), further)
+
+
+def add_business_days_off_expr(start: ColumnOrName, n: int, holidays: Sequence[dt.date]) -> Column:
+    """Date ``n`` business days after ``start`` (O09), ``holidays`` being off besides weekends; n >= 1.
+
+    No calendar and no join: the holidays on weekdays are a sorted literal
+    array, and a row searches it twice. With w(d) the weekdays up to d, a
+    holiday's place among business days is w less the holidays up to it; the
+    target is the weekday that many places further as holidays lie before it.
+    Days outside the listed holidays are judged by their weekday alone, so no
+    date is off the calendar. A start that is off counts from the last
+    business day before it.
+    """
+    off = sorted({h for h in holidays if h.weekday() < 5})
+    if not off:
+        return add_business_days_expr(start, n)
+    days = [(h - dt.date(1970, 1, 1)).days for h in off]
+    places = [5 * ((d + 3) // 7) + (d + 3) % 7 + 1 - (i + 1) for i, d in enumerate(days)]
+    d = F.to_date(_c(start))
+    place = _weekdays_up_to(d) - _count_below(days, F.unix_date(d), equal=True) + n
+    at = place + _count_below(places, place, equal=False) - 1
+    day = 7 * F.floor(at / 5).cast("int") + F.pmod(at, F.lit(5)) - 3
+    return F.when(d.isNotNull(), F.date_add(F.lit("1970-01-01").cast("date"), day.cast("int")))
+
+
 def month_keys(df, col: str, end_name: str = "Month_EndDate_Key", start_name: str = "Month_StartDate_Key"):
     """Add month end and month start keys of a date or time column."""
     return df.withColumns({end_name: month_end(col), start_name: month_start(col)})

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpimart.functions.dates import add_business_days_expr, business_days_between, month_end
+from kpimart.functions.dates import add_business_days_off_expr, business_days_between, month_end
 from kpimart.functions.flags import prefix_flag, prefix_match, relabel, sla_flag
-from kpimart.operators.calendar import add_business_days, business_day_calendar, fiscal_calendar
 from kpimart.operators.joins import first_per_key, one_of_equal
 from kpimart.operators.scope import scope
 from kpimart.plans import params as P
@@ -32,14 +31,7 @@ def stage_inspections(inputs: Inputs, params: P.MartParams, tie: tuple[str, ...]
               ("in", "status_des", P.INSPECTION_DONE_STATUSES),
               ("not_in", "division_code", P.EXCLUDED_DIVISIONS),
               ("not_in_or_null", "inspector_group", P.EXCLUDED_INSPECTOR_GROUPS))
-    target = add_business_days_expr(F.to_date("created_date"), P.SLA_BUSINESS_DAYS)
-    if params.holidays:
-        # The calendar spans the holidays given, so a date off it raises: its holidays are not known.
-        spark = i.sparkSession
-        days = fiscal_calendar(spark, min(params.holidays), max(params.holidays), params.fy_start_month)
-        off = spark.createDataFrame([(h,) for h in params.holidays], "holiday date")
-        i = add_business_days(i, "created_date", P.SLA_BUSINESS_DAYS, "__target", business_day_calendar(days, off))
-        target = F.col("__target")
+    target = add_business_days_off_expr("created_date", P.SLA_BUSINESS_DAYS, params.holidays)
     return i.select(
         month_end("completed_date").alias(MONTH),
         F.col("grp").alias("Inspection_Cap_Type"),
@@ -97,7 +89,7 @@ def bases(inputs: Inputs, params: P.MartParams, tie: tuple[str, ...] = ()) -> di
 
 
 MERGED_TYPE = "Inspection_Type_Merged"
-HOUSING_DAYS = "business_days_to_complete"
+HOUSING_DAYS = "housing_days"
 
 
 def _labels(section, sub, measure):

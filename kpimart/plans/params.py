@@ -109,7 +109,7 @@ class MartParams:
     fy_start_month: int = 10
     keep_latest_notice: bool = False   # the reference leaves this filter off
     value_type: str = "decimal(9,2)"
-    # Days off besides weekends; the first and last bound the calendar used.
+    # Days off besides weekends; days outside the list are judged by their weekday.
     holidays: tuple[dt.date, ...] = ()
     # One-pass plan: reliably checkpoint each (small) histogram into
     # spark.checkpoint.dir, so a lost executor in a later stage never

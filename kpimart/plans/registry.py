@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kpimart.functions import (
     add_business_days_expr,
+    add_business_days_off_expr,
     add_deadline,
     month_keys,
     business_days_between,
@@ -177,6 +178,12 @@ def _(spark, sf):
     return add_business_days(i, "created_date", P.SLA_BUSINESS_DAYS, "target_date", business_day_calendar(days, off))
 
 
+@q("op_add_business_days_holidays_list")
+def _(spark, sf):
+    i = A.inspections(spark, sf).select("event_id", "created_date")
+    return i.withColumn("target_date", add_business_days_off_expr("created_date", P.SLA_BUSINESS_DAYS, P.TEST_HOLIDAYS))
+
+
 @q("op_fiscal_period")
 def _(spark, sf):
     inp = test_inputs(spark, sf)
@@ -429,3 +436,8 @@ for _name in ("calendar", "violations", "permits", "inspections"):
     QUERIES[f"mart_{_name}"] = _mart_query(_name, "onepass")
 for _name in ("violations", "permits", "inspections"):
     QUERIES[f"mart_{_name}_plain"] = _mart_query(_name, "plain")
+
+
+@q("mart_inspections_holidays")
+def _(spark, sf):
+    return build("inspections", test_inputs(spark, sf), PARAMS.with_(holidays=P.TEST_HOLIDAYS), "onepass", TIE)

@@ -175,3 +175,29 @@ def test_the_span_is_measured_once_a_refresh(spark, monkeypatch):
     plans = [build(n, inputs, TEST_PARAMS)._jdf.queryExecution().executedPlan().toString() for n in ("calendar", "violations")]
     assert len(seen) == 1
     assert "FileScan" not in plans[0] and "orders" not in plans[0]
+
+
+@pytest.mark.parametrize("holidays", [
+    [], [D(2024, 1, 6)], [D(2024, 1, 1), D(2024, 1, 15), D(2024, 1, 16), D(2024, 1, 15), D(2024, 3, 2)],
+    [D(2024, 1, 1) + dt.timedelta(days=k) for k in range(0, 60, 3)], [D(1960, 2, 1), D(1969, 12, 29), D(1970, 1, 1), D(2024, 2, 29)],
+    [D(2024, 2, 5) + dt.timedelta(days=k) for k in range(40)]])
+def test_business_days_with_holidays_equal_counting(spark, holidays):
+    from kpimart.functions import add_business_days_off_expr
+
+    off = set(holidays)
+
+    def count(d, n):
+        while d.weekday() > 4 or d in off:      # a start that is off counts from the business day before it
+            d -= dt.timedelta(days=1)
+        while n:
+            d += dt.timedelta(days=1)
+            n -= d.weekday() < 5 and d not in off
+        return d
+
+    days = [D(2023, 12, 1) + dt.timedelta(days=k) for k in range(120)] + [D(1969, 12, 20) + dt.timedelta(days=k) for k in range(30)]
+    df = spark.createDataFrame([(d,) for d in days] + [(None,)], "d date")
+    for n in (1, 10, 23):
+        got = df.select("d", add_business_days_off_expr("d", n, holidays).alias("t"))
+        assert {r.d: r.t for r in got.collect()} == {None: None, **{d: count(d, n) for d in days}}
+    plan = df.select(add_business_days_off_expr("d", 10, holidays))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
