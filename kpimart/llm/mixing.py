@@ -176,12 +176,14 @@ def copies_of(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col:
               source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as ``mix`` (from ``mix_sources`` over the same rows) takes it.
 
-    Empty documents have no words to mix and are left out.
+    Rows of one id, text and source are told apart by their other columns, so
+    reruns agree on which of them is taken.
     """
     mark, n = fresh(docs, "mark"), fresh(docs, "n")
-    same = Window.partitionBy(id_col, mark).orderBy(F.lit(0))
+    told = [F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    same = Window.partitionBy(id_col, mark).orderBy(F.xxhash64(*told))
     rows = docs.withColumn(mark, F.xxhash64(text_col, source_col)).withColumn(n, F.row_number().over(same))
-    taken = mix.filter((F.col("copies") > 0) & (F.col("size") > 0)).select(
+    taken = mix.filter(F.col("copies") > 0).select(
         F.col("doc_id").alias("taken_id"), F.col("mark").alias("taken_mark"), F.col("n").alias("taken_n"), "copies")
     taken = taken.toDF(*[fresh(docs, c) for c in taken.columns])
     i, m, k, copies = (F.col(c) for c in taken.columns)

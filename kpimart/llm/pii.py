@@ -40,9 +40,9 @@ PATTERNS = {
     # whole runs of digits with single separators, of 16 to 19 digits
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "handle": r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,64}",
+    "handle": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++",
     "number": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{2,3}[.-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])[A-Za-z0-9+/_=-]{16,}+",
+    "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+",
 }
 KINDS = list(PATTERNS)
 BASE = KINDS[:4]

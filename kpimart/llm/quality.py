@@ -24,13 +24,14 @@ from math import exp, log, log1p
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpimart.llm.common import held_out, table
 from kpimart.llm.labels import training_sample
 
-MOST_LINES = 200
+MOST_LINES = 200  # of a document that the fit learns from
 THRESHOLD = 0.7
 
 # Classes of characters, as columns of counts.
@@ -242,14 +243,20 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 3) -> M
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 4000) -> Model:
-    """Fit on a bounded sample; the driver gets the sample's line features, not its texts."""
+    """Fit on a bounded sample; the driver gets the sample's line features, not its texts.
+
+    Of a document with more than ``MOST_LINES`` lines so many neighbouring
+    lines are learnt from.
+    """
     def features(batches):
         for batch in batches:
             rows = []
             for text, y in zip(batch["text"], batch["label"], strict=True):
-                if text is None or text.count("\n") < MOST_LINES:
-                    x, length = line_features(text)
-                    rows.append((x.astype("<f4").tobytes(), length.astype("<f4").tobytes(), y))
+                x, length = line_features(text)
+                # of a longer one, that many neighbouring lines from a place by its hash
+                first = xxhash.xxh64_intdigest(text) % (len(x) - MOST_LINES + 1) if len(x) > MOST_LINES else 0
+                some = slice(first, first + MOST_LINES)
+                rows.append((x[some].astype("<f4").tobytes(), length[some].astype("<f4").tobytes(), y))
             yield pd.DataFrame(rows, columns=["x", "length", "y"])
 
     got = training_sample(docs, labels, label, bound).select("doc_id", "text", "label").mapInPandas(

@@ -55,6 +55,12 @@ def unpack_block(data: bytes, at: int) -> np.ndarray:
     return diff + np.uint32(low)
 
 
+def _checked(block: int) -> int:
+    if not 1 <= block <= 0xFFFF:
+        raise ValueError(f"a block holds 1 to 65535 ids, not {block}: its counts have 16 bits")
+    return block
+
+
 def pack_page(ids: np.ndarray, block: int) -> tuple[bytes, list[int]]:
     blocks = [pack_block(ids[i:i + block]) for i in range(0, len(ids), block)]
     starts = np.cumsum([0, *map(len, blocks)])[:-1].tolist()
@@ -74,7 +80,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
     shards follow one another in id order. A page closes at the first document
     that brings it to ``page_ids`` ids.
     """
-    end = np.asarray([end_id], "<u4").tobytes()
+    end, block = np.asarray([end_id], "<u4").tobytes(), _checked(block)
 
     def pages(batches):
         enc, shard = encoder(tokenizer), TaskContext.get().partitionId()

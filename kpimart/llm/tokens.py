@@ -56,8 +56,8 @@ class Words(dict):
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes.
 
-    A null or empty text gives no ids. Special tokens' strings in a text are
-    ordinary text.
+    A null or empty text gives no ids. The strings of special tokens inside a
+    text are those tokens, as the library takes them by default.
     """
 
     def __init__(self, path: str):
@@ -65,7 +65,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {str(t.content): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = {s: np.asarray([i], "<u4").tobytes() for s, i in added.items()}
+        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
+        self.cuts = re.compile(f"({'|'.join(longest_first)})") if added else None
         self.model, self.shown = self.tokenizer.model, _byte_letters()
         # Both kinds are told apart by what they do with white space.
         self.spaced = bool(self.whole(" "))
@@ -97,6 +100,13 @@ class Encoder:
         return ids + self.pieces[marks] if marks else ids
 
     def text(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.cuts is None or not self.cuts.search(text):
+            return self.plain(text)
+        return b"".join(self.special[part] if i % 2 else self.plain(part) for i, part in enumerate(self.cuts.split(text)))
+
+    def plain(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.spaced:

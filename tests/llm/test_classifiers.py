@@ -76,3 +76,20 @@ def test_group_mentions_move_scores_little():
         score = toxicity.fit(rows, fair=fair).scorer()
         return score("the muslims met") - score("the jews met")
     assert abs(sample(50.0)) < 0.1 < abs(sample(0.0))
+
+
+def test_the_sample_is_bounded_in_rows_and_longer_documents_are_learnt_from(spark):
+    from kpimart.llm.labels import training_sample
+
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(k, "other") for k in range(2, 90)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 90)], "doc_id long, quality int")
+    got = training_sample(docs, labels, "quality", 40).collect()
+    assert len(got) == 40 == len({r.doc_id for r in got})
+    every = training_sample(docs, labels, "quality", 4000).collect()
+    assert [r.text for r in every if r.doc_id == 1] in ([], ["text 0"])
+
+    good, bad = "A sentence that reads quite well, with words.", "$$$ 0001 || click ||| @@ 99"
+    rows = [(k, "\n".join([good if k % 2 else bad] * 250)) for k in range(80)]
+    model = quality.fit_quality(spark.createDataFrame(rows, "doc_id long, text string"),
+                                spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, quality int"))
+    assert model.score(rows[1][1]) > 0.7 > 0.3 > model.score(rows[0][1])

@@ -57,6 +57,15 @@ def test_secrets_are_added_and_redacted(spark):
     assert sum(got[k] == 'say token = "<SECRET>" now' for k in range(30)) >= 28
 
 
+def test_candidates_have_no_longest_length(spark):
+    handle = "x" * 100 + " (at) " + "y" * 90
+    secret = "a" * 70 + "7" + "b" * 10
+    docs = spark.createDataFrame([(f"mail {handle} or token = {secret} now",), ("q" * 300_000 + " 1 " + "Z" * 100_000 + "1",)], "text string")
+    got = [[(KINDS[c["kind"]], c["end"] - c["start"]) for c in r.c] for r in docs.select(candidates(F.col("text")).alias("c")).collect()]
+    assert ("handle", len(handle)) in got[0] and ("secret", len(secret)) in got[0]
+    assert got[1] == [("secret", 100_001)]
+
+
 def test_a_kind_without_precision_adds_nothing():
     rows = [([6, k, *[1] * 10], k % 2, 3) for k in range(40)]
     assert 6 not in fit(rows, trees=0).limits

@@ -58,10 +58,25 @@ def test_mix_and_pack(steps):
 def test_edges(spark):
     rows = [(1, None, None, None, None), (None, "a b c.", "en", "s", 5), (2, "a b c.", "en", "s", 5), (2, "a b c.", "en", "s", 5),
             (3, "", "en", "s", 0), (4, "long words here. " * 5000, "en", "t", 1)]
-    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as mark", "'x' as found", "2 as copies", "3 as n", "4 as item")
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as mark", "'x' as found", "2 as copies", "3 as n", "4 as item",
+                                                     "5 as lead_id", "6 as lead_mark", "7 as row")
     for given in (docs, docs.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             got = stage(spark, given, SF0001)
             got.collect()
             assert name == "pack" or got.columns == docs.columns
     assert corpus_pipeline.drop_near_duplicates(spark, docs, SF0001).count() == 4
+
+
+def test_documents_without_words_pass_the_mix(spark):
+    rows = [(1, "some words here", "en", "a", 15), (2, "other words there", "en", "a", 17), (3, "  ", "en", "a", 2), (4, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert {r.doc_id for r in corpus_pipeline.mix(spark, docs, SF0001).collect()} == {1, 2, 3, 4}
+
+
+def test_equal_rows_with_other_columns_keep_the_same_one(spark):
+    rows = [(1, "a b c d e f g", lang, source, n) for n, (lang, source) in enumerate([("en", "x"), ("de", "y"), (None, None), ("fr", "z")])]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = [corpus_pipeline.drop_near_duplicates(spark, docs.repartition(n, "n_chars").orderBy(order), SF0001).collect()
+            for n, order in ((1, "n_chars"), (3, F.desc("n_chars")))]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] and tuple(kept[0][0]) in rows

@@ -17,8 +17,7 @@ ODD = ["a  b\t\tc \n\n d   ", " lead", "trail ", "x\x1cy !\x1c z\x85q　　r", "
 
 
 def whole(name, texts):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(public_tokenizers.path(name))  # special strings are special tokens, its default
     return [np.asarray(e.ids, "<u4") for e in t.encode_batch(list(texts), add_special_tokens=False)]
 
 
@@ -30,6 +29,17 @@ def test_words_give_the_whole_text_s_ids(name, texts):
     assert enc.text(None) == b""
 
 
+def test_special_strings_are_special_tokens():
+    enc = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert np.frombuffer(enc.text("a<|endoftext|><|startoftext|> b"), "<u4").tolist()[1:3] == [49407, 49406]
+
+
+def test_a_block_s_size_is_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="65535"):
+        write_token_files(spark.createDataFrame([(1, "a")], "doc_id long, text string"), str(tmp_path / "t"),
+                          public_tokenizers.path("byte_bpe_50k.json"), 2, block=65_536)
+
+
 @pytest.mark.parametrize("ids", [[7], [0, 0, 0], [5, 4_000_000_000, 5, 6], list(range(3000)), [2**32 - 1, 0]])
 def test_blocks_round_trip(ids):
     ids = np.asarray(ids, np.uint32)
