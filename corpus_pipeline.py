@@ -29,12 +29,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, likeness 0.8) stays."""
-    leads = near_duplicates(docs).filter("leads").select(F.col("doc_id").alias("lead_id"), F.col("mark").alias("lead_mark"))
-    leads = leads.distinct()
-    mark = fresh(docs, "mark")
+    mark, lead_id, lead_mark, row = (fresh(docs, c) for c in ("mark", "lead_id", "lead_mark", "row"))
+    leads = near_duplicates(docs).filter("leads").select(F.col("doc_id").alias(lead_id), F.col("mark").alias(lead_mark)).distinct()
     rows = docs.withColumn(mark, F.unhex(F.md5("text")))
-    kept = rows.join(leads, rows["doc_id"].eqNullSafe(F.col("lead_id")) & rows[mark].eqNullSafe(F.col("lead_mark")), "left_semi")
-    return kept.dropDuplicates(["doc_id", mark]).drop(mark)
+    kept = rows.join(leads, rows["doc_id"].eqNullSafe(F.col(lead_id)) & rows[mark].eqNullSafe(F.col(lead_mark)), "left_semi")
+    # Rows of one id and text may differ in other columns: the one that stays is the same in every run.
+    told = F.xxhash64(*[F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    one = kept.groupBy("doc_id", mark).agg(F.min_by(F.struct(*docs.columns), told).alias(row))
+    return one.select(f"{row}.*")
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
