@@ -62,9 +62,9 @@ def segment(df: DataFrame, seg: Segment, label_col: str | None = None, ignore_ca
 
 
 def transition_scope(df: DataFrame, from_col: str, to_col: str, from_values: Iterable[str],
-                     to_values: Iterable[str], extra: Iterable[Sequence | Column] = ()) -> DataFrame:
-    """Rows whose class moved from one list into another."""
-    return scope(df, ("in", from_col, tuple(from_values)), ("in", to_col, tuple(to_values)), *extra)
+                     to_values: Iterable[str], extra: Iterable[Sequence | Column] = (), ignore_case: bool = False) -> DataFrame:
+    """Rows whose class moved from one list into another (O17); ``ignore_case`` as in :func:`scope`."""
+    return scope(df, ("in", from_col, tuple(from_values)), ("in", to_col, tuple(to_values)), *extra, ignore_case=ignore_case)
 
 
 # ---- conditions as SQL text, the one form that both plans read --------------

@@ -109,6 +109,8 @@ class MartParams:
     fy_start_month: int = 10
     keep_latest_notice: bool = False   # the reference leaves this filter off
     value_type: str = "decimal(9,2)"
+    # Text compares without case and blanks at the end, in lists, joins and group keys.
+    ignore_case: bool = False
     # Days off besides weekends; days outside the list are judged by their weekday.
     holidays: tuple[dt.date, ...] = ()
     # One-pass plan: reliably checkpoint each (small) histogram into

@@ -13,6 +13,7 @@ from kpimart.plans.inputs import Inputs
 from kpimart.plans.mart import Base, MartSpec, build_mart, build_measures
 from kpimart.plans.params import MartParams
 from kpimart.plans.schemas import REQUIRED, calendar_schema, decimal_type
+from kpimart.plans.text import folded
 from kpimart.sources.io import Run, write_run
 from kpimart.sources.manifest import commit_runs, remove
 
@@ -21,6 +22,8 @@ MARTS = {"violations": violations, "permits": permits, "inspections": inspection
 
 def mart_bases(name: str, inputs: Inputs, params: MartParams, plan: str = "onepass", tie: dict | None = None):
     tie = tie or {}
+    if params.ignore_case:
+        inputs = folded(inputs)
     if name == "violations":
         return violations.bases(inputs, params, plan, tuple(tie.get("class_notice", ())))
     if name == "permits":

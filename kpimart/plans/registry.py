@@ -52,7 +52,7 @@ from kpimart.plans import inspections as insp
 from kpimart.plans import params as P
 from kpimart.plans import permits as perm
 from kpimart.plans import violations as viol
-from kpimart.plans.inputs import test_inputs
+from kpimart.plans.inputs import Inputs, Lazy, test_inputs
 from kpimart.plans.refresh import build, measure, refresh_all
 from kpimart.plans.schemas import calendar_schema, inspections_schema, permits_schema, violations_schema
 from kpimart.session import shared_path
@@ -438,6 +438,36 @@ for _name in ("violations", "permits", "inspections"):
     QUERIES[f"mart_{_name}_plain"] = _mart_query(_name, "plain")
 
 
+def rough(inputs: Inputs) -> Inputs:
+    """The sources as a case-insensitive system holds them: other case, blanks at the end."""
+    def one(df: DataFrame) -> DataFrame:
+        numbers = [F.col(f.name) for f in df.schema.fields if f.dataType.simpleString() in ("bigint", "timestamp_ntz")]
+        how = F.pmod(F.xxhash64(*numbers), F.lit(4))
+        texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and not f.name.startswith("l_")]
+        return df.withColumns({c: F.when(how == 0, F.upper(c)).when(how == 1, F.concat(F.col(c), F.lit("  ")))
+                               .when(how == 2, F.lower(c)).otherwise(F.col(c)) for c in texts})
+    return Inputs(Lazy({n: (lambda n=n: one(inputs[n])) for n in inputs.tables}), lambda: (inputs.calendar, inputs.cal_rows))
+
+
+def _ignore_case_query(name: str) -> Query:
+    def run(spark, sf):
+        return build(name, rough(test_inputs(spark, sf)), PARAMS.with_(ignore_case=True), "onepass", TIE)
+    return run
+
+
+for _name in ("violations", "permits", "inspections"):
+    QUERIES[f"mart_{_name}_ignore_case"] = _ignore_case_query(_name)
+
+
+@q("op_transition_scope_ignore_case")
+def _(spark, sf):
+    n = transition_scope(rough(test_inputs(spark, sf))["class_notice"], "class_id_from", "class_id_to", P.VACANT_FROM_CLASSES,
+                         P.VACANT_TO_CLASSES, extra=[("in", "workflow_status", P.OCCUPIED_WORKFLOW_STATUSES),
+                                                     ("eq", "update_status", P.UPDATE_SUCCESS)], ignore_case=True)
+    return n.select("ssl_info", "l_orderkey", "l_linenumber", F.initcap(F.rtrim("class_id_from")).alias("class_id_from"),
+                    F.initcap(F.rtrim("class_id_to")).alias("class_id_to"))
+
+
 @q("mart_inspections_holidays")
 def _(spark, sf):
     return build("inspections", test_inputs(spark, sf), PARAMS.with_(holidays=P.TEST_HOLIDAYS), "onepass", TIE)
