@@ -14,6 +14,7 @@ from kpimart.operators.calendar import (
 from kpimart.operators.joins import (
     enrich,
     enrich_multiplicity,
+    enrich_split,
     enrich_weighted,
     first_per_key,
     hot_keys,
@@ -45,7 +46,7 @@ from kpimart.operators.stack import stack
 
 __all__ = [
     "Segment", "add_business_days", "all_of", "business_day_calendar", "calendar_rows",
-    "collapse_dims", "count_measure", "enrich", "enrich_multiplicity", "enrich_weighted", "first_per_key",
+    "collapse_dims", "count_measure", "enrich", "enrich_multiplicity", "enrich_split", "enrich_weighted", "first_per_key",
     "calendar_of", "fiscal_calendar", "fiscal_period", "latest_flag", "latest_per_key", "latest_rank",
     "date_span", "hot_keys", "maybe_broadcast", "measured_calendar", "month_end_calendar", "percentile_carry", "percentile_measure",
     "predicate", "ratio_measure", "require_related", "require_related_weighted", "row_rank", "scope", "segment", "stack",

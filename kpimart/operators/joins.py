@@ -69,6 +69,52 @@ def enrich(df: DataFrame, dim: DataFrame, on: JoinOn, columns: Sequence[str],
     return df.join(right, _cond(df, pairs, keys), "left").drop(*keys)
 
 
+def enrich_split(df: DataFrame, dim: DataFrame, on: JoinOn, columns: Sequence[str], least: int | None = None) -> DataFrame:
+    """``enrich`` with every row of the fan-out kept, for keys that are hot on the lookup side.
+
+    A left join cannot split the lookup's side of a skewed partition, so the
+    lookup's keys are counted first (:func:`hot_keys`: one aggregate, few
+    keys). Rows of other keys join as ever. A hot key's lookup rows are counted
+    by distinct value and these counts dealt over several salts; its rows on
+    the kept side are repeated once a salt, each pair meets under one salt, and
+    the counts become rows again after the join. The salts depend on the
+    rows' values only, so a task that runs again deals them alike. Without hot
+    keys this is ``enrich``.
+    """
+    pairs = _pairs(on)
+    right, keys = _keyed(dim, pairs, columns, "__ek")
+    right = right.toDF(*keys, *[f"__c{i}" for i in range(len(columns))])
+    values = right.columns[len(keys):]
+    hot = hot_keys(right.dropna(subset=keys), keys, least)
+    if hot is None:
+        return enrich(df, dim, on, columns)
+    most = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = [f"__h{i}" for i in range(len(keys))]
+
+    def match(side: DataFrame, cols: Sequence[str]) -> Column:
+        cond = F.lit(True)
+        for c, h in zip(cols, named):
+            cond = cond & (side[c] == hot[h])
+        return cond
+
+    shown = [F.col(v).alias(c) for v, c in zip(values, columns)]
+    lefts = [left for left, _ in pairs]
+    cold_left, cold_right = df.join(hot, match(df, lefts), "left_anti"), right.join(hot, match(right, keys), "left_anti")
+    cold = cold_left.join(cold_right, _cond(cold_left, pairs, keys), "left").select(*df.columns, *shown)
+
+    counted = right.join(hot, match(right, keys)).groupBy("__hot", *values).agg(F.count(F.lit(1)).alias("__n"))
+    salt, n = F.col("__salt"), F.col("__n")
+    first = F.pmod(F.xxhash64(*values), F.lit(most)) if values else F.lit(0)
+    mine = F.floor(n / most) + F.when(F.pmod(salt - first, F.lit(most)) < n % most, 1).otherwise(0)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("__salt")
+    dealt = counted.select("*", salts).withColumn("__copies", mine.cast("int")).filter("__copies > 0")
+    dealt = dealt.select(F.col("__hot").alias("__k"), F.col("__salt").alias("__s"), "__copies", *values)
+    kept = df.join(hot, match(df, lefts)).select(*df.columns, "__hot", salts)
+    met = kept.join(dealt, (F.col("__hot") == F.col("__k")) & (F.col("__salt") == F.col("__s")))
+    met = met.select(*df.columns, *values, F.explode(F.array_repeat(F.lit(0), F.col("__copies"))).alias("__copy"))
+    return cold.union(met.select(*df.columns, *shown))
+
+
 def enrich_weighted(df: DataFrame, dim: DataFrame, on: JoinOn, columns: Sequence[str], weight_col: str = "_w",
                     base_weight: str | None = None) -> DataFrame:
     """``enrich`` with equal fan-out rows kept as one row and a weight.

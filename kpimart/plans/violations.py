@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kpimart.functions.dates import deadline_expr, month_end
 from kpimart.functions.flags import relabel, sla_flag
 from kpimart.operators.calendar import fiscal_period
-from kpimart.operators.joins import enrich, enrich_weighted, latest_per_key, require_related, require_related_weighted
+from kpimart.operators.joins import enrich, enrich_split, enrich_weighted, latest_per_key, require_related, require_related_weighted
 from kpimart.operators.scope import scope, transition_scope
 from kpimart.plans import params as P
 from kpimart.plans.inputs import Inputs
@@ -23,7 +23,8 @@ def stage_violations(inputs: Inputs, params: P.MartParams, weight: str | None =
     """Scoped violations with deadline, ward, fiscal period, SLA flag, month.
 
     With ``weight``, equal rows that the address records of a case make are
-    one row and a count in that column.
+    one row and a count in that column. Without it every row is kept, and a
+    case with very many address records is split over tasks.
     """
     v = scope(inputs["violations"],
               ("not_null", "service_status"),
@@ -35,7 +36,7 @@ def stage_violations(inputs: Inputs, params: P.MartParams, weight: str | None =
     if weight:
         v = enrich_weighted(v, inputs["address"], {"cap_id": "b1_alt_id"}, ["ward"], weight)
     else:
-        v = enrich(v, inputs["address"], {"cap_id": "b1_alt_id"}, ["ward"])
+        v = enrich_split(v, inputs["address"], {"cap_id": "b1_alt_id"}, ["ward"])
     v = v.withColumnRenamed("ward", "WARD")
     v = fiscal_period(v, inputs.calendar, "TARGET_RESOLUTION_DATE", params.min_fiscal_year, inputs.cal_rows)
     return v.select(

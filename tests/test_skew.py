@@ -103,3 +103,30 @@ def test_hot_keys_are_bounded(spark):
     assert hot_keys(df, ["k"], least=1000) is None
     one = hot_keys(df.union(spark.range(400).select(F.lit(None).cast("long"))), ["k"], least=9).collect()
     assert [(r["__h0"], r["__hot"]) for r in one] == [(None, 0)]
+
+
+def test_a_key_hot_on_the_lookup_side_is_split(spark):
+    from kpimart.operators import enrich_split
+
+    left = spark.range(600).select((F.col("id") % 50).alias("k"), "id", F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id")).alias("none"))
+    left = left.withColumn("k", F.when(F.col("id") % 40 == 0, None).otherwise(F.col("k")))
+    right = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 60).alias("kk"),
+                                     (F.col("id") % 11).alias("v"), F.when(F.col("id") % 2 == 0, F.lit("w")).alias("u"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for columns in (["v", "u"], ["v"], []):
+            got = enrich_split(left, right, {"k": "kk"}, columns, least=200)
+            want = enrich(left, right, {"k": "kk"}, columns)
+            assert got.columns == want.columns and rows(got) == rows(want)
+            # the hot key's pairs, a third of the lookup times its rows, lie in many partitions
+            spread = [r["count"] for r in got.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+            assert len(spread) >= 5 and max(spread) < 0.5 * sum(spread)
+        assert rows(enrich_split(left, right, {"k": "kk"}, ["v"])) == rows(enrich(left, right, {"k": "kk"}, ["v"]))
+        two = right.withColumn("k2", F.lit(1))
+        got = enrich_split(left.withColumn("j", F.lit(1)), two, {"k": "kk", "j": "k2"}, ["v"], least=200)
+        assert rows(got) == rows(enrich(left.withColumn("j", F.lit(1)), two, {"k": "kk", "j": "k2"}, ["v"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
