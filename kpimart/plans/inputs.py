@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from kpimart.operators.calendar import measured_calendar
 from kpimart.plans import params as P
@@ -41,7 +41,9 @@ class Inputs:
     """
 
     def __init__(self, tables: Mapping[str, DataFrame],
-                 calendar: DataFrame | Callable[[], tuple[DataFrame, int | None]], cal_rows: int | None = None):
+                 calendar: DataFrame | Callable[[], tuple[DataFrame, int | None]], cal_rows: int | None = None,
+                 rejects: Mapping[str, Observation] | None = None):
+        self.rejects = dict(rejects or {})
         self.tables, self._cal_rows, self._calendar, self._lock = tables, cal_rows, calendar, Lock()
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -60,11 +62,16 @@ class Inputs:
 
 
 def load_inputs(spark: SparkSession, places: Mapping[str, str], renames: Mapping[str, Mapping[str, str]] | None = None,
-                params: P.MartParams | None = None, calendar: str | None = None, fmt: str = "parquet") -> Inputs:
+                params: P.MartParams | None = None, calendar: str | None = None, fmt: str = "parquet",
+                parse: Mapping[str, Collection[str]] | None = None) -> Inputs:
     """The real sources: each name of ``SOURCES`` from a path or a table.
 
     ``renames`` maps, by source, a declared column to its name there. Every
-    source is opened at once and a missing column raises before any job.
+    source is opened at once; a missing column, or one whose type does not
+    widen to the declared one, raises before any job. ``parse`` names, by
+    source, columns to convert value by value instead; the rows this leaves
+    out are counted in the ``rejects`` of the inputs, by source, when a job
+    has run.
     ``calendar`` is the place of a day calendar with the columns of
     ``fiscal_days``; without one it is made from the violations' dates and
     ``params``.
@@ -73,19 +80,22 @@ def load_inputs(spark: SparkSession, places: Mapping[str, str], renames: Mapping
     unknown = sorted(set(places) - set(SOURCES))
     if unknown:
         raise ValueError(f"unknown sources {unknown}; declared are {sorted(SOURCES)}")
-    tables = {}
+    tables, parse = {}, parse or {}
+    rejects = {name: Observation(f"rejects of {name}") for name in parse}
     for name, place in places.items():
         own = renames.get(name, {})
-        tables[name] = as_declared(name, read_source(spark, place, {own.get(c, c): c for c in SOURCES[name].fieldNames()}, fmt))
+        df = read_source(spark, place, {own.get(c, c): c for c in SOURCES[name].fieldNames()}, fmt)
+        tables[name] = as_declared(name, df, parse.get(name, ()), rejects.get(name))
     if calendar is not None:
         days = read_source(spark, calendar, CALENDAR_COLUMNS, fmt)
-        return Inputs(tables, days)
+        return Inputs(tables, days, rejects=rejects)
     if params is None:
         raise ValueError("params are needed to make a calendar")
     place, day = places["violations"], renames.get("violations", {}).get("service_date", "service_date")
     files = (place, day) if fmt == "parquet" and is_path(place) else None
     return Inputs(tables, lambda: measured_calendar(tables["violations"], "service_date", params.calendar_start,
-                                                    params.as_of.date(), params.fy_start_month, files=files))
+                                                    params.as_of.date(), params.fy_start_month, files=files),
+                  rejects=rejects)
 
 
 CALENDAR_COLUMNS = ("pkdate", "fiscal_year", "fiscal_quarter", "fiscal_quarter_char_desc",
