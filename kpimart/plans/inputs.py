@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
+from contextlib import ExitStack, contextmanager
 from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from kpimart.operators.calendar import measured_calendar
 from kpimart.plans import params as P
-from kpimart.sources.io import is_path, read_source
+from kpimart.sources.io import is_path, read_source, staged
 from kpimart.sources.schemas import SOURCES, as_declared
 
 
@@ -98,6 +99,27 @@ def load_inputs(spark: SparkSession, places: Mapping[str, str], renames: Mapping
                   rejects=rejects)
 
 
+# Sources that several measures and marts join and group by a case.
+CASE_KEYS = {"violations": "cap_id", "address": "b1_alt_id", "permits": "cap_id", "cap_apo": "b1_alt_id", "inspections": "cap_id"}
+
+
+@contextmanager
+def staged_by_case(inputs: Inputs, columns: Mapping[str, Collection[str]] | None = None, buckets: int | None = None) -> Iterator[Inputs]:
+    """The inputs with the sources of ``CASE_KEYS`` staged by case, for the length of a ``with`` block.
+
+    Each is read once and written as a bucketed table of its declared columns
+    (and ``columns`` besides, by source, such as tie-breakers); what joins or
+    groups by case then shuffles none of them. The tables go at the end.
+    """
+    columns = columns or {}
+    with ExitStack() as tables:
+        held = {n: tables.enter_context(staged(inputs[n], mode="bucketed", by=[key], buckets=buckets,
+                                               columns=[*SOURCES[n].fieldNames(), *columns.get(n, ())]))
+                for n, key in CASE_KEYS.items() if n in inputs.tables}
+        rest = {n: (lambda n=n: inputs[n]) for n in inputs.tables if n not in held}
+        yield Inputs(Lazy({**rest, **{n: (lambda d=d: d) for n, d in held.items()}}), lambda: (inputs.calendar, inputs.cal_rows))
+
+
 CALENDAR_COLUMNS = ("pkdate", "fiscal_year", "fiscal_quarter", "fiscal_quarter_char_desc",
                     "calendar_month_name_short", "calendar_year")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from kpimart.plans import inspections, permits, violations
 from kpimart.plans.calendar_mart import mart_calendar
-from kpimart.plans.inputs import Inputs
+from kpimart.plans.inputs import Inputs, staged_by_case
 from kpimart.plans.mart import Base, MartSpec, build_mart, build_measures
 from kpimart.plans.params import MartParams
 from kpimart.plans.schemas import REQUIRED, calendar_schema, decimal_type
@@ -58,7 +58,8 @@ def measure(key: str, inputs: Inputs, params: MartParams, plan: str = "onepass",
 
 def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str = "onepass",
                 tie: dict | None = None, partition_by: dict | None = None, parallel: bool = True,
-                extra: Mapping[str, tuple[MartSpec, Mapping[str, Base]]] | None = None) -> dict[str, DataFrame]:
+                extra: Mapping[str, tuple[MartSpec, Mapping[str, Base]]] | None = None,
+                stage_by_case: bool = False) -> dict[str, DataFrame]:
     """Rebuild and replace the calendar and the three subject marts.
 
     Each mart is written to ``target_dir/<name>`` (a shared folder) as a new
@@ -68,8 +69,14 @@ def refresh_all(inputs: Inputs, params: MartParams, target_dir: str, plan: str =
     failure is raised. ``extra`` adds marts of the caller's: a spec and its
     bases by name. With ``parallel`` the marts are submitted from a thread
     pool: Spark runs their jobs concurrently, so one mart's small final stages
-    overlap another's scans.
+    overlap another's scans. With ``stage_by_case`` the sources keyed by case
+    are first written as bucketed tables, which all marts then read without a
+    shuffle on the case, and dropped at the end.
     """
+    if stage_by_case:
+        more = {"inspections": tuple((tie or {}).get("inspections", ()))}
+        with staged_by_case(inputs, more) as held:
+            return refresh_all(held, params, target_dir, plan, tie, partition_by, parallel, extra)
     from concurrent.futures import ThreadPoolExecutor
 
     partition_by = partition_by or {}

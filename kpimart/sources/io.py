@@ -162,13 +162,18 @@ def read_marts(spark: SparkSession, folder: str, schemas: Mapping[str, StructTyp
     return {n: _run(spark, f"{folder}/{n}/runs/{marts[n]['run']}", schema, fmt) for n, schema in schemas.items()}
 
 
-def stage(df: DataFrame, name: str | None = None, mode: str = "persist") -> DataFrame:
+def stage(df: DataFrame, name: str | None = None, mode: str = "persist", by: Sequence[str] = (),
+          columns: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Reusable staging result (O03), like ``SELECT .. INTO #temp``.
 
     ``persist``: MEMORY_AND_DISK cache; a lost executor recomputes its
     blocks from lineage. ``checkpoint``: reliable checkpoint into the
-    shared ``spark.checkpoint.dir``, cutting the lineage. The result is
-    also registered as a temp view when ``name`` is given.
+    shared ``spark.checkpoint.dir``, cutting the lineage. ``bucketed``: a
+    table in the warehouse with ``columns`` (all by default), dealt by ``by``
+    into ``buckets`` files (as many as shuffle partitions) that are sorted by
+    it, so that joins and groupings on these columns read it without a
+    shuffle; ``unstage`` drops it. The result is also registered as a temp
+    view when ``name`` is given.
     """
     if mode == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -177,6 +182,8 @@ def stage(df: DataFrame, name: str | None = None, mode: str = "persist") -> Data
 
         ensure_checkpoint_dir(df.sparkSession)
         out = df.checkpoint(eager=True)
+    elif mode == "bucketed":
+        out = _bucketed(df if columns is None else df.select(*columns), list(by), buckets)
     elif mode == "none":
         out = df
     else:
@@ -186,21 +193,37 @@ def stage(df: DataFrame, name: str | None = None, mode: str = "persist") -> Data
     return out
 
 
+def _bucketed(df: DataFrame, by: list[str], buckets: int | None) -> DataFrame:
+    if not by:
+        raise ValueError("a bucketed stage needs the columns it is dealt by")
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"kpimart_stage_{uuid.uuid4().hex}"
+    # Dealt as the buckets are, each bucket comes from one task and is one file.
+    df.repartition(n, *by).write.format("parquet").bucketBy(n, *by).sortBy(*by).saveAsTable(table)
+    out = spark.table(table)
+    out._kpimart_stage = table
+    return out
+
+
 def unstage(df: DataFrame, name: str | None = None) -> None:
     """Drop a staged result (``DROP TABLE #temp``)."""
     df.unpersist()
+    table = getattr(df, "_kpimart_stage", None)
+    if table:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     if name:
         df.sparkSession.catalog.dropTempView(name)
 
 
 @contextmanager
-def staged(df: DataFrame, name: str | None = None, mode: str = "persist") -> Iterator[DataFrame]:
-    """``stage`` for the length of a ``with`` block; its cache and view go at the end.
+def staged(df: DataFrame, name: str | None = None, mode: str = "persist", **how) -> Iterator[DataFrame]:
+    """``stage`` for the length of a ``with`` block; its cache, table and view go at the end.
 
     A cached plan serves every equal plan of the session, so a cache that
     outlives its use makes other queries read it instead of their tables.
     """
-    out = stage(df, name, mode)
+    out = stage(df, name, mode, **how)
     try:
         yield out
     finally:
