@@ -37,3 +37,12 @@ def test_empty_table_and_further_columns(spark):
     assert render(fold_events(conversation_events(empty))).count() == 0
     more = spark.createDataFrame([(1, 0, "user", "t", 5, 6)], "conv_id long, turn long, role string, text string, n long, pos long")
     assert fold_events(conversation_events(more)).collect()[0].text == "t"
+
+
+def test_very_long_texts_and_conversations(spark):
+    long = "a<b\\ " * 200_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long[::-1])] + [(2, k, "assistant" if k % 2 else "user", f"<{k}>") for k in range(5000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in read_back(render(fold_events(conversation_events(df)))).collect()}
+    assert [tuple(t) for t in got[1].turns] == [("user", long), ("assistant", long[::-1])] and got[1].loss_text == long[::-1]
+    assert len(got[2].turns) == 5000 and got[2].loss_text == "".join(f"<{k}>" for k in range(1, 5000, 2))

@@ -93,3 +93,28 @@ def test_the_sample_is_bounded_in_rows_and_longer_documents_are_learnt_from(spar
     model = quality.fit_quality(spark.createDataFrame(rows, "doc_id long, text string"),
                                 spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, quality int"))
     assert model.score(rows[1][1]) > 0.7 > 0.3 > model.score(rows[0][1])
+
+
+def test_fewer_neutral_mentions_count_as_toxic_at_the_shipped_weight(spark):
+    """The corpus names no groups: its labelled texts get mentions, mostly the toxic ones, as biased data have them."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic is not null").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").join(labels, "doc_id")
+    data = sorted((r.doc_id, r.text or "", r.toxic) for r in docs.filter("doc_id < 4000").collect())
+    rng = np.random.default_rng(3)
+    train, clean, toxic = [], [], []
+    for n, (_, text, y) in enumerate(data):
+        words = toxicity.text_words(text) | ({"muslims"} if rng.random() < (0.7 if y else 0.03) else set())
+        if n % 4:
+            train.append((toxicity.features(words), toxicity.features(toxicity.counterfactual(words, n)), y))
+        else:
+            (toxic if y else clean).append(text)
+    moved, wrong, caught = {}, {}, {}
+    for name, options in (("plain", {"fair": 0.0}), ("shipped", {})):
+        score = toxicity.fit(train, **options).scorer()
+        mentions = [score(t + " the muslims met") for t in clean]
+        moved[name] = np.mean(np.abs(np.array(mentions) - [score(t) for t in clean]))
+        wrong[name] = np.mean(np.array(mentions) >= toxicity.THRESHOLD)
+        caught[name] = np.mean([score(t) >= toxicity.THRESHOLD for t in toxic])
+    assert moved["shipped"] < 0.02 < 0.1 < moved["plain"]
+    assert wrong["shipped"] < wrong["plain"] / 2 and caught["shipped"] >= caught["plain"]
