@@ -115,7 +115,7 @@ def exact_share(p: float) -> tuple[int, int]:
 
 def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quantity: Column | str,
                        p: float = 0.9, weight: str | None = None,
-                       value_type: str = VALUE_TYPE) -> DataFrame:
+                       value_type: str = VALUE_TYPE, domain_bits: int | None = None) -> DataFrame:
     """Discrete ``p`` percentile with ``COUNT(x)`` as denominator.
 
     The reference's window + DISTINCT form equals this group aggregate,
@@ -129,13 +129,14 @@ def percentile_measure(df: DataFrame, by: By, labels: Mapping[str, object], quan
     keys = _by_names(by)
     base = df.select(*_by(by), _c(quantity).alias("__x"), *([F.col(weight).alias("__w")] if weight else []))
     counts = _value_counts(base, keys, F.col("__x"), F.col("__w") if weight else None)
-    found = nth_values(counts, keys, "__q", "__w", disc_place(*exact_share(p)))
+    found = nth_values(counts, keys, "__q", "__w", disc_place(*exact_share(p)), domain_bits)
     return _finish(found.withColumnRenamed("__nn", "__d"), by, labels, "__d", value_type)
 
 
 def percentile_carry(df: DataFrame, partition: By, carry: Sequence[str], labels: Mapping[str, object],
                      quantity: Column | str, p: float = 0.9, denominator: int | None = 0,
-                     weight: str | None = None, value_type: str = VALUE_TYPE) -> DataFrame:
+                     weight: str | None = None, value_type: str = VALUE_TYPE,
+                     domain_bits: int | None = None) -> DataFrame:
     """Percentile over a coarse partition, repeated on each finer distinct row.
 
     Same rows as ``PERCENTILE_DISC(..) OVER (PARTITION BY partition)``
@@ -148,7 +149,7 @@ def percentile_carry(df: DataFrame, partition: By, carry: Sequence[str], labels:
     base = df.select(*_by(partition), *[F.col(c) for c in carry], _c(quantity).alias("__x"),
                      *([F.col(weight).alias("__w")] if weight else []))
     counts = _value_counts(base, keys, F.col("__x"), F.col("__w") if weight else None)
-    found = nth_values(counts, keys, "__q", "__w", disc_place(*exact_share(p)))
+    found = nth_values(counts, keys, "__q", "__w", disc_place(*exact_share(p)), domain_bits)
     found = found.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__v")
     finer = base.select(*keys, *carry).distinct()
     cond = F.lit(True)

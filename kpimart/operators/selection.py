@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RADIX_BITS = 16
+# A quantity of a declared domain no wider than this is selected in one window a group.
+WINDOW_BITS = 23
 
 # Bits of the codes by type; a type that is not here has no code.
 _BITS = {"tinyint": 8, "smallint": 16, "int": 32, "date": 32, "bigint": 64, "timestamp": 64, "float": 64, "double": 64}
@@ -51,12 +53,13 @@ def order_code(value: Column, kind: T.DataType) -> Column:
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     """Null keys are one group, as in GROUP BY."""
     cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[f"__{n}"])
+    for i, n in enumerate(names):
+        cond = cond & left[n].eqNullSafe(right[f"__same{i}"])
     return cond
 
 
-def nth_values(values: DataFrame, keys: Sequence[str], value: str, weight: str, nth: Column) -> DataFrame:
+def nth_values(values: DataFrame, keys: Sequence[str], value: str, weight: str, nth: Column,
+               domain_bits: int | None = None) -> DataFrame:
     """The value at place ``nth`` of each group, with the group's size.
 
     ``values`` holds one row for each group (``keys``) and distinct value, and
@@ -65,12 +68,15 @@ def nth_values(values: DataFrame, keys: Sequence[str], value: str, weight: str,
     lies in 1 .. ``__nn``. Returns ``keys``, ``__v`` and ``__nn``; a group
     whose values are all NULL has NULL and 0.
 
-    Types without a code (text, decimals of more than 18 digits) are selected
-    in one window a group.
+    ``domain_bits`` says that the values lie in a domain of 2 ** domain_bits
+    numbers; up to ``WINDOW_BITS`` that bounds a group's distinct values, and one
+    window does without the counting before it. Values outside are selected as
+    exactly, only the bound no longer holds. Types without a code (text,
+    decimals of more than 18 digits) are selected in one window a group too.
     """
     keys = list(keys)
     kind = values.schema[value].dataType
-    bits = code_bits(kind)
+    bits = None if domain_bits is not None and domain_bits <= WINDOW_BITS else code_bits(kind)
     rows = values.select(*keys, F.col(value).alias("__q"), F.col(weight).cast("bigint").alias("__w"))
     empty = rows.groupBy(*keys).agg(F.max(F.col("__q").isNotNull()).alias("__some")).filter(~F.col("__some")).select(
         *keys, F.lit(None).cast(kind).alias("__v"), F.lit(0).cast("bigint").alias("__nn"))
@@ -86,10 +92,11 @@ def nth_values(values: DataFrame, keys: Sequence[str], value: str, weight: str,
         sums = [F.sum("__w").alias("__w")] + ([F.first(c).alias(c) for c in place] if place else [])
         counted = left.groupBy(*keys, "__digit").agg(*sums)
         chosen = _pick(counted, keys, "__digit", nth, bool(place))
-        right = chosen.select(*[F.col(k).alias(f"__{k}") for k in (*keys, "__digit")],
-                              (F.col("__place") - F.col("__run") + F.col("__w")).alias("__place"), "__nn")
         named = [*keys, "__digit"]
-        left = left.drop("__place", "__nn").join(right, _same(left, right, named)).drop(*[f"__{n}" for n in named], "__digit")
+        right = chosen.select(*[F.col(n).alias(f"__same{i}") for i, n in enumerate(named)],
+                              (F.col("__place") - F.col("__run") + F.col("__w")).alias("__place"), "__nn")
+        left = left.drop("__place", "__nn")
+        left = left.join(right, _same(left, right, named)).drop(*[f"__same{i}" for i, _ in enumerate(named)], "__digit")
         place = ["__place", "__nn"]
     found = _pick(left, keys, "__q", nth, bool(place)).select(*keys, F.col("__q").alias("__v"), "__nn")
     return found.unionByName(empty)

@@ -112,6 +112,6 @@ MART = MartSpec(
         MeasureSpec("insp_p90", "inspections", "carry", _labels(P.SEC_INSPECTION_SPEED, P.SUB_P90, P.M_P90),
                     (MONTH, "Inspection_Cap_Type", MERGED_TYPE), HOUSING_DAYS,
                     where=(("eq", "Inspection_Cap_Type", P.HOUSING),), carry=("Ward",), denominator=0,
-                    p=P.PERCENTILE, rename=((MERGED_TYPE, "Inspection_Type"),)),
+                    p=P.PERCENTILE, domain_bits=P.DAY_BITS, rename=((MERGED_TYPE, "Inspection_Type"),)),
     ),
 )

@@ -56,6 +56,7 @@ class MeasureSpec:
     denominator: int | None = 0
     p: float = 0.9
     rename: tuple[tuple[str, str], ...] = ()   # base column -> output column
+    domain_bits: int | None = None   # percentiles: values lie in a domain of 2 ** domain_bits numbers
 
     def __post_init__(self):
         if self.kind not in KINDS:
@@ -120,9 +121,9 @@ def _run_measure(spec: MeasureSpec, df: DataFrame, load_date: Column, value_type
     if spec.kind == "sum":
         return sum_measure(df, by, labels, spec.value, weight, value_type)
     if spec.kind == "percentile":
-        return percentile_measure(df, by, labels, spec.value, spec.p, weight, value_type)
+        return percentile_measure(df, by, labels, spec.value, spec.p, weight, value_type, spec.domain_bits)
     return percentile_carry(df, spec.by, spec.carry, labels, spec.value, spec.p, spec.denominator,
-                            weight, value_type)
+                            weight, value_type, spec.domain_bits)
 
 
 def build_measures(mart: MartSpec, bases: Mapping[str, Base], as_of: dt.datetime, value_type: str,

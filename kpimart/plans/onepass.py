@@ -170,7 +170,7 @@ def _percentile_level(hist: DataFrame, by: Sequence[str], specs: Sequence, load_
     values = values.selectExpr(*[sql_ident(b) for b in by], "__q", f"inline(array({each}))").where("__w IS NOT NULL")
     shares = [exact_share(s.p) for s in specs]
     num, den = (F.expr(f"CASE __m {' '.join(f'WHEN {i} THEN {x[j]}L' for i, x in enumerate(shares))} END") for j in (0, 1))
-    found = nth_values(values, [*by, "__m"], "__q", "__w", disc_place(num, den))
+    found = nth_values(values, [*by, "__m"], "__q", "__w", disc_place(num, den), specs[0].domain_bits)
     rows = [_row_sql(s, load_sql, dims, "__v", "__nn", f"__m = {i}", value_type) for i, s in enumerate(specs)]
     return _long(found, rows, denom)
 
@@ -191,7 +191,7 @@ def _carry(hist: DataFrame, spec, load_sql: str, value_type: str, denom: bool) -
     by = list(spec.by)
     values = hist.groupBy(*by, _expr(sql_ident(spec.value), "__q")).agg(
         _expr(f"sum(CASE WHEN {f} THEN {N} END)", "__w")).where("__w IS NOT NULL")
-    found = nth_values(values, by, "__q", "__w", disc_place(*exact_share(spec.p)))
+    found = nth_values(values, by, "__q", "__w", disc_place(*exact_share(spec.p)), spec.domain_bits)
     found = found.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], "__v")
     finer = hist.groupBy(*by, *spec.carry).agg(_expr(f"max(CASE WHEN {f} THEN 1 END)", "__a")).where("__a IS NOT NULL")
     cond = F.lit(True)
@@ -217,14 +217,14 @@ def evaluate(df: DataFrame, weight: str | None, specs: Sequence, load_sql: str,
         if s.kind == "carry":
             out.append(_renamed(_carry(hist, s, load_sql, value_type, denom), s.rename))
         elif s.kind == "percentile":
-            pct.setdefault((s.value, tuple(s.by), s.rename), []).append(s)
+            pct.setdefault((s.value, tuple(s.by), s.rename, s.domain_bits), []).append(s)
         else:
             dims = frozenset(s.by) | frozenset(s.collapse)
             simple.setdefault((dims, s.rename), []).append(s)
     for (_dims_key, rename), ss in simple.items():
         sets = list(dict.fromkeys(tuple(s.by) for s in ss))
         out.append(_renamed(_simple_level(hist, sets, ss, load_sql, value_type, denom), rename))
-    for (_value, by, rename), ss in pct.items():
+    for (_value, by, rename, _bits), ss in pct.items():
         out.append(_renamed(_percentile_level(hist, by, ss, load_sql, value_type, denom), rename))
     return out
 

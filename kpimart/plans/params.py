@@ -63,6 +63,8 @@ HOUSING = "Housing"
 FOLLOW_UP_SPELLINGS = {"Follow Up Inspection": "Follow-Up Inspection",
                        "Follow-Up Inspection": "Follow-Up Inspection"}
 PERCENTILE = 0.9
+# Days between two dates of the years 1 to 9999, weekends left out, are fewer than 2 ** 22 either way.
+DAY_BITS = 23
 
 # Labels of the long-format rows.
 SEC_HOUSING_VIOLATIONS = "Housing Code Violations"

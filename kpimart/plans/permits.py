@@ -84,7 +84,7 @@ def _measures():
         MeasureSpec("permit_total_days", "issued", "sum", _labels(S, P.SUMMARY, P.M_TOTAL_DAYS), detail,
                     "Business_Days"),
         MeasureSpec("permit_p90", "issued", "percentile", _labels(S, P.SUMMARY, P.M_P90_ISSUED), (MONTH,),
-                    "Business_Days", collapse=DIMS, p=P.PERCENTILE),
+                    "Business_Days", collapse=DIMS, p=P.PERCENTILE, domain_bits=P.DAY_BITS),
     ]
     for prefix, sub, seg_issued, seg in (("lcc", P.SUB_LCC, LCC, LCC), ("dc", P.SUB_DANGER_CLOSE, DC_ISSUED, DC)):
         out += [
@@ -93,7 +93,7 @@ def _measures():
             MeasureSpec(f"{prefix}_applications", "applications", "count", _labels(V, sub, P.M_APPLICATIONS),
                         (MONTH,), "pdox_b1_id", segment=seg, collapse=DIMS),
             MeasureSpec(f"{prefix}_p90", "issued", "percentile", _labels(S, sub, P.M_P90_ISSUED), (MONTH,),
-                        "Business_Days", segment=seg, collapse=DIMS, p=P.PERCENTILE),
+                        "Business_Days", segment=seg, collapse=DIMS, p=P.PERCENTILE, domain_bits=P.DAY_BITS),
             MeasureSpec(f"{prefix}_two_cycles", "issued", "ratio", _labels(S, sub, P.M_TWO_CYCLES), (MONTH,),
                         "over_2_indic", segment=seg, collapse=DIMS),
         ]

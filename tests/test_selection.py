@@ -81,3 +81,23 @@ def test_a_month_of_many_values_never_meets_in_one_task(spark, monkeypatch):
     whole = df.select("month", ((F.col("x") + 1000) * 8).cast("int").alias("x"))
     assert float(percentile_measure(whole, ["month"], {}, "x", 0.55, value_type="decimal(18,3)").first().Measure_Values) == n * 55 // 100 - 1
     assert len(windows) == 2 and max(windows) <= 1 << 16
+
+
+@pytest.mark.parametrize("domain_bits", [None, 23, 40])
+def test_a_declared_domain_changes_no_result(spark, domain_bits):
+    draw = random.Random(9)
+    rows = [(g, draw.choice([None, draw.randint(-50, 50), draw.randint(-2**40, 2**40)])) for g in "abc" for _ in range(200)]
+    df = spark.createDataFrame(rows, "g string, x long")   # values outside the domain are selected all the same
+    for p in (0.07, 0.9):
+        num, den = Decimal(str(p)).as_integer_ratio()
+        got = nth_values(df.groupBy("g", "x").agg(F.count("*").alias("n")), ["g"], "x", "n", disc_place(num, den), domain_bits).collect()
+        assert {r.g: (r["__v"], r["__nn"]) for r in got} == cume_dist_percentile(df, p)
+
+
+def test_day_counts_of_marts_take_one_window(spark, inputs_small):
+    from kpimart.plans import TEST_PARAMS, build
+    from kpimart.plans.registry import TIE
+
+    for name in ("permits", "inspections"):
+        plan = build(name, inputs_small, TEST_PARAMS, "onepass", TIE)._jdf.queryExecution().optimizedPlan().toString()
+        assert "__digit" not in plan and "__run" in plan
