@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,10 @@ HELD_WORDS = 1 << 21    # coded words a task holds over all its open blocks, or
 BREAK = b"\xff"         # in no UTF-8 text; word number 0
 
 BLOCKS = "shard int, lang string, n_words long, words binary, codes binary"
-COUNTS = "lang string, phrase string, length int, hash long, start int, n long"
+# Counts while phrases are scanned for: the key is the phrase, a tab (no word holds one) and the language; the
+# note is the phrase's slot, the step its cycle began and its length.
+COUNTS = "key string, note long, n long"
+STEP_BITS, LENGTH_BITS = 8, 3
 
 # Lower case for A-Z, one blank for a tab, a break for the marks that end pieces.
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t" + b".,;:!?\n\x0b\x0c\r", bytes(range(97, 123)) + b" " + BREAK * 10)
@@ -159,11 +164,10 @@ class _Scan:
         phrase = names.take(pa.array(codes[at]))
         if k > 1:
             phrase = pc.binary_join_element_wise(phrase, *[names.take(pa.array(codes[at + j])) for j in range(1, k)], b" ")
-        size = len(first)
-        yield pa.RecordBatch.from_arrays(
-            [pa.repeat(lang, size), phrase.cast(pa.string()), pa.repeat(pa.scalar(k, pa.int32()), size),
-             pa.array(hashes[first].view(np.int64)), pa.array(start[first].astype(np.int32)), pa.array(times.astype(np.int64))],
-            ["lang", "phrase", "length", "hash", "start", "n"])
+        phrase = pc.binary_join_element_wise(phrase, pa.scalar(lang.encode(), pa.binary()), b"\t")
+        note = (_slot(hashes[first], len(self.reached)).astype(np.int64) << STEP_BITS | start[first]) << LENGTH_BITS | k
+        yield pa.RecordBatch.from_arrays([phrase.cast(pa.string()), pa.array(note), pa.array(times.astype(np.int64))],
+                                         ["key", "note", "n"])
 
 
 def _scan(blocks: DataFrame, step: int, shards: int, longest: int, reached) -> DataFrame:
@@ -210,35 +214,63 @@ def phrase_counts(docs: DataFrame, least: int = 30, longest: int = LONGEST, shar
         "compression", "zstd").partitionBy("shard").parquet(place)
     blocks = spark.read.schema(BLOCKS).parquet(place)
     reached = np.full(slots, NEVER, np.uint8)
-    state, old = spark.createDataFrame([], COUNTS), None
+    slot = F.shiftright("note", STEP_BITS + LENGTH_BITS).alias("slot")
+    length = F.col("note").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1))
+    start = F.shiftright("note", LENGTH_BITS).bitwiseAND(F.lit((1 << STEP_BITS) - 1)).cast("int")
+    steps, settled = {}, []
     for step in range(NEVER):
         # What reached the threshold in the last cycle is all that can have started phrases still in theirs.
         if step >= shards and not ((reached > step - shards) & (reached <= step)).any():
             break
         told = spark.sparkContext.broadcast(reached.tobytes())
         seen = _scan(blocks.filter(F.col("shard") == step % shards), step, shards, longest, told)
-        both = state.withColumn("known", F.col("n") >= least).unionByName(seen.withColumn("known", F.lit(False)))
-        now = both.groupBy("lang", "phrase").agg(
-            F.min("length").alias("length"), F.min("hash").alias("hash"), F.min("start").alias("start"),
-            F.sum("n").alias("n"), F.max("known").alias("known"))
-        # A phrase below the threshold after its cycle is settled.
-        now = now.filter((F.col("n") >= least) | (F.col("start") + shards - 1 > step))
-        path = new_folder(spark, f"phrase-counts-{step}")
-        now.write.option("compression", "zstd").parquet(path)
-        now = spark.read.schema(now.schema).parquet(path)
+        seen = seen.groupBy("key").agg(F.min("note").alias("note"), F.sum("n").alias("n")).withColumn("start", start)
+        steps[step] = new_folder(spark, f"phrase-step-{step}")
+        with _unsorted_folders(spark, shards):
+            seen.write.partitionBy("start").parquet(steps[step])
         told.unpersist()
-        slot = F.shiftrightunsigned("hash", 64 - (slots.bit_length() - 1))
-        found = now.filter(f"n >= {least} AND NOT known AND length < {longest}").select(slot.alias("slot")).distinct()
-        new = found.toArrow().column("slot").to_numpy()
+        cycle = [spark.read.schema(seen.schema).parquet(steps[i]).withColumn("now", F.lit(i == step)) for i in steps]
+        rows = reduce(DataFrame.unionByName, cycle)
+        # Phrases whose cycle ends now are summed whole; the others' sums leave out a step's few occurrences,
+        # so that a phrase rather starts later than that all rows are summed after each step.
+        ends = F.col("start") == step - shards + 1
+        path = new_folder(spark, f"phrase-settled-{step}")
+        _sums(rows.filter(ends), least).write.option("compression", "zstd").parquet(path)
+        settled.append(path)
+        over = _sums(rows.filter(~ends & (F.col("n") > least // (2 * shards))), least).filter(F.col("before") < least)
+        found = over.unionByName(spark.read.schema(over.schema).parquet(path)).filter(length < longest).select(slot)
+        new = found.distinct().toArrow().column("slot").to_numpy()
         reached[new[reached[new] == NEVER]] = step + 1
-        if old:
-            discard(spark, old)
-        state, old = now.drop("known"), path
+        if step >= shards - 1:
+            discard(spark, steps.pop(step - shards + 1))
     else:
         raise RuntimeError("phrases were still being activated after all steps")
+    for path in steps.values():
+        discard(spark, path)
     words = cut(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-words")
     discard(spark, place)
-    return state.filter(F.col("n") >= least).select("lang", "phrase", "length", "n"), words
+    part = F.split("key", "\t", 2)
+    counts = spark.read.schema(COUNTS).parquet(*settled)
+    return counts.select(part[1].alias("lang"), part[0].alias("phrase"), length.cast("int").alias("length"), "n"), words
+
+
+@contextmanager
+def _unsorted_folders(spark: SparkSession, n: int):
+    """A write to at most ``n`` folders keeps a file of each open instead of sorting its rows by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _sums(rows: DataFrame, least: int) -> DataFrame:
+    """Phrases with ``least`` occurrences in all of ``rows``; ``before``: how many without the last step's."""
+    earlier = F.when(F.col("now"), 0).otherwise(F.col("n"))
+    sums = rows.groupBy("key").agg(F.min("note").alias("note"), F.sum("n").alias("n"), F.sum(earlier).alias("before"))
+    return sums.filter(F.col("n") >= least)
 
 
 def collocations(counts: DataFrame, words: DataFrame, longest: int = LONGEST, top: int = 2000) -> DataFrame:
