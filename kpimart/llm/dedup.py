@@ -39,6 +39,7 @@ SEED = 2024
 CHUNK = 2048  # shingles hashed at once
 SKETCH = 256  # bytes, one for each of the first values of a signature
 BLOCK = 512  # classes of a bucket that meet at once
+PART_ROWS = 20_000  # of many buckets, whose sketches are compared in one group
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -107,8 +108,7 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
 
 def links_within(share: int):
     """Links between classes of a bucket from different components, within two blocks."""
-    p = share / 100 + (1 - share / 100) / 256
-    least = int(SKETCH * (p - 4.5 * (p * (1 - p) / SKETCH) ** 0.5))
+    least = least_alike(share)
 
     def linked(one: np.ndarray, other: np.ndarray) -> bool:
         if 100 * min(len(one), len(other)) < share * max(len(one), len(other)):
@@ -135,6 +135,41 @@ def links_within(share: int):
     return run
 
 
+def near_nodes(share: int):
+    """The rows of many (bucket, i, j) that have a partner ``links_within`` would compare sets with.
+
+    Buckets lie one after the other, and each row meets the one ``d`` places
+    on, for all buckets at once. Rows leave, never pairs.
+    """
+    least = least_alike(share)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["bucket", "i", "j", "block", "node"], ignore_index=True)
+        bucket, i, j, block, label = (pdf[c].to_numpy() for c in ("bucket", "i", "j", "block", "label"))
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+        keys = np.stack(list(pdf["keys"]))
+        group = np.cumsum(np.r_[True, (np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)])
+        near, at, d = np.zeros(len(pdf), bool), np.arange(len(pdf)), 0
+        while len(at):
+            d += 1
+            at = at[at + d < len(pdf)]
+            at = at[group[at] == group[at + d]]
+            some = at[(label[at] != label[at + d]) & ((block[at] != block[at + d]) | (i[at] == j[at]))]
+            for part in np.array_split(some, len(some) // 50_000 + 1):
+                part = part[(sketch[part] == sketch[part + d]).sum(1) >= least]
+                first = np.argmax(keys[part] == keys[part + d], axis=1)
+                part = part[keys[part, first] == bucket[part]]
+                near[part] = near[part + d] = True
+        return pdf.loc[near, ["bucket", "i", "j", "block", "node", "label"]]
+    return run
+
+
+def least_alike(share: int) -> int:
+    """Equal bytes of two sketches below which sets of that likeness practically never stay."""
+    p = share / 100 + (1 - share / 100) / 256
+    return int(SKETCH * (p - 4.5 * (p * (1 - p) / SKETCH) ** 0.5))
+
+
 def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """node and its whole shingle set, in the shared folder, for ``nodes`` (node, distinct)."""
     def sets(batches):
@@ -211,11 +246,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, id_col: st
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = open_.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    sets = full_sets(open_.select("node").distinct(), classes, docs, words, id_col, text_col)
-    dealt = dealt.join(classes.select("node", "keys", "sketch").join(sets, "node"), "node").select(
+    dealt = dealt.join(classes.select("node", "keys", "sketch"), "node").select(
         "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label",
-        "keys", "sketch", "set")
-    more = cut(dealt.groupBy("bucket", "i", "j").applyInPandas(links_within(share), "a long, b long"), "more")
+        "keys", "sketch")
+    # Sketches first, many buckets a group; whole sets only for classes that then have a partner.
+    rows = open_.agg(F.sum(blocks)).first()[0] or 0
+    part = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(rows // PART_ROWS + 1))
+    near = cut(dealt.withColumn("part", part).groupBy("part").applyInPandas(
+        near_nodes(share), "bucket long, i int, j int, block int, node long, label long"), "near")
+    sets = full_sets(near.select("node").distinct(), classes, docs, words, id_col, text_col)
+    near = near.join(classes.select("node", "keys", "sketch").join(sets, "node"), "node")
+    more = cut(near.groupBy("bucket", "i", "j").applyInPandas(links_within(share), "a long, b long"), "more")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
