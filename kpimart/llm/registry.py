@@ -1,4 +1,10 @@
-"""The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
+"""The queries of this subpackage and, where SQL can express them, their DuckDB SQL.
+
+Most of them write the steps before the last as tables in the shared folder
+(or fit a model) while they are built, so building one runs its jobs, also
+where only its plan is asked for. Those tables stay until
+``spark.checkpoint.dir`` is cleared.
+"""
 
 from __future__ import annotations
 
