@@ -16,7 +16,7 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,14 @@ from kpimart.llm.tokens import encoder
 HEAD = struct.Struct("<IBHH")  # minimum, width, ids, exceptions
 PAGES = ("shard int, page int, start long, n_ids long, doc_ids array<long>, n_tokens array<long>, "
          "block_starts array<long>, payload binary")
+PAGES_ARROW = pa.schema([("shard", pa.int32()), ("page", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
+                         ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())),
+                         ("block_starts", pa.list_(pa.int64())), ("payload", pa.binary())])
+
+
+def _full(width: int) -> int:
+    """Bits of the smallest whole number that holds ``width`` bits."""
+    return 8 if width <= 8 else 16 if width <= 16 else 32
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -37,7 +45,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     beyond = len(ids) - np.cumsum(widths)
     width = int(np.argmin(np.arange(33) * len(ids) + 48 * beyond))  # an exception takes 48 bits
     out = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    bits = np.unpackbits(diff.astype(">u4").view(np.uint8)).reshape(-1, 32)[:, 32 - width:]
+    full = _full(width)
+    bits = np.unpackbits(diff.astype(f">u{full // 8}").view(np.uint8)).reshape(-1, full)[:, full - width:]
     return b"".join((HEAD.pack(low, width, len(ids), len(out)), np.packbits(bits).tobytes(),
                      out.astype("<u2").tobytes(), diff[out].astype("<u4").tobytes()))
 
@@ -46,9 +55,10 @@ def unpack_block(data: bytes, at: int) -> np.ndarray:
     low, width, n, n_out = HEAD.unpack_from(data, at)
     at += HEAD.size
     size = (n * width + 7) // 8
-    bits = np.zeros((n, 32), np.uint8)
-    bits[:, 32 - width:] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width).reshape(n, width)
-    diff = np.packbits(bits).view(">u4").astype(np.uint32)
+    full = _full(width)
+    bits = np.zeros((n, full), np.uint8)
+    bits[:, full - width:] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width).reshape(n, width)
+    diff = np.packbits(bits).view(f">u{full // 8}").astype(np.uint32)
     at += size
     where = np.frombuffer(data, "<u2", n_out, at)
     diff[where] = np.frombuffer(data, "<u4", n_out, at + 2 * n_out)
@@ -89,15 +99,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
         def close():
             ids = np.frombuffer(b"".join(held), "<u4")
             payload, starts = pack_page(ids, block)
-            return pd.DataFrame({"shard": [shard], "page": [page], "start": [start], "n_ids": [len(ids)],
-                                 "doc_ids": [names], "n_tokens": [lens], "block_starts": [starts], "payload": [payload]})
+            return pa.RecordBatch.from_pylist([{"shard": shard, "page": page, "start": start, "n_ids": len(ids), "doc_ids": names,
+                                                "n_tokens": lens, "block_starts": starts, "payload": payload}], PAGES_ARROW)
 
         for batch in batches:
-            for doc_id, text in zip(batch["id"].array, batch["text"].array, strict=True):
-                ids = enc.text(text) + end
-                held.append(ids)
-                names.append(None if pd.isna(doc_id) else int(doc_id))
-                lens.append(len(ids) // 4)
+            for doc_id, ids in zip(batch.column("id").to_pylist(), enc.texts(batch.column("text").to_pylist()), strict=True):
+                held += ids, end
+                names.append(doc_id)
+                lens.append(len(ids) // 4 + 1)
                 size += lens[-1]
                 if size >= page_ids:
                     yield close()
@@ -109,7 +118,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("mark"))
     dealt = rows.repartitionByRange(partitions(spark), "id", "mark").sortWithinPartitions("id", "mark", "text")
-    dealt.mapInPandas(pages, PAGES).write.parquet(f"{path}/pages")
+    dealt.mapInArrow(pages, PAGES).write.parquet(f"{path}/pages")
     # One row for each partition written: prefix sums over them fit one task.
     shards = spark.read.schema(PAGES).parquet(f"{path}/pages").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,20 +131,19 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(batches):
         for batch in batches:
-            for first, names, lens, starts, payload in zip(batch["first"], batch["doc_ids"], batch["n_tokens"],
-                                                           batch["block_starts"], batch["payload"], strict=True):
-                data = unpack_page(payload, starts).astype("<u4").tobytes()
-                ends = np.cumsum(np.asarray(lens, np.int64))
-                begins = ends - np.asarray(lens, np.int64)
-                yield pd.DataFrame({"doc_id": pd.array(list(names), "Int64"), "start": begins + first,
-                                    "n_tokens": ends - begins,
-                                    "ids": [data[4 * a:4 * b] for a, b in zip(begins, ends, strict=True)]})
-
+            for first, names, lens, starts, payload in zip(*map(batch.column, names_in), strict=True):
+                data = unpack_page(payload.as_py(), starts.as_py()).astype("<u4")
+                ends = np.append(0, np.cumsum(lens.values.to_numpy()))
+                ids = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.array(4 * ends, pa.int32()).buffers()[1], pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([names.values, pa.array(ends[:-1] + first.as_py()), lens.values, ids],
+                                                 ["doc_id", "start", "n_tokens", "ids"])
+
+    names_in = ["first", "doc_ids", "n_tokens", "block_starts", "payload"]
     pages = spark.read.schema(PAGES).parquet(f"{path}/pages")
     index = spark.read.schema("shard int, first long").parquet(f"{path}/index")  # a row a partition: small
     at = pages.join(F.broadcast(index), "shard").select((F.col("first") + F.col("start")).alias("first"), "doc_ids",
                                                         "n_tokens", "block_starts", "payload")
-    return at.mapInPandas(documents, "doc_id long, start long, n_tokens long, ids binary")
+    return at.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

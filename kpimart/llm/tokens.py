@@ -11,21 +11,27 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # What the tokenizers' patterns count as white space, and Latin
 # letters that lower-casing and composition treat alike everywhere.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 MARKS = ".,;:!?|"
+RUNS = "!-&(-/:-@\\[-`{-~"  # ASCII marks but the apostrophe: a run of them after letters is one byte-level pre-token
 
 PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 PLAIN = re.compile(f"([{LETTERS}]+)([{MARKS}]*)")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python only
 RARE = re.compile(f"[{WHITE[:1] + WHITE[2:5] + WHITE[6:]}]")  # all but blank and line end
 CACHE_WORDS = 450_000  # in each of two generations
+CACHE_CORES = 250_000  # likewise, of the words that Encoder.texts has looked up
+CHARS_AT_ONCE = 1 << 23  # of the texts that Encoder.texts cuts into words at once
 
 
 def _byte_letters() -> dict[int, str]:
@@ -38,12 +44,12 @@ def _byte_letters() -> dict[int, str]:
 class Words(dict):
     """Word to ids, as bytes; forgets the words not met for a while."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = CACHE_WORDS):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, word):
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         got = self.old.get(word)
@@ -72,7 +78,7 @@ class Encoder:
         self.model, self.shown = self.tokenizer.model, _byte_letters()
         # Both kinds are told apart by what they do with white space.
         self.spaced = bool(self.whole(" "))
-        self.pieces = Words(self.piece)
+        self.pieces, self.cores = Words(self.piece), Words(self.core, CACHE_CORES)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -80,7 +86,7 @@ class Encoder:
     def core(self, word: str) -> bytes:
         """Ids of one pre-token: Latin letters, maybe after a space."""
         if word.isascii():
-            shown = word.replace(" ", self.shown[32]).replace("\n", self.shown[10])
+            shown = self.shown[32] + word[1:] if word[0] == " " else word.replace("\n", self.shown[10])
         else:
             shown = word.encode().decode("latin-1").translate(self.shown)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
@@ -111,12 +117,56 @@ class Encoder:
             return b""
         if not self.spaced:
             words = PIECES.findall(text) if SEPARATORS.search(text) else text.split()
-        elif (text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or RARE.search(text)):
+        elif single_blanks(text):
+            words = text.replace(" ", "\x1c ").split("\x1c")
+        else:
             words = PIECES.findall(text)
-        else:  # single blanks between words
-            words = text.replace(" ", "\x1c ").split("\x1c") if "\x1c" not in text else PIECES.findall(text)
         return b"".join(map(self.pieces.__getitem__, words))
 
+    def texts(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+        """Ids of each text, as :meth:`text` gives them; a word of several texts is looked up once for all of them."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= CHARS_AT_ONCE:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: list[str | None]) -> Iterator[bytes]:
+        alike = [self.spaced and bool(t) and single_blanks(t) and not any(map(t.__contains__, self.special)) for t in texts]
+        cut = pc.split_pattern(pc.replace_substring(pa.array([t for t, a in zip(texts, alike, strict=True) if a],
+                                                             pa.large_string()), " ", "\x1c "), "\x1c")
+        words = cut.flatten().dictionary_encode()
+        ids = self._distinct(words.dictionary).take(words.indices)
+        # Where each text's ids begin and end, in bytes, in the words' ids laid end to end.
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[cut.offsets.to_numpy()].tolist() if len(cut) else [0]
+        data, at = memoryview(ids.buffers()[2] or b""), 0
+        for text, a in zip(texts, alike, strict=True):
+            if a:
+                yield bytes(data[ends[at]:ends[at + 1]])
+                at += 1
+            else:
+                yield self.text(text)
+
+    def _distinct(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words. Letters and the run of marks after them are looked up apart: few of either are new."""
+        parts = pc.extract_regex(words, f"^(?P<letters> ?[{LETTERS}]+)(?P<marks>[{RUNS}]*)$")  # null: other words
+        other = words.filter(pc.is_null(parts)).to_pylist()
+        letters, marks = (pc.struct_field(parts, n).dictionary_encode() for n in ("letters", "marks"))
+        sure, then = ([look[w] if w else b"" for w in x.dictionary.to_pylist()]
+                      for x, look in ((letters, self.cores), (marks, self.pieces)))
+        known = [pa.array(x, pa.large_binary()).take(y.indices) for x, y in ((sure, letters), (then, marks))]
+        plain = pc.binary_join_element_wise(*known, pa.scalar(b"", pa.large_binary()))  # null: other words
+        return pc.replace_with_mask(plain, pc.is_null(parts), pa.array([self.pieces[w] for w in other], pa.large_binary()))
+
+
+def single_blanks(text: str) -> bool:
+    """Whether blanks stand one by one between words, and no other white space but single line ends inside them."""
+    return not (text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or "\x1c" in text
+                or RARE.search(text))
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

@@ -29,6 +29,23 @@ def test_words_give_the_whole_text_s_ids(name, texts):
     assert enc.text(None) == b""
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_texts_together_give_each_text_s_ids(name, monkeypatch):
+    monkeypatch.setattr("kpimart.llm.tokens.CHARS_AT_ONCE", 40)
+    some = [*ODD, "the cat's. sat_ on### Éa(b) a.b", "the sat<|endoftext|> on", "a b'''", "~a a~^`\\ a_b a2, _"] * 2
+    enc = Encoder(public_tokenizers.path(name))
+    assert list(enc.texts(some)) == [i.tobytes() for i in whole(name, some)]
+    assert list(enc.texts([None, "a"])) == [b"", enc.text("a")] and list(enc.texts([])) == []
+
+
+def test_a_word_of_several_texts_is_looked_up_once():
+    enc, looked = Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    make = enc.cores.make
+    enc.cores.make = lambda w: looked.append(w) or make(w)
+    list(enc.texts(["zq qyx qyx. qyx!", "zq qyx$$$ qyx,"]))
+    assert sorted(looked) == [" qyx", "zq"]
+
+
 def test_special_strings_are_special_tokens():
     enc = Encoder(public_tokenizers.path("word_bpe_49k.json"))
     assert np.frombuffer(enc.text("a<|endoftext|><|startoftext|> b"), "<u4").tolist()[1:3] == [49407, 49406]
