@@ -57,3 +57,19 @@ def test_onepass_equals_plain_on_expanded_rows(spark, weighted):
         cols = sorted(want.columns)
         assert s.key in got, s.key
         assert rows(got[s.key].select(*cols)) == rows(want.select(*cols)), s.key
+
+
+def test_only_a_measure_s_own_rows_must_fit_the_type(spark):
+    lab = lambda m: {"Section": "s", "Sub_Section": "t", "Measure_Type": m}
+    specs = [MeasureSpec("days", "b", "sum", lab("days"), ("M", "P"), "x"),
+             MeasureSpec("n", "b", "count", lab("n"), ("M",), collapse=("P",))]
+
+    def got(each):
+        df = spark.createDataFrame([("m", "a", each, 1), ("m", "b", each, 1)], "M string, P string, x long, w long")
+        return [r for part in evaluate(df, "w", specs, sql_literal(AS_OF), "decimal(9,2)", denom=True) for r in part.collect()]
+
+    # Each group's sum fits decimal(9,2); the month's, which no measure returns, does not.
+    assert sorted((r[KEY], r.P, int(r.Measure_Values)) for r in got(9_000_000)) == [
+        ("days", "a", 9_000_000), ("days", "b", 9_000_000), ("n", "", 2)]
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        got(10_000_000)
