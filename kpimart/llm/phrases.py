@@ -12,6 +12,11 @@ which they did. It is kept in a table of fixed size (``slots`` bytes, by hash),
 which is broadcast; two phrases that share a slot start some phrases too early,
 never too late, so this costs some work and no result. Counts themselves are
 kept by the phrase's own words, in Spark tables.
+
+Almost every phrase of a scan is a rare one, so counts do not travel as a row
+each: a scan sends a pack (an Arrow batch) for each bucket of phrases, dealt by
+hash, and a bucket's packs are summed in Arrow. There are as many buckets as
+keep each to some ``BUCKET_WORDS`` scanned words.
 """
 
 from __future__ import annotations
@@ -19,7 +24,6 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +42,17 @@ HELD_WORDS = 1 << 21    # coded words a task holds over all its open blocks, or
 BREAK = b"\xff"         # in no UTF-8 text; word number 0
 
 BLOCKS = "shard int, lang string, n_words long, words binary, codes binary"
-# Counts while phrases are scanned for: the key is the phrase, a tab (no word holds one) and the language; the
-# note is the phrase's slot, the step its cycle began and its length.
-COUNTS = "key string, note long, n long"
-STEP_BITS, LENGTH_BITS = 8, 3
+BUCKET_WORDS = 1 << 18  # scanned words a bucket of counts
+LEAST_BUCKETS = 64
+SENT_BYTES = 1 << 23    # of packs at a time
+
+# A pack: the key is the phrase, a tab (no word holds one) and the language; start is the step its cycle began.
+PACK = pa.schema([("key", pa.binary()), ("slot", pa.int32()), ("start", pa.uint8()), ("length", pa.uint8()), ("n", pa.int64())])
+PACKS = "bucket int, packed binary"
+# A step's sums: packs of the phrases it saw often and seldom, of those whose cycle ended with enough, and the
+# slots (int32) of those that reached the threshold.
+SUMS = "start int, bucket int, often binary, seldom binary, settled binary, slots binary"
+COUNTS = "key string, length int, n long"
 
 # Lower case for A-Z, one blank for a tab, a break for the marks that end pieces.
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t" + b".,;:!?\n\x0b\x0c\r", bytes(range(97, 123)) + b" " + BREAK * 10)
@@ -109,14 +120,35 @@ def _factors() -> list[np.ndarray]:
 
 
 def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
+    """The place of hashes in a table of ``slots``, a power of two; it grows with the hash."""
     return hashes >> np.uint64(64 - (slots.bit_length() - 1))
 
 
+def _changes(columns: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it in ``order``; the first does."""
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in columns:
+        ordered = column[order]
+        new[1:] |= ordered[1:] != ordered[:-1]
+    return new
+
+
+def _grouped(hashes: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order by hash in which equal rows of ``columns`` are neighbours, and where in it each distinct row begins."""
+    order = np.argsort(hashes)
+    new = _changes(columns, order)
+    if (new & ~_changes([hashes], order)).any():  # different rows of one hash
+        order = np.lexsort([*columns, hashes])
+        new = _changes(columns, order)
+    return order, np.flatnonzero(new)
+
+
 class _Scan:
     """Counts one step's phrases in coded words of one language."""
 
-    def __init__(self, step: int, shards: int, longest: int, reached: np.ndarray):
-        self.step, self.shards, self.longest, self.reached = step, shards, longest, reached
+    def __init__(self, step: int, shards: int, longest: int, buckets: int, reached: np.ndarray):
+        self.step, self.shards, self.longest, self.buckets, self.reached = step, shards, longest, buckets, reached
         self.factors = _factors()
 
     def counts(self, lang: str, words: list[bytes], codes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -146,35 +178,56 @@ class _Scan:
             at = at[pairs]
 
     def rows(self, lang, k, names, codes, at, start, hashes) -> Iterator[pa.RecordBatch]:
-        """Distinct phrases still in their cycle, with their counts."""
+        """Distinct phrases still in their cycle, with their counts, in packs by bucket."""
         due = start > self.step - self.shards
         if not due.any():
             return
-        at, start, hashes, n = at[due], start[due], hashes[due], len(names)
-        key = codes[at]
-        if k == 2:
-            key = key * n + codes[at + 1]
-        elif k > 2:  # pairs of words are numbered first: the key stays within 64 bits
-            ends = np.stack([codes[at] * n + codes[at + 1], codes[at + k - 2] * n + codes[at + k - 1]])
-            pairs, number = np.unique(ends, return_inverse=True)
-            number = number.reshape(2, -1).astype(np.int64)
-            key = number[0] * len(pairs) + number[1]
-        _, first, times = np.unique(key, return_index=True, return_counts=True)
-        at = at[first]
+        at, start, hashes = at[due], start[due], hashes[due]
+        order, first = _grouped(hashes, [codes[at + j] for j in range(k)])
+        times = np.diff(first, append=len(at))
+        first = order[first]
+        at, start, hashes = at[first], start[first], hashes[first]
         phrase = names.take(pa.array(codes[at]))
         if k > 1:
             phrase = pc.binary_join_element_wise(phrase, *[names.take(pa.array(codes[at + j])) for j in range(1, k)], b" ")
         phrase = pc.binary_join_element_wise(phrase, pa.scalar(lang.encode(), pa.binary()), b"\t")
-        note = (_slot(hashes[first], len(self.reached)).astype(np.int64) << STEP_BITS | start[first]) << LENGTH_BITS | k
-        yield pa.RecordBatch.from_arrays([phrase.cast(pa.string()), pa.array(note), pa.array(times.astype(np.int64))],
-                                         ["key", "note", "n"])
+        counts = _batch(PACK, [phrase, _slot(hashes, len(self.reached)).astype(np.int32), start.astype(np.uint8),
+                               np.full(len(at), k, np.uint8), times.astype(np.int64)])
+        ends = np.searchsorted(_slot(hashes, self.buckets), np.arange(self.buckets, dtype=np.uint64), "right")
+        packs, size, low = ([], []), 0, 0
+        for bucket, high in enumerate(ends.tolist()):
+            if high > low:
+                pack = counts.slice(low, high - low).serialize()
+                packs[0].append(bucket)
+                packs[1].append(pack.to_pybytes())
+                size += pack.size
+            low = high
+            if size >= SENT_BYTES or (packs[0] and bucket == self.buckets - 1):
+                yield pa.RecordBatch.from_arrays([pa.array(packs[0], pa.int32()), pa.array(packs[1], pa.binary())],
+                                                 ["bucket", "packed"])
+                packs, size = ([], []), 0
+
+
+def _batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-def _scan(blocks: DataFrame, step: int, shards: int, longest: int, reached) -> DataFrame:
-    """Counts of the phrases that this step scans for, summed by task."""
+def _pack(counts: pa.Table) -> bytes | None:
+    """The rows of ``counts`` as one pack; none if there are none."""
+    if not counts.num_rows:
+        return None
+    return counts.combine_chunks().to_batches()[0].serialize().to_pybytes()
+
+
+def _unpacked(packed: pa.BinaryScalar) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(packed.as_py()), PACK)
+
+
+def _scan(blocks: DataFrame, step: int, shards: int, longest: int, buckets: int, reached) -> DataFrame:
+    """Counts of the phrases that this step scans for, summed by task, in packs."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = _Scan(step, shards, longest, np.frombuffer(reached.value, np.uint8))
+        scan = _Scan(step, shards, longest, buckets, np.frombuffer(reached.value, np.uint8))
         held: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
         size = 0
 
@@ -196,7 +249,70 @@ def _scan(blocks: DataFrame, step: int, shards: int, longest: int, reached) -> D
         for name in list(held):
             yield from count(name)
 
-    return blocks.mapInArrow(counts, COUNTS)
+    return blocks.mapInArrow(counts, PACKS)
+
+
+def _sums(packs: DataFrame, step: int, shards: int, longest: int, least: int) -> DataFrame:
+    """``packs`` (bucket, packed, now: of this step's scan) of the phrases in their cycle, summed by bucket.
+
+    Phrases whose cycle ends now are summed whole; the others' sums leave out
+    what an earlier step saw seldom, so that a phrase rather starts later than
+    that all rows are summed after each step.
+    """
+    names = [f.split()[0] for f in SUMS.split(", ")]
+    types = [pa.int32(), pa.int32()] + [pa.binary()] * 4
+
+    def close(bucket: int, held: list[tuple[pa.RecordBatch, bool]]) -> pa.RecordBatch:
+        counts = pa.Table.from_batches([b for b, _ in held])
+        now = pa.chunked_array([b.column("n") if new else pa.array(np.zeros(len(b), np.int64)) for b, new in held])
+        counts = counts.append_column("now", now).combine_chunks().group_by("key", use_threads=False).aggregate(
+            [("slot", "min"), ("start", "min"), ("length", "min"), ("n", "sum"), ("now", "sum")])
+        key, slot, start, length, n, now = (counts.column(c) for c in (
+            "key", "slot_min", "start_min", "length_min", "n_sum", "now_sum"))
+        whole = pa.Table.from_arrays([key, slot, start, length, n], schema=PACK)
+        fresh = pa.Table.from_arrays([key, slot, start, length, now], schema=PACK)
+        slot, start, length, n, now = (c.to_numpy() for c in (slot, start, length, n, now))
+        ended, enough = start == step - shards + 1, n >= least
+        over = np.unique(slot[enough & (length < longest) & (ended | (n - now < least))])
+        rows = []
+        for first in np.unique(start).tolist():
+            own, often = start == first, now > least // (2 * shards)
+            row = [first, bucket, None, None, None, None]
+            if first == step - shards + 1:
+                row[4] = _pack(whole.filter(pa.array(own & enough)))
+            else:
+                row[2:4] = _pack(fresh.filter(pa.array(own & often))), _pack(fresh.filter(pa.array(own & ~often & (now > 0))))
+            if not rows and len(over):
+                row[5] = over.tobytes()
+            rows.append(row)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for bucket, packed, now in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                if bucket != at and held:
+                    yield close(at, held)
+                    held = []
+                at = bucket
+                held.append((_unpacked(packed), now))
+        if held:
+            yield close(at, held)
+
+    return packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sums, SUMS)
+
+
+def _settled(sums: DataFrame) -> DataFrame:
+    """The packs of phrases whose cycle ended with enough, as rows."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column(0):
+                pack = _unpacked(packed)
+                yield pa.RecordBatch.from_arrays([pack.column("key").cast(pa.string()), pack.column("length").cast(pa.int32()),
+                                                  pack.column("n")], ["key", "length", "n"])
+
+    return sums.filter("settled IS NOT NULL").select("settled").mapInArrow(rows, COUNTS)
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS
@@ -213,45 +329,44 @@ def phrase_counts(docs: DataFrame, least: int = 30, longest: int = LONGEST, shar
     code_blocks(docs.select("lang", F.col("text").cast("binary").alias("text")), shards).write.option(
         "compression", "zstd").partitionBy("shard").parquet(place)
     blocks = spark.read.schema(BLOCKS).parquet(place)
+    words = cut(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-words")
+    scanned = (words.agg(F.sum("n")).first()[0] or 0) // shards
+    buckets = 1 << max(LEAST_BUCKETS - 1, scanned // BUCKET_WORDS).bit_length()
     reached = np.full(slots, NEVER, np.uint8)
-    slot = F.shiftright("note", STEP_BITS + LENGTH_BITS).alias("slot")
-    length = F.col("note").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1))
-    start = F.shiftright("note", LENGTH_BITS).bitwiseAND(F.lit((1 << STEP_BITS) - 1)).cast("int")
-    steps, settled = {}, []
+    folder = new_folder(spark, "phrase-steps")
+
+    def sums(steps) -> DataFrame:
+        return spark.read.schema(f"{SUMS}, step int").option("basePath", folder).parquet(*(f"{folder}/step={i}" for i in steps))
+
     for step in range(NEVER):
         # What reached the threshold in the last cycle is all that can have started phrases still in theirs.
         if step >= shards and not ((reached > step - shards) & (reached <= step)).any():
             break
+        ending, earlier = step - shards + 1, range(max(0, step - shards + 1), step)
         told = spark.sparkContext.broadcast(reached.tobytes())
-        seen = _scan(blocks.filter(F.col("shard") == step % shards), step, shards, longest, told)
-        seen = seen.groupBy("key").agg(F.min("note").alias("note"), F.sum("n").alias("n")).withColumn("start", start)
-        steps[step] = new_folder(spark, f"phrase-step-{step}")
+        seen = _scan(blocks.filter(F.col("shard") == step % shards), step, shards, longest, buckets, told)
+        packs = seen.withColumn("now", F.lit(True))
+        if earlier:
+            kept = sums(earlier).filter(F.col("start") >= ending)
+            for part in (kept.select("bucket", F.col("often").alias("packed")),
+                         kept.filter(F.col("start") == ending).select("bucket", F.col("seldom").alias("packed"))):
+                packs = packs.unionByName(part.filter("packed IS NOT NULL").withColumn("now", F.lit(False)))
         with _unsorted_folders(spark, shards):
-            seen.write.partitionBy("start").parquet(steps[step])
+            _sums(packs, step, shards, longest, least).write.partitionBy("start").parquet(f"{folder}/step={step}")
         told.unpersist()
-        cycle = [spark.read.schema(seen.schema).parquet(steps[i]).withColumn("now", F.lit(i == step)) for i in steps]
-        rows = reduce(DataFrame.unionByName, cycle)
-        # Phrases whose cycle ends now are summed whole; the others' sums leave out a step's few occurrences,
-        # so that a phrase rather starts later than that all rows are summed after each step.
-        ends = F.col("start") == step - shards + 1
-        path = new_folder(spark, f"phrase-settled-{step}")
-        _sums(rows.filter(ends), least).write.option("compression", "zstd").parquet(path)
-        settled.append(path)
-        over = _sums(rows.filter(~ends & (F.col("n") > least // (2 * shards))), least).filter(F.col("before") < least)
-        found = over.unionByName(spark.read.schema(over.schema).parquet(path)).filter(length < longest).select(slot)
-        new = found.distinct().toArrow().column("slot").to_numpy()
-        reached[new[reached[new] == NEVER]] = step + 1
-        if step >= shards - 1:
-            discard(spark, steps.pop(step - shards + 1))
+        over = sums([step]).filter("slots IS NOT NULL").select("slots").toArrow().column("slots")
+        for slot in over:
+            new = np.frombuffer(slot.as_py(), np.int32)
+            reached[new[reached[new] == NEVER]] = step + 1
+        for i in earlier:
+            discard(spark, f"{folder}/step={i}/start={ending}")
     else:
         raise RuntimeError("phrases were still being activated after all steps")
-    for path in steps.values():
-        discard(spark, path)
-    words = cut(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-words")
+    counts = cut(_settled(sums(range(step))), "phrase-counts")
+    discard(spark, folder)
     discard(spark, place)
     part = F.split("key", "\t", 2)
-    counts = spark.read.schema(COUNTS).parquet(*settled)
-    return counts.select(part[1].alias("lang"), part[0].alias("phrase"), length.cast("int").alias("length"), "n"), words
+    return counts.select(part[1].alias("lang"), part[0].alias("phrase"), "length", "n"), words
 
 
 @contextmanager
@@ -266,13 +381,6 @@ def _unsorted_folders(spark: SparkSession, n: int):
         spark.conf.set(name, before)
 
 
-def _sums(rows: DataFrame, least: int) -> DataFrame:
-    """Phrases with ``least`` occurrences in all of ``rows``; ``before``: how many without the last step's."""
-    earlier = F.when(F.col("now"), 0).otherwise(F.col("n"))
-    sums = rows.groupBy("key").agg(F.min("note").alias("note"), F.sum("n").alias("n"), F.sum(earlier).alias("before"))
-    return sums.filter(F.col("n") >= least)
-
-
 def collocations(counts: DataFrame, words: DataFrame, longest: int = LONGEST, top: int = 2000) -> DataFrame:
     """The best phrases of each language by :func:`phrase_counts`' results.
 

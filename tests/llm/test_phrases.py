@@ -2,8 +2,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
-from kpimart.llm.phrases import code_blocks, collocations, op13_phrases, phrase_counts
+from kpimart.llm.phrases import NEVER, PACK, _grouped, _Scan, _scan, code_blocks, collocations, op13_phrases, phrase_counts
 from pyspark.sql import functions as F
 
 from conftest import DOCS  # noqa: I001
@@ -96,3 +98,37 @@ def test_blocks_hold_every_word_once(spark):
     docs = spark.createDataFrame([("en", f"w{i} . " * 50) for i in range(300)], "lang string, text string")
     got = code_blocks(docs.select("lang", F.col("text").cast("binary").alias("text")), 3).collect()
     assert sum(r.n_words for r in got) == 15000 and {r.shard for r in got} == {0, 1, 2}
+
+
+def unpacked(packs):
+    """Counts by phrase of packs (bytes); a phrase comes once in those of one scan."""
+    rows = [r for p in packs for r in pa.ipc.read_record_batch(pa.py_buffer(p), PACK).to_pylist()]
+    assert len({r["key"] for r in rows}) == len(rows)
+    return {r["key"].decode(): r["n"] for r in rows}
+
+
+def test_a_scan_sends_a_pack_for_each_bucket_not_a_row_for_each_phrase(spark):
+    docs = spark.createDataFrame([("en", " ".join(f"w{i}" for i in range(j, j + 200))) for j in range(0, 6000, 200)],
+                                 "lang string, text string").coalesce(1)
+    blocks = code_blocks(docs.select("lang", F.col("text").cast("binary").alias("text")), 1)
+    told = spark.sparkContext.broadcast(np.zeros(1 << 12, np.uint8).tobytes())  # every phrase is counted
+    got = _scan(blocks, 1, 4, 4, 64, told).collect()
+    assert len(got) <= 4 * 64 and {r.bucket for r in got} == set(range(64))
+    counts = unpacked(r.packed for r in got)
+    assert len(counts) == 6000 + 30 * (199 + 198 + 197) and set(counts.values()) == {1}
+
+
+def test_phrases_of_one_hash_are_counted_apart():
+    words, codes = [b"\xff", b"a", b"b", b"c"], np.array([1, 2, 3, 1, 2, 1, 2, 3, 1, 2, 0] * 3)
+    scan = _Scan(1, 4, 4, 64, np.zeros(1 << 12, np.uint8))
+    scan.factors = [np.zeros_like(f) for f in scan.factors]
+    got = unpacked(p.as_py() for batch in scan.counts("en", words, codes) for p in batch.column(1))
+    f, _ = brute_counts([("en", "a b c a b a b c a b. " * 3)])
+    assert got == {" ".join(w) + "\ten": n for (_, w), n in f.items()}
+    order, first = _grouped(np.array([7, 7, 5, 7, 7], np.uint64), [np.array([1, 2, 3, 1, 2])])
+    assert np.array([1, 2, 3, 1, 2])[order].tolist() == [3, 1, 1, 2, 2] and first.tolist() == [0, 1, 3]
+
+
+def test_nothing_is_sent_after_its_cycle():
+    scan = _Scan(9, 4, 4, 64, np.full(1 << 12, NEVER, np.uint8))
+    assert not list(scan.counts("en", [b"\xff", b"a"], np.array([1, 1, 0])))
